@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoledger.llm import simhash
+from geoledger.llm import simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every document."""
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash}
+    return {"op1_simhash": op1_simhash, "op3_substrings": op3_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
