@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoledger.llm import simhash, substrings
+from geoledger.llm import html, simhash, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +23,40 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
 
 
+#: (verdict, host and beginning of the path) of op6.
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+OP6_SQL = r"""
+WITH rules(rule, verdict, rh, rp) AS (VALUES ('com/en/', 'block', 'com', '/en/'), ('example.com/en/7', 'allow', 'example.com', '/en/7'),
+  ('net/de/', 'allow', 'net', '/de/'), ('example.net/de/8', 'block', 'example.net', '/de/8'), ('org/es/', 'block', 'org', '/es/')),
+p AS (SELECT page_id, url,
+  coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+best AS (SELECT url, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM (SELECT DISTINCT url, host, path FROM p) q JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY url)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM p LEFT JOIN best USING (url)
+"""
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict of every page."""
+    judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), urls.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document."""
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    return html.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op3_substrings": op3_substrings}
+    return {"op1_simhash": op1_simhash, "op3_substrings": op3_substrings, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op10_main_text": op10_main_text}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_url_rules": OP6_SQL}
