@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoledger.llm import html, simhash, substrings, toxicity, urls
+from geoledger.llm import html, quality, simhash, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the base counts, base_failed, kept of every document."""
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 #: (verdict, host and beginning of the path) of op6.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 
@@ -55,7 +60,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op3_substrings": op3_substrings, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op10_main_text": op10_main_text}
+    return {"op1_simhash": op1_simhash, "op3_substrings": op3_substrings, "op4_quality": op4_quality, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op10_main_text": op10_main_text}
 
 
 def oracle_sql() -> dict[str, str]:
