@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoledger.llm import html, quality, simhash, substrings, toxicity, urls
+from geoledger.llm import embeddings, html, quality, simhash, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,13 +54,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector."""
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     return html.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op3_substrings": op3_substrings, "op4_quality": op4_quality, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op10_main_text": op10_main_text}
+    return {"op1_simhash": op1_simhash, "op3_substrings": op3_substrings, "op4_quality": op4_quality, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op9_embeddings": op9_embeddings, "op10_main_text": op10_main_text}
 
 
 def oracle_sql() -> dict[str, str]:
