@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geoledger.llm import embeddings, html, quality, simhash, substrings, toxicity, urls
+from geoledger.llm import embeddings, html, mixing, quality, simhash, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken, and the rate and copies behind it, of every document."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), keep=["doc_id"], weights=(3, 1, 2), share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate", "copies")
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
@@ -65,7 +72,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op3_substrings": op3_substrings, "op4_quality": op4_quality, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op9_embeddings": op9_embeddings, "op10_main_text": op10_main_text}
+    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_substrings": op3_substrings, "op4_quality": op4_quality, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op9_embeddings": op9_embeddings, "op10_main_text": op10_main_text}
 
 
 def oracle_sql() -> dict[str, str]:
