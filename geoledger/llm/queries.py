@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoledger.llm import embeddings, html, mixing, quality, simhash, substrings, toxicity, urls
+from geoledger.llm import embeddings, html, mixing, pieces, quality, simhash, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +36,17 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def piece_model() -> str:
+    """The public SentencePiece model on this machine (the environment variable PIECE_MODEL names another)."""
+    named = os.environ.get("PIECE_MODEL")
+    return named or "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_pieces, score, nbest_scores (3), decoded_ok of every document."""
+    return pieces.encode(_table(spark, sf_dir, "documents"), piece_model(), nbest=3)
+
+
 #: (verdict, host and beginning of the path) of op6.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 
@@ -72,7 +84,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_substrings": op3_substrings, "op4_quality": op4_quality, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op9_embeddings": op9_embeddings, "op10_main_text": op10_main_text}
+    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_substrings": op3_substrings, "op4_quality": op4_quality, "op5_pieces": op5_pieces, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op9_embeddings": op9_embeddings, "op10_main_text": op10_main_text}
 
 
 def oracle_sql() -> dict[str, str]:
