@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoledger.llm import embeddings, html, mixing, pieces, quality, simhash, substrings, toxicity, urls
+from geoledger.llm import embeddings, hmm, html, mixing, pieces, quality, simhash, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+    return hmm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector."""
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
@@ -83,8 +88,15 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over the whole table of documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_substrings": op3_substrings, "op4_quality": op4_quality, "op5_pieces": op5_pieces, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op9_embeddings": op9_embeddings, "op10_main_text": op10_main_text}
+    return {"pipeline": pipeline, "op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_substrings": op3_substrings, "op4_quality": op4_quality, "op5_pieces": op5_pieces, "op6_url_rules": op6_url_rules, "op7_toxicity": op7_toxicity, "op8_hmm": op8_hmm, "op9_embeddings": op9_embeddings, "op10_main_text": op10_main_text}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -189,6 +189,17 @@ def near_links(fps: DataFrame, budget: int = 4) -> DataFrame:
     return dealt.groupBy("turn", "lo", "hi").applyInArrow(each, "a long, b long")
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
+    """One row of each group of near duplicates, that with the smallest id, with all its columns.
+
+    Of rows with the same id and text one stays. Groups that have null ids only keep a row of the smallest fingerprint.
+    """
+    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, shingle, budget, seed)
+    chosen = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_id")).agg(F.min("fingerprint").alias("_fp"))
+    out = docs.join(chosen, docs[id_col].eqNullSafe(chosen["_id"]), "left_semi")
+    return out.dropDuplicates([id_col, text_col])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
     """(id_col, fingerprint, component_id): one row per row of ``docs``.
 

@@ -174,6 +174,21 @@ def text_key(text_col: str) -> F.Column:
     return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
 
 
+def without_repeats(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", window: int = 35) -> DataFrame:
+    """``docs`` with each text cut to its kept words, joined by one space; ``chars_col``, if there, counts its code points.
+
+    Texts that lose no word stay as they are. Rows that lose all their words go; rows that had none stay.
+    """
+    found = repeats(docs, text_col, window).select(F.col("text_key").alias("_key"), F.col("kept").alias("_kept"), (F.col("n_removed") < F.col("n_words")).alias("_some"), "n_words")
+    found = found.withColumnRenamed("n_words", "_n")
+    out = docs.withColumn("_key", text_key(text_col)).join(found, "_key").where("_some or _n = 0")
+    text = F.coalesce(F.col("_kept").cast("string"), F.col(text_col))
+    out = out.withColumn(text_col, text)
+    if chars_col in docs.columns:
+        out = out.withColumn(chars_col, F.when(F.col("_kept").isNotNull(), F.length(text_col)).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType))
+    return out.select(*docs.columns)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
     """(id_col, n_words, n_removed, kept_sha256): one row per row of ``docs``, nulls and repeated rows too.
 
