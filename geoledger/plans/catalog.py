@@ -1,4 +1,7 @@
-"""All registered queries and their SQL twins."""
+"""All registered queries and their SQL twins.
+
+A query module registers each of its queries with :func:`query`; the inputs it names are given to it as DataFrames.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +9,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from geoledger.plans.views import duck, view
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def query(name: str, *inputs: str, sql: str | None = None) -> Callable:
+    """Register a function of DataFrames, one for each of ``inputs``, as a query; ``sql`` is its twin for DuckDB."""
+
+    def register(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(*[view(spark, sf_dir, i) for i in inputs])
+
+        if name in _QUERIES:
+            raise ValueError(f"query {name} is registered twice")
+        _QUERIES[name] = run
+        if sql:
+            _SQL[name] = duck(sql)
+        return f
+
+    return register
+
+
+def _load() -> None:
+    from geoledger.plans import annotations, boxes, files, functions, layers, raster, runs, sampling, series  # noqa: F401
+
+
+def queries() -> dict[str, Query]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_SQL)
