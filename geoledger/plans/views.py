@@ -17,7 +17,7 @@ VIEWS = {
     "v_provinces": """select n_nationkey as ord, n_name as name, (n_nationkey % 5) * 13 as x0, cast(floor(n_nationkey / 5.0) as int) * 13 as y0,
  (n_nationkey % 5) * 13 + 13 as x1, cast(floor(n_nationkey / 5.0) as int) * 13 + 13 as y1 from {nation}""",
     # Boxes of images with five categories: truth or detection.
-    "v_boxes": """select ((l_orderkey * 100003 + l_partkey) * 10007 + l_suppkey) * 8 + l_linenumber as box_id, l_orderkey % 500 as image_id, l_suppkey % 5 as category_id,
+    "v_boxes": """select ((l_orderkey * 100003 + l_partkey) * 10007 + l_suppkey) * 8 + l_linenumber as box_id, cast(floor(l_orderkey / 8.0e0) as bigint) as image_id, l_suppkey % 5 as category_id,
  case when l_returnflag = 'R' then 1 else 0 end as is_gt, cast(l_partkey % 200 as double) as x0, cast((l_suppkey % 100) * 2 as double) as y0,
  cast(l_partkey % 200 + l_quantity + 1.0 as double) as x1, cast((l_suppkey % 100) * 2 + l_linenumber * 6.0 as double) as y1,
  ((l_partkey * 31 + l_suppkey * 17) % 1000) / 1000.0e0 as score from {lineitem}""",
