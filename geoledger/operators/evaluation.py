@@ -64,30 +64,55 @@ def average_precision(curve: DataFrame, category: str, det: str, eleven_points:
     return curve.withColumn("part", step * F.col("envelope")).groupBy(category).agg(F.sum("part").alias("ap"))
 
 
+#: Tasks that images are dealt to for greedy work; an image's boxes stay together, many images share a group.
+GROUPS = 256
+
+
+def _by_image(df: DataFrame, keys: list[str], each, schema) -> DataFrame:  # noqa: ANN001
+    """``each`` (rows of one key, in a list of column lists) -> rows, applied within groups of many keys."""
+    names = df.columns
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(keys, kind="stable")
+        at = part.groupby(keys, sort=False).ngroup().to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(part)]
+        columns = [part[n].tolist() for n in names]
+        rows = [r for x, y in zip(cuts[:-1], cuts[1:], strict=True) for r in each(*[c[x:y] for c in columns])]
+        return pd.DataFrame(rows, columns=[f.name for f in out_fields])
+
+    from pyspark.sql.types import _parse_datatype_string
+
+    out_fields = schema.fields if hasattr(schema, "fields") else _parse_datatype_string(schema).fields
+    dealt = df.withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(GROUPS)))
+    return dealt.groupBy("_part").applyInPandas(run, schema)
+
+
 def greedy_matches(pairs: DataFrame, keys: list[str], det: str, truth: str, thresholds: list[float]) -> DataFrame:
     """(keys, det, score, threshold, tp): detections by falling score each take the best truth that is free, at each threshold.
 
     ``pairs`` has a row (keys, det, score, truth, iou) for each pair that overlaps, and one with a null truth for each detection that
-    meets none. The work is by image and category, so that groups are bounded by an image's boxes.
+    meets none. A key's rows are bounded by an image's boxes.
     """
     schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{det} long", "score double", "threshold double", "tp int"])
 
-    def each(df: pd.DataFrame) -> pd.DataFrame:
-        dets = df.groupby(det, as_index=False)["score"].first().sort_values(["score", det], ascending=[False, True])
-        by_det = {d: g.dropna(subset=[truth]).sort_values(["iou", truth], ascending=[False, True])[[truth, "iou"]].to_numpy() for d, g in df.groupby(det)}
+    def each(*columns: list) -> list[tuple]:
+        key = [c[0] for c in columns[: len(keys)]]
+        found: dict = {}
+        scores = dict(zip(columns[-4], columns[-3], strict=True))
+        for d, t, q in sorted(zip(columns[-4], columns[-2], columns[-1], strict=True), key=lambda x: (-(x[2] if x[2] == x[2] else 0), x[1])):
+            if q == q:
+                found.setdefault(d, []).append((t, q))
         rows = []
-        for t in thresholds:
-            used: set[float] = set()
-            for d, score in zip(dets[det], dets["score"], strict=True):
-                hit = next((x for x, q in by_det[d] if q >= t and x not in used), None)
-                used |= {hit} if hit is not None else set()
-                rows.append((d, score, t, int(hit is not None)))
-        out = pd.DataFrame(rows, columns=[det, "score", "threshold", "tp"])
-        for k in keys[::-1]:
-            out.insert(0, k, df[k].iloc[0])
-        return out
+        for least in thresholds:
+            used: set = set()
+            for d, score in sorted(scores.items(), key=lambda x: (-x[1], x[0])):
+                hit = next((t for t, q in found.get(d, ()) if q >= least and t not in used), None)
+                if hit is not None:
+                    used.add(hit)
+                rows.append((*key, d, score, least, int(hit is not None)))
+        return rows
 
-    return pairs.groupBy(*keys).applyInPandas(each, schema)
+    return _by_image(pairs.select(*keys, det, "score", truth, "iou"), keys, each, schema)
 
 
 def coco_precision(matches: DataFrame, truths: DataFrame, category: str, det: str) -> DataFrame:
@@ -123,23 +148,25 @@ def panoptic_quality(pairs: DataFrame) -> DataFrame:
 def suppressed(boxes: DataFrame, keys: list[str], id_: str, threshold: float) -> DataFrame:
     """Boxes that stay after greedy suppression, by falling score, of those that overlap a kept one by more than ``threshold``.
 
-    The group is an image and class. Its boxes are compared in numpy, a row of the matrix at a time.
+    A key is an image and class; its boxes are compared with the kept ones only.
     """
-
-    def each(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["score", id_], ascending=[False, True])
-        b = df[["x0", "y0", "x1", "y1"]].to_numpy(float)
-        size, alive, keep = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1]), np.ones(len(b), bool), []
-        for i in range(len(b)):
-            if alive[i]:
-                keep.append(i)
-                w = np.minimum(b[i, 2], b[i + 1 :, 2]) - np.maximum(b[i, 0], b[i + 1 :, 0])
-                h = np.minimum(b[i, 3], b[i + 1 :, 3]) - np.maximum(b[i, 1], b[i + 1 :, 1])
-                both = np.clip(w, 0, None) * np.clip(h, 0, None)
-                alive[i + 1 :] &= both <= threshold * (size[i] + size[i + 1 :] - both)
-        return df.iloc[keep]
-
-    return boxes.groupBy(*keys).applyInPandas(each, boxes.schema)
+    names = [f.name for f in boxes.schema]
+    at = {n: names.index(n) for n in (id_, "score", "x0", "y0", "x1", "y1")}
+
+    def each(*columns: list) -> list[tuple]:
+        kept: list[tuple] = []
+        for row in sorted(zip(*columns, strict=True), key=lambda r: (-r[at["score"]], r[at[id_]])):
+            x0, y0, x1, y1 = (row[at[n]] for n in ("x0", "y0", "x1", "y1"))
+            for other in kept:
+                u0, v0, u1, v1 = (other[at[n]] for n in ("x0", "y0", "x1", "y1"))
+                w, h = min(x1, u1) - max(x0, u0), min(y1, v1) - max(y0, v0)
+                if w > 0 and h > 0 and w * h > threshold * ((x1 - x0) * (y1 - y0) + (u1 - u0) * (v1 - v0) - w * h):
+                    break
+            else:
+                kept.append(row)
+        return kept
+
+    return _by_image(boxes, keys, each, boxes.schema)
 
 
 def accuracy(pred: Column, truth: Column, background: int) -> dict[str, Column]:
