@@ -68,7 +68,8 @@ def as_bool(text: Column) -> Column:
 
 def clamped(text: Column, low: float, high: float, default: float) -> Column:
     """A number within bounds; what isn't one becomes the default."""
-    return F.coalesce(F.greatest(F.least(text.try_cast("double"), F.lit(high)), F.lit(low)), F.lit(default))
+    number = text.try_cast("double")
+    return F.when(number.isNull(), F.lit(float(default))).otherwise(F.greatest(F.least(number, F.lit(float(high))), F.lit(float(low))))
 
 
 def is_harmless(message: Column, markers: list[str]) -> Column:

@@ -25,9 +25,9 @@ VIEWS = {
     "v_scene_files": """select o_orderkey as scene_key, concat('S_', cast(o_orderkey as string), '_', cast(extract(year from o_orderdate) as string)) as stem,
  case when o_orderstatus in ('O','F') then 1 else 0 end as has_pre, case when o_orderstatus in ('F','P') then 1 else 0 end as has_post,
  case when o_orderstatus = 'F' then 1 else 0 end as has_vector from {orders}""",
-    "v_progress": """select user_id as task, ts, event_id, event_type as status, value, row_number() over (partition by user_id order by ts, event_id) as cur,
+    "v_progress": """select user_id as task, ts, event_id, event_type as status, value, cast(row_number() over (partition by user_id order by ts, event_id) as bigint) as cur,
  count(*) over (partition by user_id) as total from {events}""",
-    "v_scalars": """select event_type as name, row_number() over (partition by event_type order by ts, event_id) as iter, value from {events}""",
+    "v_scalars": """select event_type as name, cast(row_number() over (partition by event_type order by ts, event_id) as bigint) as iter, value from {events}""",
 }
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
