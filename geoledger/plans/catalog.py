@@ -34,7 +34,7 @@ def query(name: str, *inputs: str, sql: str | None = None) -> Callable:
 
 
 def _load() -> None:
-    from geoledger.plans import boxes, functions, layers, raster, runs  # noqa: F401
+    from geoledger.plans import annotations, boxes, functions, layers, raster, runs, sampling, series  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
