@@ -40,7 +40,12 @@ def majority(counts: DataFrame, keys: list[str], code: Column, default: int = 0)
 def majority_of_map(counts: Column) -> Column:
     """The same of a map of counts by fine class: major class with most pixels, 0 without any."""
     entries = F.transform(F.map_entries(F.coalesce(counts, F.create_map().cast("map<int,int>"))), lambda e: F.struct(major_class(e["key"]).alias("c"), e["value"].cast("long").alias("n")))
-    totals = F.array(*[F.struct(F.aggregate(F.filter(entries, lambda e, k=k: (e["c"] == k) & (e["n"] > 0)), F.lit(0).cast("long"), lambda s, e: s + e["n"]).alias("n"), F.lit(-k).alias("k")) for k in range(1, 7)])
+
+    def total(k: int) -> Column:
+        of_k = F.filter(entries, lambda e: (e["c"] == k) & (e["n"] > 0))
+        return F.struct(F.aggregate(of_k, F.lit(0).cast("long"), lambda s, e: s + e["n"]).alias("n"), F.lit(-k).alias("k"))
+
+    totals = F.array(*[total(k) for k in range(1, 7)])
     best = F.array_max(totals)
     return F.when(best["n"] > 0, -best["k"]).otherwise(0).cast("int")
 
