@@ -133,3 +133,37 @@ def test_windows_on_a_stream(spark, sf_dir, tmp_path):
     query.awaitTermination(120)
     total = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     assert spark.table("counts").agg(F.sum("n")).first()[0] == total
+
+
+def test_assignment():
+    import itertools
+
+    import numpy as np
+
+    from geoledger.operators.scoring import assigned
+
+    rng = np.random.default_rng(0)
+    for shape in ((3, 3), (2, 4), (4, 2), (5, 5)):
+        cost = rng.random(shape)
+        pairs = assigned(cost)
+        small, large = min(shape), max(shape)
+        best = min(sum(cost[(i, j) if shape[0] <= shape[1] else (j, i)] for i, j in enumerate(p)) for p in itertools.permutations(range(large), small))
+        assert len(pairs) == small and sum(cost[i, j] for i, j in pairs) == pytest.approx(best)
+
+
+def test_rotated_boxes():
+    from geoledger.operators.scoring import rotated_iou
+
+    assert rotated_iou((0, 0, 2, 2, 0), (0, 0, 2, 2, 90)) == pytest.approx(1)
+    assert rotated_iou((0, 0, 2, 2, 0), (0, 0, 2, 2, 45)) == pytest.approx((8 * 2**0.5 - 8) / (8 - (8 * 2**0.5 - 8)))
+    assert rotated_iou((0, 0, 1, 1, 0), (5, 5, 1, 1, 30)) == 0
+
+
+def test_trackers(spark):
+    from geoledger.operators.scoring import tracked
+
+    rows = [(0, f, 10 * f + k, x + f * 0.5, 0.0, x + f * 0.5 + 10, 10.0) for f in range(4) for k, x in enumerate((0.0, 40.0)) if not (f == 2 and k == 1)]
+    df = spark.createDataFrame(rows, "video long, frame long, box long, x0 double, y0 double, x1 double, y1 double")
+    for method in ("iou", "assignment"):
+        found = {r["box"]: r["track"] for r in tracked(df, "video", "frame", "box", method=method).collect()}
+        assert found == {0: 0, 10: 0, 20: 0, 30: 0, 1: 1, 11: 1, 31: 1}
