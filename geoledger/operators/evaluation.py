@@ -178,3 +178,56 @@ def accuracy(pred: Column, truth: Column, background: int) -> dict[str, Column]:
         "false_negative": F.avg(F.when(fg, (pred == background).cast("double"))),
     }
 
+
+
+def proposal_recall(pairs: DataFrame, truths: DataFrame, keys: list[str], det: str, truth: str, thresholds: list[float], limit: int, areas: dict[str, tuple[float, float]]) -> DataFrame:
+    """(area, threshold, recall): of each range of truths' areas, those that a proposal covers, each proposal one truth, best pairs first.
+
+    ``pairs`` has (keys, det, score, truth, iou); of an image's proposals the ``limit`` best count. ``truths`` has (truth, size).
+    """
+    best = Window.partitionBy(*keys).orderBy(F.desc("score"), det)
+    some = pairs.withColumn("_k", F.dense_rank().over(best)).where(F.col("_k") <= limit).drop("_k")
+
+    def each(*columns: list) -> list[tuple]:
+        key = [c[0] for c in columns[: len(keys)]]
+        used_d, used_t, rows = set(), set(), []
+        for d, t, q in sorted(zip(*columns[len(keys) :], strict=True), key=lambda x: (-x[2], x[0], x[1])):
+            if d not in used_d and t not in used_t:
+                used_d.add(d)
+                used_t.add(t)
+                rows.append((*key, t, q))
+        return rows
+
+    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{truth} long", "iou double"])
+    covered = _by_image(some.where("iou > 0").select(*keys, det, truth, "iou"), keys, each, schema).select(truth, "iou")
+    ranges = F.array(*[F.struct(F.lit(n).alias("area"), F.lit(float(a)).alias("low"), F.lit(float(b)).alias("high")) for n, (a, b) in areas.items()])
+    sized = truths.withColumn("_a", F.explode(ranges)).where((F.col("size") >= F.col("_a.low")) & (F.col("size") < F.col("_a.high")))
+    both = sized.join(covered, truth, "left").withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
+    return both.groupBy(F.col("_a.area").alias("area"), "threshold").agg(F.avg((F.coalesce("iou", F.lit(0.0)) >= F.col("threshold")).cast("double")).alias("recall"))
+
+
+def by_frequency(scores: DataFrame, images: DataFrame, category: str, rare: int = 10, common: int = 100) -> DataFrame:
+    """(frequency, ap): mean of the categories' scores by how many images have them: r, c or f; and of all."""
+    kind = F.when(F.col("images") <= rare, "r").when(F.col("images") <= common, "c").otherwise("f")
+    named = scores.join(images, category).withColumn("frequency", kind)
+    sums = named.groupingSets([["frequency"], []], "frequency").agg(F.avg("ap").alias("ap"), F.expr("grouping(frequency)").alias("g"))
+    return sums.select(F.when(F.col("g") == 1, "all").otherwise(F.col("frequency")).alias("frequency"), "ap")
+
+
+def with_super_categories(matrix: DataFrame, groups: dict[int, str]) -> DataFrame:
+    """(level, name, iou) of classes and of their super-categories, from a confusion table (pred, truth, n)."""
+    names = F.create_map(*[F.lit(x) for kv in groups.items() for x in kv])
+    sup = lambda c: F.try_element_at(names, F.col(c).cast("int"))
+    levels = matrix.select(F.lit("class").alias("level"), F.col("pred").cast("string").alias("p"), F.col("truth").cast("string").alias("t"), "n").unionByName(matrix.select(F.lit("group").alias("level"), sup("pred").alias("p"), sup("truth").alias("t"), "n"))
+    sides = levels.select("level", F.explode(F.array(F.struct(F.col("p").alias("name"), F.lit(0).alias("side")), F.struct(F.col("t").alias("name"), F.lit(1).alias("side")))).alias("s"), (F.col("p") == F.col("t")).alias("same"), "n")
+    sums = sides.groupBy("level", F.col("s.name").alias("name")).agg(F.sum("n").alias("both"), F.sum(F.when(F.col("same") & (F.col("s.side") == 0), F.col("n")).otherwise(0)).alias("tp"))
+    return sums.select("level", "name", (F.col("tp") / (F.col("both") - F.col("tp"))).alias("iou"))
+
+
+def boundary_cells(cells: DataFrame, value: str) -> DataFrame:
+    """Cells of a class that have a neighbour, side by side, of another class or none: a mask less its erosion by one."""
+    sent = cells.select("scene_id", "r", "c", F.col(value).alias("v"), F.explode(F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0), (0, 0))])).alias("d"))
+    own = (F.col("d.dy") == 0) & (F.col("d.dx") == 0)
+    at = sent.groupBy("scene_id", (F.col("r") + F.col("d.dy")).alias("r"), (F.col("c") + F.col("d.dx")).alias("c"))
+    seen = at.agg(F.max(F.when(own, F.col("v"))).alias(value), F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    return seen.where(F.col(value).isNotNull() & ((F.col("n") < 5) | (F.col("low") != F.col("high")))).select("scene_id", "r", "c", value)

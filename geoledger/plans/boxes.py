@@ -242,3 +242,44 @@ def scalar_histogram(boxes: DataFrame) -> DataFrame:
     stats = boxes.groupBy("category_id").agg(F.min("score").alias("low"), F.max("score").alias("high"), F.count("*").alias("n"), F.round(F.sum("score"), 6).alias("total"), F.round(F.sum(F.col("score") * F.col("score")), 6).alias("squares"))
     bin_ = F.least(F.floor((F.col("score") - F.col("low")) * 10 / (F.col("high") - F.col("low"))), F.lit(9)).cast("long")
     return boxes.join(stats, "category_id").groupBy("category_id", bin_.alias("bin"), "n", "total", "squares").agg(F.count("*").alias("in_bin"))
+
+
+@query("d22_proposal_recall", "v_boxes")
+def proposal_recall(boxes: DataFrame) -> DataFrame:
+    """Greedy one-to-one coverage has no SQL form."""
+    truths = boxes.where("is_gt = 1").select(F.col("box_id").alias("truth"), fb.area(fb.box()).alias("size"))
+    areas = {"all": (0, 1e12), "small": (0, 200), "medium": (200, 800), "large": (800, 1e12)}
+    out = evaluation.proposal_recall(_pairs(boxes), truths, ["image_id"], "det", "truth", [0.3, 0.5, 0.7], 100, areas)
+    return out.select("area", "threshold", F.round("recall", 6).alias("recall"))
+
+
+@query("d23_ap_by_frequency", "v_boxes", sql=f"""{_CURVE}, y as (select category_id, (recall - coalesce(lag(recall) over (partition by category_id order by score desc, det), 0)) * envelope as part from x),
+a as (select category_id, sum(part) as ap from y group by category_id), i as (select category_id, count(distinct image_id) as images from v_boxes where is_gt = 1 group by category_id),
+q as (select case when images <= 1490 then 'r' when images <= 1510 then 'c' else 'f' end as frequency, ap from a join i using (category_id))
+select case when grouping(frequency) = 1 then 'all' else frequency end as frequency, round(avg(ap), 6) as ap from q group by grouping sets ((frequency), ())""")
+def ap_by_frequency(boxes: DataFrame) -> DataFrame:
+    curve = evaluation.precision_recall(_claims(boxes), _truths(boxes), "category_id", "det")
+    images = boxes.where("is_gt = 1").groupBy("category_id").agg(F.count_distinct("image_id").alias("images"))
+    out = evaluation.by_frequency(evaluation.average_precision(curve, "category_id", "det"), images, "category_id", rare=1490, common=1510)
+    return out.select("frequency", F.round("ap", 6).alias("ap"))
+
+
+@query("d33_super_category_iou", "v_cells", sql=f"""with m as (select pred, truth, count(*) as n from ({_CELLS}) group by all),
+l as (select 'class' as level, cast(pred as varchar) as p, cast(truth as varchar) as t, n from m union all select 'group', case when pred < 3 then 'low' else 'high' end, case when truth < 3 then 'low' else 'high' end, n from m),
+n as (select level, p as name from l union select level, t from l) select n.level, n.name, round((select sum(l.n) from l where l.level = n.level and p = n.name and t = n.name) * 1.0e0 / (select sum(l.n) from l where l.level = n.level and (p = n.name or t = n.name)), 6) as iou from n""")
+def super_category_iou(cells: DataFrame) -> DataFrame:
+    matrix = evaluation.confusion(_labels(cells), "pred", "truth", 6)
+    return evaluation.with_super_categories(matrix, {k: "low" if k < 3 else "high" for k in range(6)}).select("level", "name", F.round("iou", 6).alias("iou"))
+
+
+@query("d25_boundary_iou", "v_cells", sql="""with p as (select scene_id, r, c, pre_class % 3 as v from v_cells), t as (select scene_id, r, c, post_class % 3 as v from v_cells), d as (select * from (values (0,1),(1,0),(0,-1),(-1,0)) d(dy, dx)),
+bp as (select p.* from p where exists (select 1 from d where not exists (select 1 from p q where q.scene_id = p.scene_id and q.r = p.r + dy and q.c = p.c + dx and q.v = p.v))),
+bt as (select t.* from t where exists (select 1 from d where not exists (select 1 from t q where q.scene_id = t.scene_id and q.r = t.r + dy and q.c = t.c + dx and q.v = t.v))),
+j as (select coalesce(a.scene_id, b.scene_id) as s, a.v as a, b.v as b from bp a full join bt b on a.scene_id = b.scene_id and a.r = b.r and a.c = b.c),
+k as (select distinct v from p) select k.v as cls, round(count(*) filter (where a = k.v and b = k.v) * 1.0e0 / count(*), 6) as iou from j join k on a = k.v or b = k.v group by k.v""")
+def boundary_iou(cells: DataFrame) -> DataFrame:
+    edge = lambda c, n: evaluation.boundary_cells(cells.select("scene_id", "r", "c", (F.col(c) % 3).alias(n)), n)
+    both = edge("pre_class", "a").join(edge("post_class", "b"), ["scene_id", "r", "c"], "full")
+    each = both.select("a", "b", F.explode(F.array_distinct(F.array_compact(F.array("a", "b")))).alias("cls"))
+    hit = F.coalesce((F.col("a") == F.col("cls")) & (F.col("b") == F.col("cls")), F.lit(False))
+    return each.groupBy("cls").agg(F.round(F.count_if(hit) / F.count("*"), 6).alias("iou"))
