@@ -231,3 +231,43 @@ def boundary_cells(cells: DataFrame, value: str) -> DataFrame:
     at = sent.groupBy("scene_id", (F.col("r") + F.col("d.dy")).alias("r"), (F.col("c") + F.col("d.dx")).alias("c"))
     seen = at.agg(F.max(F.when(own, F.col("v"))).alias(value), F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     return seen.where(F.col(value).isNotNull() & ((F.col("n") < 5) | (F.col("low") != F.col("high")))).select("scene_id", "r", "c", value)
+
+
+def best_detections(boxes: DataFrame, image: str, category: str, id_: str, least_score: float, threshold: float, k: int, width: float, height: float) -> DataFrame:
+    """Boxes above a score, clipped to the image, suppressed within their class, and the k best of each image."""
+    from geoledger.functions.boxes import box, clipped, is_finite, is_not_empty
+
+    cut = dict(zip(("x0", "y0", "x1", "y1"), clipped(box(), width, height), strict=True))
+    some = boxes.where((F.col("score") > least_score) & is_finite(*box())).withColumns(cut).where(is_not_empty(box()))
+    kept = suppressed(some, [image, category], id_, threshold)
+    order = Window.partitionBy(image).orderBy(F.desc("score"), id_)
+    return kept.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= k).drop("_k")
+
+
+def merged_segments(masks: DataFrame, semantic: DataFrame, most_overlap: float, least_area: int) -> DataFrame:
+    """(scene_id, kind, id, cells): instances by falling score claim free cells, then stuff classes what is left.
+
+    ``masks`` has (scene_id, instance, score, r, c), ``semantic`` (scene_id, r, c, cls). An instance of whose cells more than the
+    share ``most_overlap`` are claimed goes; stuff of fewer than ``least_area`` cells goes. A scene's masks are in one group.
+    """
+    cell = (F.col("r") * F.lit(1 << 20) + F.col("c")).cast("long")
+
+    def each(scenes: list, instances: list, scores: list, cells: list) -> list[tuple]:
+        of: dict = {}
+        for i, s, c in zip(instances, scores, cells, strict=True):
+            of.setdefault((-s, i), set()).add(c)
+        taken: set = set()
+        rows = []
+        for (_, i), own in sorted(of.items()):
+            free = own - taken
+            if len(own) - len(free) <= most_overlap * len(own) and free:
+                taken |= free
+                rows += [(scenes[0], i, c) for c in free]
+        return rows
+
+    scene = masks.schema["scene_id"].dataType.simpleString()
+    claimed = _by_image(masks.select("scene_id", "instance", "score", cell.alias("cell")), ["scene_id"], each, f"scene_id {scene}, instance long, cell long")
+    things = claimed.groupBy("scene_id", F.lit("thing").alias("kind"), F.col("instance").alias("id")).agg(F.count("*").alias("cells"))
+    rest = semantic.withColumn("cell", cell).join(claimed.select("scene_id", "cell"), ["scene_id", "cell"], "left_anti")
+    stuff = rest.groupBy("scene_id", F.lit("stuff").alias("kind"), F.col("cls").cast("long").alias("id")).agg(F.count("*").alias("cells")).where(F.col("cells") >= least_area)
+    return things.unionByName(stuff)

@@ -240,3 +240,14 @@ def components(cells: DataFrame, width: int, diagonal: bool = False) -> DataFram
     labels = connected_components(touching.select(F.col("id").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "id")
     labelled = all_runs.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id") % F.lit(1 << 40)).drop("component", "id")
     return cells_of(labelled)
+
+
+def longest_outlines(labelled: DataFrame, n: int) -> DataFrame:
+    """(scene_id, label, outline): the n regions of each scene with most sides that face another region or none."""
+    near = labelled.select("scene_id", "r", "c", "label", _offsets([o for o in CROSS if o != (0, 0)]).alias("d"))
+    other = labelled.select("scene_id", F.col("r").alias("r2"), F.col("c").alias("c2"), F.col("label").alias("label2"))
+    near = near.withColumns({"r2": F.col("r") + F.col("d.dy"), "c2": F.col("c") + F.col("d.dx")})
+    faced = near.join(other, ["scene_id", "r2", "c2"], "left").where(~F.col("label").eqNullSafe(F.col("label2")))
+    order = Window.partitionBy("scene_id").orderBy(F.desc("outline"), "label")
+    outlines = faced.groupBy("scene_id", "label").agg(F.count("*").alias("outline"))
+    return outlines.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= n).drop("_k")

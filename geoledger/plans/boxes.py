@@ -283,3 +283,26 @@ def boundary_iou(cells: DataFrame) -> DataFrame:
     each = both.select("a", "b", F.explode(F.array_distinct(F.array_compact(F.array("a", "b")))).alias("cls"))
     hit = F.coalesce((F.col("a") == F.col("cls")) & (F.col("b") == F.col("cls")), F.lit(False))
     return each.groupBy("cls").agg(F.round(F.count_if(hit) / F.count("*"), 6).alias("iou"))
+
+
+@query("f3_best_detections", "v_boxes")
+def best_detections(boxes: DataFrame) -> DataFrame:
+    """Greedy suppression has no SQL form."""
+    kept = evaluation.best_detections(boxes.where("is_gt = 0"), "image_id", "category_id", "box_id", 0.2, 0.5, 10, 180, 150)
+    return kept.select("image_id", "box_id", "score")
+
+
+@query("f16_panoptic_merge", "v_cells", "v_polygons")
+def panoptic_merge(cells: DataFrame, polygons: DataFrame) -> DataFrame:
+    """Rectangles as instances over the classes of the later date; claims in turn have no SQL form."""
+    rows = polygons.withColumn("r", F.explode(F.sequence(F.col("y0"), F.col("y1") - 1)))
+    masks = rows.select("scene_id", F.col("fid").alias("instance"), ((F.col("fid") * 37) % 100 / 100.0).alias("score"), "r", F.explode(F.sequence(F.col("x0"), F.col("x1") - 1)).alias("c"))
+    return evaluation.merged_segments(masks, cells.select("scene_id", "r", "c", (F.col("post_class") % 3).alias("cls")), 0.5, 64)
+
+
+@query("c20_keep_predicates", "v_boxes", sql="select image_id from v_boxes group by image_id having bool_or(is_gt = 1) and (bool_or(category_id = 0 and score > 0.5) or bool_or(category_id = 3))")
+def keep_predicates(boxes: DataFrame) -> DataFrame:
+    """Images with truth, and with a sure box of one category or any of another."""
+    any_ = lambda cond: F.bool_or(F.expr(cond))
+    kept = boxes.groupBy("image_id").agg((any_("is_gt = 1") & (any_("category_id = 0 and score > 0.5") | any_("category_id = 3"))).alias("keep"))
+    return kept.where("keep").select("image_id")

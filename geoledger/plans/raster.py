@@ -239,3 +239,10 @@ def components(cells: DataFrame) -> DataFrame:
     some = cells.where("scene_id = 0 and post_class % 3 > 0").select("scene_id", "r", "c", (F.col("post_class") % 3).alias("v"))
     labels = raster.components(some, 64)
     return labels.groupBy("scene_id", "label").agg(F.count("*").alias("cells")).select(F.col("label").cast("long").alias("label"), "cells")
+
+
+@query("f6_largest_components", "v_cells")
+def largest_components(cells: DataFrame) -> DataFrame:
+    """The five regions of each scene with the longest outline; regions come from star contraction, checked by h38."""
+    some = cells.select("scene_id", "r", "c", (F.col("post_class") % 3).alias("v")).where("v > 0")
+    return raster.longest_outlines(raster.components(some, 64), 5)
