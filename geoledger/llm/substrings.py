@@ -195,6 +195,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A text shorter than a window loses nothing. Equal texts of at least a window lose all their words, as every window
     also starts in the other.
     """
-    found = repeats(docs, text_col, window).select("text_key", "n_words", "n_removed", "kept_sha256")
+    # Written, so that the join below has two plain sides, whose hot keys can be split.
+    found = written(repeats(docs, text_col, window).select("text_key", "n_words", "n_removed", "kept_sha256"), "repeats")
     out = docs.select(F.col(id_col), text_key(text_col).alias("text_key")).join(found, "text_key")
     return out.select(id_col, "n_words", "n_removed", "kept_sha256")
