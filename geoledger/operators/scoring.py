@@ -102,8 +102,9 @@ def by_tile(cells: DataFrame, size: int, bands: list[str], change: Callable[...,
 
 def corners(cx: float, cy: float, w: float, h: float, degrees: float) -> np.ndarray:
     """The four corners of a rotated box, in turn."""
-    t = np.radians(degrees)
-    axis = np.array([[np.cos(t), -np.sin(t)], [np.sin(t), np.cos(t)]])
+    # Rounded, so that right angles are exact.
+    cos, sin = np.round((np.cos(np.radians(degrees)), np.sin(np.radians(degrees))), 15)
+    axis = np.array([[cos, -sin], [sin, cos]])
     return np.array([[-w, -h], [w, -h], [w, h], [-w, h]]) / 2 @ axis + (cx, cy)
 
 
