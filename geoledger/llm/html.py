@@ -36,11 +36,87 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|title|textarea|select|button|svg|iframe|object|math)(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))",
     re.S | re.I,
 )
+#: Elements whose content is no markup; elements whose content isn't the page's text; of them those that ``/>`` closes.
+_RAW = frozenset("script style title textarea iframe".split())
+_HIDDEN = frozenset("noscript template select button svg object math".split())
+_FOREIGN = frozenset("svg math".split())
+#: Elements within svg that hold markup of the page; elements that the end of a block outside doesn't close.
+_ISLANDS, _BARRIERS = frozenset(["foreignobject", "annotation-xml"]), frozenset(["template", "object"])
+#: Blocks that end an svg or math they are in.
+_BREAK_OUT = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr li menu ol p pre table ul".split())
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for tag in _RAW}
+_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*>\Z")
+
+
+def _tags(source: str) -> list[tuple[int, int, str, str, str]]:
+    """(start, end, slash, name, attributes) of the tags outside hidden elements; what is to be left out has an empty name.
+
+    A hidden element goes from its start to its own end, or for svg and math to the block that breaks out of it. One that
+    is never closed, or not before the block around it, hides nothing.
+    """
+    tags: list[tuple[int, int, str, str, str]] = []
+    hidden: list[tuple[int, int]] = []
+    opened: list[tuple[str, int]] = []
+    # Places in ``opened``: by name, of svg and math and islands in them, of barriers.
+    places: dict[str, list[int]] = {}
+    foreign: list[int] = []
+    barriers: list[int] = []
+
+    def cut(k: int) -> None:
+        for name, _ in opened[k:]:
+            places[name].pop()
+        del opened[k:]
+        for kind in (foreign, barriers):
+            while kind and kind[-1] >= k:
+                kind.pop()
+
+    at = 0
+    while m := _TOKEN.search(source, at):
+        start, at, slash, name, more = m.start(), m.end(), m[1], (m[2] or "").lower(), m[3]
+        inside = bool(foreign) and opened[foreign[-1]][0] in _FOREIGN
+        if name in _RAW:
+            if not slash and not (inside and _CLOSED.search(more)):
+                end = _RAW_END[name].search(source, at)
+                at = end.end() if end else len(source)
+            name = ""
+        elif slash and (name in _HIDDEN or name in _ISLANDS or name in _BLOCKS):
+            k = places[name][-1] if places.get(name) else -1
+            if k >= 0 and not (name in _BLOCKS and barriers and barriers[-1] > k):
+                if name in _HIDDEN:
+                    hidden.append((opened[k][1], at))
+                cut(k)
+        elif name:
+            if inside and name in _BREAK_OUT:
+                while foreign and opened[foreign[-1]][0] in _FOREIGN:
+                    hidden.append((opened[foreign[-1]][1], start))
+                    cut(foreign[-1])
+            if (name in _HIDDEN or name in _ISLANDS and foreign or name in _BLOCKS and name not in _VOID) and not ((name in _FOREIGN or inside) and _CLOSED.search(more)):
+                if name in _FOREIGN or name in _ISLANDS:
+                    foreign.append(len(opened))
+                if name in _BARRIERS:
+                    barriers.append(len(opened))
+                places.setdefault(name, []).append(len(opened))
+                opened.append((name, start))
+        tags.append((start, at, slash or "", name, more or ""))
+    if not hidden:
+        return tags
+    out, end, k = [], 0, 0
+    hidden.sort()
+    for tag in tags:
+        while k < len(hidden) and hidden[k][0] <= tag[0]:
+            if hidden[k][1] > end:
+                out.append((max(hidden[k][0], end), hidden[k][1], "", "", ""))
+                end = hidden[k][1]
+            k += 1
+        if tag[0] >= end:
+            out.append(tag)
+    return out
+
+
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -53,12 +129,12 @@ class _Page:
         self.blocks: list[tuple[int, str, int, int]] = []  # container, text, characters in links, links
         self._by_marks, self._open, self._text, self._link, self._linked, self._links = by_marks, [0], [], 0, [], 0
         at = 0
-        for m in _TOKEN.finditer(source):
-            if m.start() > at:
-                self._more(source[at : m.start()])
-            at = m.end()
-            if m[3]:
-                (self._end if m[2] else self._start)(m[3].lower(), m[4])
+        for start, end, slash, name, more in _tags(source):
+            if start > at:
+                self._more(source[at:start])
+            at = end
+            if name:
+                (self._end if slash else self._start)(name, more)
         self._more(source[at:])
         self._flush()
 
