@@ -21,13 +21,24 @@ from geoledger.llm.simhash import _Forest
 from geoledger.operators.graph import connected_components
 from geoledger.scratch import written
 
-#: Trees; vectors a leaf has at about which splitting stops; vectors of a block; rows that splits are fitted on at most.
+#: Trees at least; vectors a leaf has at about which splitting stops; vectors of a block; rows that splits are fitted on at most.
 TREES, LEAF, BLOCK, SAMPLE = 6, 400, 1500, 20_000
 #: Vectors so near to a split (times 1 / sqrt of the dimension) go to both sides.
 SPILL = 0.16
+#: Of the pairs near the bound so many stay together at a level, and so many may be missed by all trees.
+TOGETHER, MISSED = 0.89, 0.005
 _PAIRS = 1 << 18
 
 
+def depth_for(n: int) -> int:
+    return max(1, int(np.ceil(np.log2(n / LEAF)))) if n > LEAF else 0
+
+
+def trees_for(depth: int) -> int:
+    """Trees by depth, as a pair that is parted at any level is lost in that tree."""
+    return max(TREES, int(np.ceil(np.log(MISSED) / np.log(1 - TOGETHER**depth)))) if depth else 1
+
+
 class Forest:
     """Directions by tree and level, and each node's threshold; nodes that the sample says nothing of split at the level's median."""
 
@@ -115,38 +126,43 @@ def compare(x: np.ndarray, y: np.ndarray, cx: np.ndarray, cy: np.ndarray, wx: np
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.95) -> DataFrame:
     """(id_col, n_links, component_id, kept): one row per row of ``vectors``.
 
-    Vectors that are null, empty, zero, or hold a null or a non-finite component link with nothing, nor do those whose
-    length isn't the most common one. Repeated rows are other vectors. Null ids are passed over in ``component_id``.
+    Vectors that are null, empty, zero, or hold a null or a non-finite component link with nothing. Vectors of different
+    lengths don't link; each length has its own forest, and one of few vectors is compared in full. Repeated rows are other vectors. Null ids are passed over in ``component_id``.
     """
     v = F.col(vector_col).cast("array<double>")
     good = F.col(vector_col).isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).alias("id"), F.when(good, v).alias("v"))
     rows = rows.select("id", "v", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("k"))
     classes = written(rows.where("v is not null").groupBy("k").agg(F.first("v").alias("v"), F.count("*").alias("w"), F.min("id").alias("first")), "vectors")
-    sizes = classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    dim, n = (sizes["d"], sizes["n"]) if sizes else (1, 0)
-    usable = classes.where(F.size("v") == dim)
-    depth = max(1, int(np.ceil(np.log2(max(1, n) / LEAF)))) if n > LEAF else 1
-    sample = np.array([r["v"] for r in usable.orderBy(F.xxhash64("k"), "k").limit(SAMPLE).select("v").collect()], np.float64).reshape(-1, dim)
-    norms = np.linalg.norm(sample, axis=1, keepdims=True)
-    forest = Forest(sample / np.where(norms > 0, norms, 1), depth, TREES)
+    sizes = {r["d"]: r["n"] for r in classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
+    forests = {}
+    for dim, n in sizes.items():
+        if n > LEAF:
+            few = max(LEAF, SAMPLE * n // sum(sizes.values()))
+            sample = classes.where(F.size("v") == dim).orderBy(F.xxhash64("k"), "k").limit(few).select("v").collect()
+            sample = np.array([r["v"] for r in sample], np.float64).reshape(-1, dim)
+            depth = depth_for(n)
+            forests[dim] = Forest(sample / np.linalg.norm(sample, axis=1, keepdims=True), depth, trees_for(depth))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cells = forest.cells(_unit(b.column(1), dim))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells, pa.list_(pa.int64()))], names=["k", "v", "w", "cells"])
+            length = np.diff(b.column(1).offsets.to_numpy())
+            for dim in np.unique(length).tolist():
+                part = b.filter(pa.array(length == dim))
+                cells = forests[dim].cells(_unit(part.column(1), dim)) if dim in forests else [[0]] * part.num_rows
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells, pa.list_(pa.int64())), pa.array([dim] * part.num_rows, pa.int32())], names=["k", "v", "w", "cells", "dim"])
 
-    placed = usable.select("k", "v", "w").mapInArrow(place, "k long, v array<double>, w long, cells array<long>")
+    placed = classes.select("k", "v", "w").mapInArrow(place, "k long, v array<double>, w long, cells array<long>, dim int")
     placed = written(placed, "cells")
-    dealt = placed.select("k", "v", "w", "cells", F.explode("cells").alias("cell"))
-    full = placed.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = dealt.join(full, "cell").withColumn("own", F.pmod(F.xxhash64("k", F.lit(3)), F.col("blocks")).cast("int"))
+    dealt = placed.select("k", "v", "w", "cells", "dim", F.explode("cells").alias("cell"))
+    full = placed.select("dim", F.explode("cells").alias("cell")).groupBy("dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = dealt.join(full, ["dim", "cell"]).withColumn("own", F.pmod(F.xxhash64("k", F.lit(3)), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
 
     def each(t: pa.Table) -> pa.Table:
         p, q, cell = (t.column(c)[0].as_py() for c in ("p", "q", "cell"))
-        x, k, w, own = _unit(t.column("v"), dim), t.column("k").to_numpy(), t.column("w").to_numpy(), t.column("own").to_numpy()
+        x, k, w, own = _unit(t.column("v"), t.column("dim")[0].as_py()), t.column("k").to_numpy(), t.column("w").to_numpy(), t.column("own").to_numpy()
         lists = t.column("cells").to_pylist()
         table = np.full((len(k), max(map(len, lists))), -1, np.int64)
         for r, c in enumerate(lists):
@@ -159,7 +175,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         hit = links > 0
         return pa.table({"k": key[hit], "links": links[hit], "root": key[root[hit]]})
 
-    found = dealt.select("cell", "p", "q", "own", "k", "v", "w", "cells").groupBy("cell", "p", "q").applyInArrow(each, "k long, links long, root long")
+    found = dealt.select("dim", "cell", "p", "q", "own", "k", "v", "w", "cells").groupBy("dim", "cell", "p", "q").applyInArrow(each, "k long, links long, root long")
     found = written(found, "links")
     links = found.groupBy("k").agg(F.sum("links").alias("links"))
     tied = connected_components(found.select(F.col("k").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "k")
