@@ -1,8 +1,10 @@
 """Near-duplicate embeddings by a forest of random-projection trees with spill.
 
-Equal vectors are one class. Each tree splits the space again and again along random directions at the median of a
-bounded sample; vectors near a split go to both sides. Vectors are compared with those in their leaf only, in double
-precision, and a pair that shares several leaves counts in the first alone. A leaf of too many vectors is cut into
+Equal vectors are one class. Vectors are divided by their largest component and then by their length, so that no finite one
+is too small or too large. Each tree splits the space again and again along random directions at the median of a
+bounded sample; vectors near a split go to both sides. Vectors are compared with those in their leaf only, and a pair that
+shares several leaves counts in the first alone. Products are taken in single precision first; those within its error
+of the bound are taken again in double precision. A leaf of too many vectors is cut into
 blocks, and each pair of blocks is a task of its own, so that a dense cluster is spread.
 
 No pairs are sent on: each comparison gives a vector's number of links and a spanning forest.
@@ -22,11 +24,11 @@ from geoledger.operators.graph import connected_components
 from geoledger.scratch import written
 
 #: Trees at least; vectors a leaf has at about which splitting stops; vectors of a block; rows that splits are fitted on at most.
-TREES, LEAF, BLOCK, SAMPLE = 6, 400, 1500, 20_000
+TREES, LEAF, BLOCK, SAMPLE = 6, 1000, 3000, 20_000
 #: Vectors so near to a split (times 1 / sqrt of the dimension) go to both sides.
 SPILL = 0.16
 #: Of the pairs near the bound so many stay together at a level, and so many may be missed by all trees.
-TOGETHER, MISSED = 0.89, 0.005
+TOGETHER, MISSED = 0.89, 0.01
 _PAIRS = 1 << 18
 
 
@@ -72,51 +74,78 @@ class Forest:
         known, back = np.unique(node, return_inverse=True)
         return np.array([values.get(int(n), common) for n in known])[back] if len(node) else np.empty(0)
 
-    def cells(self, x: np.ndarray) -> list[list[int]]:
-        """The leaves of each row, of all trees, in ascending order."""
-        rows, cells = [], []
+    def cells(self, x: np.ndarray) -> list[np.ndarray]:
+        """The leaves of each row: first its own of each tree, then those that it spills into, each in ascending order."""
+        if not len(x):
+            return []
+        rows, cells, homes = [], [], []
         for tree, (d, thresholds) in enumerate(zip(self.directions, self.thresholds, strict=True)):
-            p, row, node = x @ d, np.arange(len(x)), np.zeros(len(x), np.int64)
+            p, row, node, home = x @ d, np.arange(len(x)), np.zeros(len(x), np.int64), np.ones(len(x), bool)
             for level, (values, common) in enumerate(thresholds):
                 away = p[row, level] - self._at(node, values, common)
                 left, right = away <= self.margin, away > -self.margin
+                home = np.concatenate((home[left] & (away[left] <= 0), home[right] & (away[right] > 0)))
                 row, node = np.concatenate((row[left], row[right])), np.concatenate((node[left] * 2, node[right] * 2 + 1))
             rows.append(row)
             cells.append(node + (tree << self.depth))
+            homes.append(home)
         row, cell = np.concatenate(rows), np.concatenate(cells)
-        order = np.lexsort((cell, row))
-        return [c.tolist() for c in np.split(cell[order], np.cumsum(np.bincount(row, minlength=len(x)))[:-1])] if len(x) else []
+        order = np.lexsort((cell, ~np.concatenate(homes), row))
+        return np.split(cell[order], np.cumsum(np.bincount(row, minlength=len(x)))[:-1])
 
 
 def _unit(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     x = np.asarray(column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten(), np.float64).reshape(-1, dim)
+    x = x / np.abs(x).max(1, keepdims=True, initial=0)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _first_common(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, cell: int) -> np.ndarray:
-    """Which pairs (i, j) of rows of the padded cell tables ``a`` and ``b`` have no common cell before ``cell``."""
+def _table(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of different lengths as rows of one array, filled up with -1."""
+    lists = column.combine_chunks()
+    length = np.diff(lists.offsets.to_numpy())
+    out = np.full((len(length), int(length.max(initial=1))), -1, np.int64)
+    out[np.arange(out.shape[1]) < length[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def _first_common(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, cell: int, trees: int) -> np.ndarray:
+    """Which pairs (i, j) of rows of the cell tables ``a`` and ``b`` have no common cell before ``cell``."""
     left = np.arange(len(i))
-    for column in a.T:  # ascending, so that most pairs that met before are out after one or two
+    for t in range(trees):  # most pairs that met before did so in the leaf that is their own in some tree
+        now = a[i[left], t]
+        left = left[(now != b[j[left], t]) | (now >= cell)]
+    for column in a.T:
+        if not len(left):
+            break
         now = column[i[left]]
         met = ((b[j[left]] == now[:, None]).any(1)) & (now < cell)
         left = left[~met]
     return left
 
 
-def compare(x: np.ndarray, y: np.ndarray, cx: np.ndarray, cy: np.ndarray, wx: np.ndarray, wy: np.ndarray, same: bool, cell: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+def compare(x: np.ndarray, y: np.ndarray, cx: np.ndarray, cy: np.ndarray, wx: np.ndarray, wy: np.ndarray, same: bool, cell: int, least: float, trees: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """(links of each row of x then y, root of each in the same numbering), over the pairs that meet first in ``cell``."""
     n = len(x)
     links, forest = np.zeros(n + (0 if same else len(y)), np.int64), _Forest(n + (0 if same else len(y)))
     off = 0 if same else n
     step = max(1, (1 << 22) // max(1, len(y)))
+    single, turned = x.astype(np.float32), y.astype(np.float32).T
+    error = (x.shape[1] + 8) * 2.0**-23
     for k in range(0, n, step):
-        i, j = np.nonzero(x[k : k + step] @ y.T >= least)
+        near = single[k : k + step] @ turned
+        i, j = np.nonzero(near >= least - error)
+        unsure = near[i, j] < least + error
         i += k
         if same:
-            i, j = i[i < j], j[i < j]
+            one = i < j
+            i, j, unsure = i[one], j[one], unsure[one]
         for s in range(0, len(i), _PAIRS):
-            a, b = i[s : s + _PAIRS], j[s : s + _PAIRS]
-            new = _first_common(cx, cy, a, b, cell)
+            a, b, u = i[s : s + _PAIRS], j[s : s + _PAIRS], np.flatnonzero(unsure[s : s + _PAIRS])
+            fine = np.ones(len(a), bool)
+            fine[u] = np.einsum("ij,ij->i", x[a[u]], y[b[u]]) >= least
+            a, b = a[fine], b[fine]
+            new = _first_common(cx, cy, a, b, cell, trees)
             a, b = a[new], b[new]
             links += np.bincount(a, wy[b], len(links)).astype(np.int64) + np.bincount(b + off, wx[a], len(links)).astype(np.int64)
             forest.join(a, b + off)
@@ -127,9 +156,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """(id_col, n_links, component_id, kept): one row per row of ``vectors``.
 
     Vectors that are null, empty, zero, or hold a null or a non-finite component link with nothing. Vectors of different
-    lengths don't link; each length has its own forest, and one of few vectors is compared in full. Repeated rows are other vectors. Null ids are passed over in ``component_id``.
+    lengths don't link; each length has its own forest, and one of few vectors is compared in full. Repeated rows are other
+    vectors. Null ids are passed over in ``component_id``. An empty table gives an empty result; other columns don't matter.
     """
-    v = F.col(vector_col).cast("array<double>")
+    # Single precision, if the table has it, takes half of the place on the way.
+    kind = "float" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
+    v = F.col(vector_col).cast(f"array<{kind}>")
     good = F.col(vector_col).isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).alias("id"), F.when(good, v).alias("v"))
     rows = rows.select("id", "v", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("k"))
@@ -140,9 +172,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         if n > LEAF:
             few = max(LEAF, SAMPLE * n // sum(sizes.values()))
             sample = classes.where(F.size("v") == dim).orderBy(F.xxhash64("k"), "k").limit(few).select("v").collect()
-            sample = np.array([r["v"] for r in sample], np.float64).reshape(-1, dim)
             depth = depth_for(n)
-            forests[dim] = Forest(sample / np.linalg.norm(sample, axis=1, keepdims=True), depth, trees_for(depth))
+            forests[dim] = Forest(_unit(pa.array([r["v"] for r in sample], pa.list_(pa.float64())), dim), depth, trees_for(depth))
+    small = max((len(f.directions) << f.depth for f in forests.values()), default=0) < 1 << 31
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -150,9 +182,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             for dim in np.unique(length).tolist():
                 part = b.filter(pa.array(length == dim))
                 cells = forests[dim].cells(_unit(part.column(1), dim)) if dim in forests else [[0]] * part.num_rows
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells, pa.list_(pa.int64())), pa.array([dim] * part.num_rows, pa.int32())], names=["k", "v", "w", "cells", "dim"])
+                cells = pa.array(cells, pa.list_(pa.int32() if small else pa.int64()))
+                yield pa.RecordBatch.from_arrays([*part.columns, cells, pa.array([dim] * part.num_rows, pa.int32())], names=["k", "v", "w", "cells", "dim"])
 
-    placed = classes.select("k", "v", "w").mapInArrow(place, "k long, v array<double>, w long, cells array<long>, dim int")
+    placed = classes.select("k", "v", "w").mapInArrow(place, f"k long, v array<{kind}>, w long, cells array<{'int' if small else 'long'}>, dim int")
     placed = written(placed, "cells")
     dealt = placed.select("k", "v", "w", "cells", "dim", F.explode("cells").alias("cell"))
     full = placed.select("dim", F.explode("cells").alias("cell")).groupBy("dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -163,14 +196,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     def each(t: pa.Table) -> pa.Table:
         p, q, cell = (t.column(c)[0].as_py() for c in ("p", "q", "cell"))
         x, k, w, own = _unit(t.column("v"), t.column("dim")[0].as_py()), t.column("k").to_numpy(), t.column("w").to_numpy(), t.column("own").to_numpy()
-        lists = t.column("cells").to_pylist()
-        table = np.full((len(k), max(map(len, lists))), -1, np.int64)
-        for r, c in enumerate(lists):
-            table[r, : len(c)] = c
+        dim, table = t.column("dim")[0].as_py(), _table(t.column("cells"))
         # Padding must not match: it differs between the two sides.
         a, b = np.flatnonzero(own == p), np.flatnonzero(own == q)
         padded = np.where(table < 0, -2, table)
-        links, root = compare(x[a], x[b], table[a], padded[b], w[a], w[b], p == q, cell, least)
+        trees = len(forests[dim].directions) if dim in forests else 1
+        links, root = compare(x[a], x[b], table[a], padded[b], w[a], w[b], p == q, cell, least, trees)
         key = k[a] if p == q else np.concatenate((k[a], k[b]))
         hit = links > 0
         return pa.table({"k": key[hit], "links": links[hit], "root": key[root[hit]]})

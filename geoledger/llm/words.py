@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Words as a Java or RE2 pattern. ``bytes.split()`` splits at the same six characters.
@@ -12,6 +14,21 @@ _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
 
+def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """(the words of all texts, number of words of each) of a binary array; null as empty, A-Z in lower case if asked.
+
+    The bytes are split as they are, valid UTF-8 or not: only ASCII is looked at.
+    """
+    plain = pc.fill_null(texts, b"").view(pa.string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(plain) if lower else plain)
+    flat = lists.flatten()
+    full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    before = np.concatenate(([0], np.cumsum(full)))
+    bounds = before[bounds - bounds[0]] if len(bounds) else np.zeros(1, np.int64)
+    return flat.view(pa.binary()).filter(pa.array(full)), np.diff(bounds)
+
+
 def hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
     """XXH64 of each word."""
     digest = xxhash.xxh64_intdigest
