@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
@@ -118,11 +118,21 @@ def posterior(patterns: np.ndarray, share: float, table: np.ndarray) -> np.ndarr
     return 1 / (1 + np.exp(np.clip(bad - good + np.log((1 - share) / share), -500, 500)))
 
 
+def _lean(votes: Column, share: float, table: np.ndarray) -> Column:
+    """Log-odds that a text with these votes (a number with a digit of base 3 for each rule) is good."""
+    out = F.lit(float(np.log(share / (1 - share))))
+    for rule, weights in enumerate(np.log(table[1]) - np.log(table[0])):
+        vote = F.pmod(F.floor(votes / 3**rule), F.lit(3)).cast("int")
+        out = out + F.element_at(F.array(*[F.lit(float(w)) for w in weights]), vote + 1)
+    return out
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 20, most_repeated: int = 30) -> DataFrame:
     """(id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept), one row per row of ``docs``.
 
-    A null text is as an empty one: no words, which fails the base. All texts with a word take part in the
-    estimation, those that fail the base too. Repeated rows each count.
+    A null text is as an empty one: no words, which fails the base; bytes that are no UTF-8 are read as U+FFFD. All texts
+    with a word take part in the estimation, those that fail the base too. Repeated rows each count. An empty table gives
+    an empty result; other columns of ``docs`` don't matter.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     kind = docs.schema[id_col]
@@ -131,7 +141,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
         for b in batches:
             rows = []
             for text in b.column(1).to_pylist():
-                text = text or ""
+                text = (text or b"").decode(errors="replace")
                 counts = base_counts(text)
                 rows.append((*counts[:5], counts[0] < least_words or 100 * counts[4] > most_repeated * counts[0], sum(v * 3**i for i, v in enumerate(votes(text, counts)))))
             columns = [list(c) for c in zip(*rows, strict=True)] or [[]] * 7
@@ -139,11 +149,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["id", *names, "base_failed", "votes"])
 
     schema = StructType([StructField("id", kind.dataType), *[StructField(n, LongType()) for n in names], StructField("base_failed", BooleanType()), StructField("votes", LongType())])
-    voted = written(docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(each, schema), "votes")
+    voted = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary")).mapInArrow(each, schema), "votes")
     rows = voted.where("n_words > 0").groupBy("votes").count().collect()
     codes = np.array([r["votes"] for r in rows], np.int64)
     patterns = codes[:, None] // 3 ** np.arange(len(RULES)) % 3
     share, table = accuracies(patterns, np.array([r["count"] for r in rows], float))
-    good = [int(c) for c in codes[posterior(patterns, share, table) >= 0.5]]
-    kept = ~F.col("base_failed") & (F.col("votes").isin(good) if good else F.lit(False))
+    kept = ~F.col("base_failed") & (_lean(F.col("votes"), share, table) >= 0)
     return voted.select(F.col("id").alias(id_col), *names, "base_failed", kept.alias("kept"))

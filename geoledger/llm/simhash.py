@@ -1,32 +1,36 @@
 """SimHash near-duplicates: a binary trie of all fingerprints joined with itself.
 
 Pairs of trie nodes are walked together from the root. Each level adds the bits in which the two nodes differ, and a
-pair is pruned as soon as it exceeds the error budget. Two fingerprints that differ in at most ``budget`` bits differ
-in at most ``budget // 2`` bits of one of their halves, so two tries are walked, one of the fingerprints and one of the
-fingerprints with their halves exchanged, each with that tighter budget down to the half. It finds the same pairs and
-visits a small part of the nodes.
+pair is pruned as soon as it exceeds the error budget. Of fingerprints cut into parts, two that differ in at most ``budget``
+bits differ in at most ``budget // parts`` bits of one part; so a trie is walked for each part, of the fingerprints turned
+so that it comes first, with that tighter budget down to its end. It finds the same pairs and visits few of the nodes.
 
 The upper levels are walked as a shuffle: a fingerprint goes to each pair of top nodes within the budget that it is part of.
-Each such pair of subtrees is then walked in one task. Pairs are not sent on: a task returns a spanning forest of what
+Nodes are counted, and pairs with a node of too many fingerprints go down some levels more, again by shuffle.
+Each pair of subtrees is then walked in one task. Pairs are not sent on: a task returns a spanning forest of what
 it found, at most one edge a fingerprint, and connected components are taken by star contraction.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from geoledger.operators.graph import connected_components
 from geoledger.scratch import written
 
 #: Fingerprints of a subtree at about which another level of the trie is taken by the shuffle.
 SUBTREE = 8192
+#: A node of so many is taken so many levels further down by another shuffle.
+HEAVY, LEVELS = 4 * SUBTREE, 4
 #: Pairs of leaves compared at once.
 _BLOCK = 1 << 20
 
@@ -50,20 +54,16 @@ def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(id_col, fp long): one row per row of ``docs``; null texts have fingerprint 0."""
-    kind = docs.schema[id_col].dataType
+def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
+    """Columns ``keep`` and fp (long): one row per row of ``docs``; null texts have fingerprint 0."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t.as_py(), shingle, seed) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["id", "fp"])
+            fp = np.array([fingerprint(t, shingle, seed) for t in b.column(0).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fp)], names=[*keep, "fp"])
 
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    schema = StructType([StructField("id", kind), StructField("fp", LongType(), False)])
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t")).mapInArrow(each, schema)
-    return out.withColumnRenamed("id", id_col)
+    schema = StructType([*[docs.schema[c] for c in keep], StructField("fp", LongType(), False)])
+    return docs.select(F.col(text_col).cast("binary"), *keep).mapInArrow(each, schema)
 
 
 class _Forest:
@@ -98,13 +98,14 @@ def _children(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> n
     return np.searchsorted(keys, (keys[lo] & ~((bit << np.uint64(1)) - np.uint64(1) if depth else np.uint64(2**64 - 1))) | bit)
 
 
-def trie_join(keys: np.ndarray, left: tuple[int, int], right: tuple[int, int], depth: int, differing: int, budget: int, forest: _Forest, half: int = 32, small: int = 96) -> None:
+def trie_join(keys: np.ndarray, left: tuple[int, int], right: tuple[int, int], depth: int, differing: int, budget: int, forest: _Forest, part: int = 32, tight: int | None = None, small: int = 96) -> None:
     """Walk two nodes of the trie over the sorted distinct ``keys`` together, and join leaves within the budget.
 
     ``left`` and ``right`` are ranges of ``keys``, equal for a node with itself; ``differing`` bits of their common
-    depth differ. Down to ``half`` bits half of the budget holds. Pairs of at most ``small`` leaf pairs are compared at
-    once, which is the same as walking them to the end.
+    depth differ. Down to ``part`` bits the budget is ``tight`` (half of it). Pairs of at most ``small`` leaf pairs are
+    compared at once, which is the same as walking them to the end.
     """
+    tight = budget // 2 if tight is None else tight
     if left[0] >= left[1] or right[0] >= right[1]:
         return
     stack = [(np.array([[left[0], left[1], right[0], right[1], differing]], np.int64), depth)]
@@ -115,7 +116,7 @@ def trie_join(keys: np.ndarray, left: tuple[int, int], right: tuple[int, int], d
             continue
         pairs = (nodes[:, 1] - nodes[:, 0]) * (nodes[:, 3] - nodes[:, 2])
         leaf = (pairs <= small) if d < 64 else np.ones(len(nodes), bool)
-        _compare(keys, nodes[leaf], pairs[leaf], budget, half, forest)
+        _compare(keys, nodes[leaf], pairs[leaf], budget, part, tight, forest)
         nodes = nodes[~leaf]
         if not len(nodes):
             continue
@@ -126,14 +127,14 @@ def trie_join(keys: np.ndarray, left: tuple[int, int], right: tuple[int, int], d
         kids = [np.stack(x, 1) for x in ((a0, a1, b0, b1, diff), (a1, a2, b1, b2, diff), (a0, a1, b1, b2, diff + 1))]
         kids.append(np.stack((a1, a2, b0, b1, diff + 1), 1)[~same])
         kids = np.concatenate(kids)
-        most = budget // 2 if d + 1 <= half else budget
+        most = tight if d + 1 <= part else budget
         kids = kids[(kids[:, 4] <= most) & (kids[:, 0] < kids[:, 1]) & (kids[:, 2] < kids[:, 3])]
         if len(kids):
             stack.append((kids, d + 1))
 
 
-def _compare(keys: np.ndarray, nodes: np.ndarray, pairs: np.ndarray, budget: int, half: int, forest: _Forest) -> None:
-    top = np.uint64(2**64 - 1) << np.uint64(64 - half)
+def _compare(keys: np.ndarray, nodes: np.ndarray, pairs: np.ndarray, budget: int, first: int, tight: int, forest: _Forest) -> None:
+    top = np.uint64(2**64 - 1) << np.uint64(64 - first)
     at = 0
     bounds = np.cumsum(pairs)
     while at < len(nodes):
@@ -145,7 +146,7 @@ def _compare(keys: np.ndarray, nodes: np.ndarray, pairs: np.ndarray, budget: int
         width = (part[:, 3] - part[:, 2])[which]
         i, j = part[which, 0] + k // width, part[which, 2] + k % width
         x = keys[i] ^ keys[j]
-        near = (np.bitwise_count(x) <= budget) & (np.bitwise_count(x & top) <= budget // 2) & (i != j)
+        near = (np.bitwise_count(x) <= budget) & (np.bitwise_count(x & top) <= tight) & (i != j)
         forest.join(i[near], j[near])
 
 
@@ -153,51 +154,108 @@ def _masks(bits: int, most: int) -> list[int]:
     return [sum(1 << i for i in c) for k in range(most + 1) for c in combinations(range(bits), k)]
 
 
-def near_links(fps: DataFrame, budget: int = 4) -> DataFrame:
+def _turned(fp: Column, by: int) -> Column:
+    return F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, 64 - by)) if by else fp
+
+
+def _node(depth: int) -> Column:
+    return F.shiftrightunsigned("key", 64 - depth) if depth else F.lit(0).cast("long")
+
+
+def _dealt(rows: DataFrame, depth: int, levels: int, limit: int, nodes: DataFrame | None = None) -> DataFrame:
+    """(turn, key, lo, hi) ``levels`` further down: each key for all pairs of nodes within ``limit`` bits that it is part of.
+
+    If ``nodes`` (turn, node) are given, for those only whose other node is one of them.
+    """
+    own = _node(depth + levels)
+    # The node on the other side: above, that of the pair which doesn't hold the key.
+    across = F.when(F.shiftrightunsigned(own, levels) == F.col("lo"), F.col("hi")).otherwise(F.col("lo")) if depth else F.lit(0).cast("long")
+    left = F.lit(limit) - F.bit_count(F.col("lo").bitwiseXOR(F.col("hi"))) if depth else F.lit(limit)
+    masks = F.array(*[F.lit(m).cast("long") for m in _masks(levels, limit)])
+    near = rows.select("turn", "key", own.alias("own"), across.alias("across"), F.explode(F.filter(masks, lambda m: F.bit_count(m) <= left)).alias("mask"))
+    low = F.col("own").bitwiseAND(F.lit((1 << levels) - 1).cast("long")).bitwiseXOR(F.col("mask"))
+    other = F.shiftleft("across", levels).bitwiseOR(low)
+    if nodes is not None:
+        near = near.withColumn("node", other).join(nodes, ["turn", "node"], "left_semi")
+    return near.select("turn", "key", F.least("own", other).alias("lo"), F.greatest("own", other).alias("hi"))
+
+
+def near_links(fps: DataFrame, budget: int = 4, subtree: int = SUBTREE, heavy: int = HEAVY) -> DataFrame:
     """(a, b): edges of a spanning forest of the graph that links distinct ``fp`` values differing in at most ``budget`` bits.
 
     An edge of the forest joins two members of one component, which need not be within the budget themselves.
     """
     n = max(1, fps.count())
-    bits = max(0, (n // SUBTREE).bit_length())
-    masks = _masks(bits, budget // 2)
-    fp = F.col("fp")
-    turned = fps.select(fp, F.lit(0).alias("turn"), fp.alias("key")).unionByName(
-        fps.select(fp, F.lit(1).alias("turn"), F.shiftleft(fp, 32).bitwiseOR(F.shiftrightunsigned(fp, 32)).alias("key"))
-    )
-    node = F.shiftrightunsigned("key", 64 - bits).cast("int") if bits else F.lit(0)
-    dealt = turned.select("turn", "key", node.alias("node"), F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
-    other = F.col("node").bitwiseXOR(F.col("mask"))
-    dealt = dealt.select("turn", "key", F.least("node", other).alias("lo"), F.greatest("node", other).alias("hi"))
+    bits = max(0, (n // subtree).bit_length())
+    # Parts that are still longer than the trie is deep; each part's beginning.
+    parts = 3 if n < 1 << 21 else 2
+    begins = [64 * k // parts for k in range(parts + 1)]
+    turned = [fps.select(F.lit(k).alias("turn"), _turned(F.col("fp"), begins[k]).alias("key")) for k in range(parts)]
+    turned = reduce(DataFrame.unionByName, turned)
+    width, tight = min(b - a for a, b in pairwise(begins)), budget // parts
+    rows = turned.withColumns({"lo": F.lit(0).cast("long"), "hi": F.lit(0).cast("long")})
+    if bits:
+        rows = _dealt(rows, 0, bits, tight)
+    done, depth = [], bits
+    nodes = turned.groupBy("turn", _node(depth).alias("node")).count()
+    while depth + LEVELS < 64:
+        full = written(nodes.where(F.col("count") > heavy).select("turn", "node"), "heavy")  # at most one in ``heavy`` keys
+        if full.isEmpty():
+            break
+        for side in ("lo", "hi"):
+            rows = rows.join(full.select("turn", F.col("node").alias(side), F.lit(True).alias(f"full_{side}")), ["turn", side], "left")
+        split = F.coalesce("full_lo", "full_hi", F.lit(False))
+        rows = written(rows.select("turn", "key", "lo", "hi", split.alias("split")), "dealt")
+        done.append(rows.where("not split").withColumn("depth", F.lit(depth)).drop("split"))
+        rows = rows.where("split").drop("split")
+        nodes = written(rows.select("turn", "key").distinct().groupBy("turn", _node(depth + LEVELS).alias("node")).count(), "nodes")
+        rows = _dealt(rows, depth, LEVELS, tight if depth + LEVELS <= width else budget, nodes)
+        depth += LEVELS
+    done.append(rows.withColumn("depth", F.lit(depth)))
+    dealt = reduce(DataFrame.unionByName, done)
 
     def each(table: pa.Table) -> pa.Table:
-        turn, lo, hi = (table.column(c)[0].as_py() for c in ("turn", "lo", "hi"))
+        turn, at, lo, hi = (table.column(c)[0].as_py() for c in ("turn", "depth", "lo", "hi"))
         keys = np.sort(table.column("key").to_numpy().view(np.uint64))
         forest = _Forest(len(keys))
         if lo == hi:
-            trie_join(keys, (0, len(keys)), (0, len(keys)), bits, 0, budget, forest)
+            trie_join(keys, (0, len(keys)), (0, len(keys)), at, 0, budget, forest, width, tight)
         else:
-            cut = int(np.searchsorted(keys >> np.uint64(64 - bits), np.uint64(hi)))
-            trie_join(keys, (0, cut), (cut, len(keys)), bits, (lo ^ hi).bit_count(), budget, forest)
-        at = np.arange(len(keys))
-        root = forest.roots(at.copy())
-        tied = root != at
+            cut = int(np.searchsorted(keys >> np.uint64(64 - at), np.uint64(hi)))
+            trie_join(keys, (0, cut), (cut, len(keys)), at, (lo ^ hi).bit_count(), budget, forest, width, tight)
+        place = np.arange(len(keys))
+        root = forest.roots(place.copy())
+        tied = root != place
         if turn:
-            keys = (keys << np.uint64(32)) | (keys >> np.uint64(32))
+            keys = (keys << np.uint64(64 - begins[turn])) | (keys >> np.uint64(begins[turn]))
         return pa.table({"a": keys[tied].view(np.int64), "b": keys[root[tied]].view(np.int64)})
 
-    return dealt.groupBy("turn", "lo", "hi").applyInArrow(each, "a long, b long")
+    return dealt.groupBy("turn", "depth", "lo", "hi").applyInArrow(each, "a long, b long")
+
+
+def _members(fps: DataFrame, first: Column, budget: int) -> DataFrame:
+    """(fp, component, first): each distinct fingerprint's component and the least of ``first`` in its rows."""
+    least = written(fps.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
+    tied = connected_components(near_links(least.select("fp"), budget))
+    member = least.join(tied.withColumnRenamed("node", "fp"), "fp", "left")
+    return written(member.select("fp", F.coalesce("component", "fp").alias("component"), "first"), "members")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
     """One row of each group of near duplicates, that with the smallest id, with all its columns.
 
-    Of rows with the same id and text one stays. Groups that have null ids only keep a row of the smallest fingerprint.
+    Of rows of that id in the group the one with the smallest fingerprint stays, then with the smallest MD5 of its text; of rows
+    with the same id and text any one. A group that has null ids only keeps a row too. An empty table gives an empty one.
     """
-    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, shingle, budget, seed)
-    chosen = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_id")).agg(F.min("fingerprint").alias("_fp"))
-    out = docs.join(chosen, docs[id_col].eqNullSafe(chosen["_id"]), "left_semi")
-    return out.dropDuplicates([id_col, text_col])
+    key = F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit(""))
+    keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("key"))
+    fps = written(fingerprints(keyed, ("id", "key"), "text", shingle, seed), "fingerprints")
+    found = _members(fps, F.struct(F.col("id").isNull().alias("none"), "id", "fp", "key"), budget)
+    chosen = found.groupBy("component").agg(F.min("first").alias("x")).select(F.col("x.id").alias("_id"), F.col("x.key").alias("_key"))
+    chosen = written(chosen, "chosen")
+    rows = docs.withColumn("_md5", key)
+    out = rows.join(chosen, rows[id_col].eqNullSafe(chosen["_id"]) & (F.col("_md5") == F.col("_key")), "left_semi")
+    return out.dropDuplicates([id_col, "_md5"]).drop("_md5")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
@@ -206,14 +264,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``fingerprint`` has 16 lowercase hex digits; ``component_id`` is the smallest id that can be reached over
     fingerprints that differ in at most ``budget`` bits, its own included. Rows with null or empty texts have
     fingerprint zero and are linked like any other; repeated rows are kept; null ids are passed over in
-    ``component_id`` (which is null if the component has no other). Other columns of ``docs`` don't matter.
+    ``component_id`` (which is null if the component has no other). Texts are taken as bytes, valid UTF-8 or not. Other
+    columns of ``docs`` don't matter; an empty table gives an empty result.
     """
-    fps = written(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
-    least = written(fps.groupBy("fp").agg(F.min(id_col).alias("first")), "distinct")
-    tied = connected_components(near_links(least.select("fp"), budget))
-    member = least.join(tied.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    member = written(member, "members")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    fps = written(fingerprints(rows, ("id",), "text", shingle, seed), "fingerprints")
+    member = _members(fps, F.col("id"), budget)
     heads = member.groupBy("component").agg(F.min("first").alias("component_id"))
     label = member.join(heads, "component").select("fp", "component_id")
     out = fps.join(label, "fp")
-    return out.select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -10,6 +10,7 @@ logistic curve fitted on the same texts.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,9 +38,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 #: Labelled texts used at most, by label: the bound of the sample that the lexicon and the curve are fitted on.
 TOXIC_TEXTS, CLEAN_TEXTS = 6000, 12000
-#: An entry is in so many toxic texts of the sample at least, and in this share of them; its log-odds are at least this.
-LEAST_TEXTS, LEAST_SHARE, LEAST_WEIGHT = 4, 0.03, 2.5
-MOST_ENTRIES = 4000
+#: An entry is in so many toxic texts of the sample at least; its log-odds, and those less two standard errors, are at least these.
+LEAST_TEXTS, LEAST_WEIGHT, LEAST_SURE = 4, 2.5, 1.0
 _BEGINNINGS = range(4, 9)
 
 
@@ -93,7 +93,15 @@ def sums(folded: str, automaton: ahocorasick.Automaton | None) -> tuple[float, f
             best[start] = max(best.get(start, 0.0), weight)
         else:
             spared.append((start, end))
-    total = sum(w for s, w in best.items() if not any(a <= s <= b for a, b in spared))
+    if spared and best:
+        # The furthest end of the exceptions that begin at or before a place tells whether one covers it.
+        spared.sort()
+        starts, ends, furthest = [a for a, _ in spared], [], -1
+        for _, end in spared:
+            furthest = max(furthest, end)
+            ends.append(furthest)
+        best = {s: w for s, w in best.items() if not (k := bisect_right(starts, s)) or ends[k - 1] < s}
+    total = sum(best.values())
     return total, total / max(1.0, (folded.count(" ") + 1) / 100) ** 0.5
 
 
@@ -120,7 +128,7 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> D
     picked = [labels.where((F.col("toxic") > 0) == F.lit(bool(y))).orderBy(F.xxhash64("i"), "i").limit(n) for y, n in ((1, TOXIC_TEXTS), (0, CLEAN_TEXTS))]
     chosen = picked[0].unionByName(picked[1])
     # At most 18,000 ids and labels: small enough for every executor, whatever the input.
-    return docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).join(F.broadcast(chosen), "i").select("t", "toxic")
+    return docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t")).join(F.broadcast(chosen), "i").select("t", "toxic")
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", exceptions: tuple[str, ...] = ()) -> Lexicon:
@@ -129,7 +137,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = [Counter(), Counter()]
         for b in batches:
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for text, toxic in zip(_texts(b.column(0)), b.column(1).to_pylist(), strict=True):
                 both[toxic].update(features(fold(text)))
                 both[toxic][""] += 1
         names = list(both[0] | both[1])
@@ -138,11 +146,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     sample = written(_sample(docs, labels, id_col, text_col).select("t", (F.col("toxic") > 0).cast("int").alias("toxic")), "labelled")
     counts = sample.mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # Few features are in several toxic texts and hardly any clean one; the most telling are kept.
+    # Few features are in several toxic texts and hardly any clean one. There are no more than the bounded sample has.
     total = sample.agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic")).first()
     weight = F.log((F.col("toxic") + 0.5) / (total["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (total["clean"] + 1))
-    telling = counts.where((F.col("f") != "") & (F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * total["toxic"]))).withColumn("w", weight).where(F.col("w") >= LEAST_WEIGHT)
-    rows = telling.orderBy(F.desc(F.col("w") * F.log("toxic")), "f").limit(MOST_ENTRIES).select("f", "w").collect()
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    telling = counts.where((F.col("f") != "") & (F.col("toxic") >= LEAST_TEXTS)).withColumn("w", weight)
+    rows = telling.where((F.col("w") >= LEAST_WEIGHT) & (F.col("w") - 2 * error >= LEAST_SURE)).select("f", "w").orderBy("f").collect()
     weights = {r["f"]: r["w"] for r in rows}
     # A longer entry says no more than a shorter one that is as heavy.
     lean = {f: w for f, w in weights.items() if not any(weights.get(f[:n], 0) >= w - 0.7 for n in range(1, len(f.rstrip("."))))}
@@ -152,9 +161,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [fold(t) for t in b.column(0).to_pylist()]
+            texts = [fold(t) for t in _texts(b.column(0))]
             found = [sums(t, machine) for t in texts]
-            words = [sorted({w for w in _WORD.findall(t) if sums(w, machine)[0]})[:50] if s else [] for t, (s, _) in zip(texts, found, strict=True)]
+            words = [sorted({w for w in _WORD.findall(t) if sums(w, machine)[0]}) if s else [] for t, (s, _) in zip(texts, found, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([s for s, _ in found]), pa.array([s for _, s in found]), pa.array(words, pa.list_(pa.string()))], names=["y", "a", "b", "words"])
 
     rows = sample.mapInArrow(measure, "y int, a double, b double, words array<string>").collect()
@@ -165,20 +174,25 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and a score from 0 to 1 of every row; null texts are scored as empty ones."""
+    """The columns ``keep`` and a score from 0 to 1 of every row; null texts are scored as empty ones, bytes that are no UTF-8 as U+FFFD."""
     kept = [f for f in docs.schema if f.name in keep]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = lexicon.automaton()
         for b in batches:
-            found = np.array([sums(fold(t or ""), machine) for t in b.column(0).to_pylist()]).reshape(-1, 2)
+            found = np.array([sums(fold(t), machine) for t in _texts(b.column(0))]).reshape(-1, 2)
             p = probability(found[:, 0], found[:, 1], lexicon.curve)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(p)], names=[*[f.name for f in kept], "score"])
 
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     schema = StructType([*kept, StructField("score", DoubleType(), False)])
-    return docs.select(F.col(text_col), *[F.col(f.name) for f in kept]).mapInArrow(each, schema)
+    return docs.select(F.col(text_col).cast("binary"), *[F.col(f.name) for f in kept]).mapInArrow(each, schema)
+
+
+def _texts(column: pa.Array) -> Iterator[str]:
+    """Null as empty; bytes that are no UTF-8 as U+FFFD."""
+    return ((t or b"").decode(errors="replace") for t in column.to_pylist())
 
 
 def fold_of(id_: F.Column, folds: int) -> F.Column:
