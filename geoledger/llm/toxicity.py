@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: Labelled texts used at most, by label: the bound of the sample that the lexicon and the curve are fitted on.
 TOXIC_TEXTS, CLEAN_TEXTS = 6000, 12000
 #: An entry is in so many toxic texts of the sample at least; its log-odds, and those less two standard errors, are at least these.
-LEAST_TEXTS, LEAST_WEIGHT, LEAST_SURE = 4, 2.5, 1.0
+LEAST_TEXTS, LEAST_WEIGHT, LEAST_SURE = 4, 2.5, 2.5
 _BEGINNINGS = range(4, 9)
 
 
@@ -131,8 +132,17 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> D
     return docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t")).join(F.broadcast(chosen), "i").select("t", "toxic")
 
 
+def _least_shingle(text: bytes) -> int:
+    """The least hash of a text's five-word sequences: most near copies share it."""
+    words = text.lower().split()
+    return min(xxhash.xxh64_intdigest(b" ".join(words[k : k + 5])) for k in range(max(1, len(words) - 4))) >> 1
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", exceptions: tuple[str, ...] = ()) -> Lexicon:
-    """The lexicon and its curve from the rows of ``labels`` (id_col, toxic) that have a text; an empty one if none has."""
+    """The lexicon and its curve from the rows of ``labels`` (id_col, toxic) that have a text; an empty one if none has.
+
+    Copies of a text, near ones too, say no more than one: of labelled texts with the same least five-word sequence one counts.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = [Counter(), Counter()]
@@ -144,7 +154,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         columns = [pa.array([c[n] for n in names], pa.int64()) for c in both]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], names=["f", "clean", "toxic"])
 
-    sample = written(_sample(docs, labels, id_col, text_col).select("t", (F.col("toxic") > 0).cast("int").alias("toxic")), "labelled")
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [_least_shingle(t) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64())], names=["t", "toxic", "key"])
+
+    labelled = _sample(docs, labels, id_col, text_col).select("t", (F.col("toxic") > 0).cast("int").alias("toxic")).mapInArrow(keyed, "t binary, toxic int, key long")
+    sample = written(labelled.groupBy("toxic", "key").agg(F.min("t").alias("t")).select("t", "toxic"), "labelled")
     counts = sample.mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # Few features are in several toxic texts and hardly any clean one. There are no more than the bounded sample has.
     total = sample.agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic")).first()
