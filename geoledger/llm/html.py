@@ -17,7 +17,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from geoledger.llm.words import raw
 
 _BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -325,4 +326,4 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") ->
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 
     schema = StructType([*rest, StructField(text_col, StringType(), False), StructField("n_chars", LongType(), False)])
-    return pages.select(F.col(html_col).cast("binary"), *[F.col(f.name) for f in rest]).mapInArrow(each, schema)
+    return raw(pages, html_col, [f.name for f in rest]).mapInArrow(each, schema)

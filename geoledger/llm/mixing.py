@@ -7,7 +7,7 @@ number x per source, found by Newton steps on the convex dual. A step is one agg
 source and size, for all sources at once; bisection stands in where a step leaves the known bounds.
 
 Rates are rounded to copies within shards of a source, from the largest document to the smallest, each so that the words
-taken so far stay nearest to the words due.
+taken so far stay nearest to the words due. Equal rows are one class there, whatever their number, so that no shard is large.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from geoledger.llm.words import WORD
@@ -83,25 +82,30 @@ def _tilts(counts: DataFrame, sources: DataFrame, most: float) -> DataFrame:
         state = new
         if (state.agg(F.max("gap")).first()[0] or 0) <= _CLOSE:
             break
+    else:
+        raise RuntimeError(f"rates did not come near their targets in {_STEPS} steps")
     return state.drop("low", "high", "gap")
 
 
-def _rounded(size: np.ndarray, rate: np.ndarray) -> np.ndarray:
-    """Whole copies for rows in order: each is the rate rounded down or up, whichever keeps the words taken nearest to those due."""
-    down, out, due = np.floor(rate + 1e-9).astype(np.int64), [], 0.0
-    for s, r, d in zip(size.tolist(), rate.tolist(), down.tolist(), strict=True):
-        due += s * r
-        c = d + 1 if r - d > 1e-9 and due - s * d > 0.5 * s else d
-        due -= s * c
-        out.append(c)
+def _rounded(size: np.ndarray, rate: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """How many of a class's ``rows`` have their rate rounded up, classes in order: as many as keep the words taken nearest to those due."""
+    out, due = [], 0.0
+    for s, r, m in zip(size.tolist(), rate.tolist(), rows.tolist(), strict=True):
+        part = r - math.floor(r + 1e-9)
+        due += s * m * part
+        # Of two as near the smaller number.
+        up = min(m, max(0, math.ceil(due / s - 0.5))) if part > 1e-9 and s else 0
+        due -= s * up
+        out.append(up)
     return np.array(out, np.int64)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """Columns ``keep`` (all) of every row of ``docs``, with size, source_size, target, rate and copies (0 to ``most``).
 
-    Null texts have size 0, and rows of size 0 get one copy. Null is a source of its own, the last. Repeated rows are
-    rounded each. Columns that are named as the new ones are replaced. Reruns give the same copies.
+    Null texts have size 0, and rows of size 0 get one copy. Null is a source of its own, the last. Repeated rows (of equal
+    id, source and text) may be rounded differently, any of them. Columns that are named as the new ones are replaced. An
+    empty table gives an empty result. Reruns give the same copies.
     """
     new = ("size", "source_size", "target", "rate", "copies")
     keep = [c for c in (keep or docs.columns) if c not in new]
@@ -118,24 +122,45 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     shards = F.ceil(F.greatest(F.col("docs") / SHARD_DOCS, F.col("source_size") / SHARD_WORDS, F.lit(1))).cast("long")
     solved = solved.select("source_id", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "tilt", "mean_size", shards.alias("_shards"))
     source = F.col(source_col).cast("string")
-    rows = named.select(*keep, "size", F.xxhash64(F.coalesce(source, F.lit("")), source.isNull()).alias("source_id"), F.xxhash64(F.col(id_col).cast("string"), "size").alias("_order"))
-    rows = rows.join(solved, "source_id").withColumn("_shard", F.pmod(F.xxhash64("_order", F.lit(5)), F.col("_shards")))
+    same = F.xxhash64(F.col(id_col).cast("string"), F.col(id_col).isNull(), F.col(text_col))
+    rows = named.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], "size", F.xxhash64(F.coalesce(source, F.lit("")), source.isNull()).alias("source_id"), same.alias("_same"))
+    rows = rows.withColumnRenamed("size", "_size")
     full = F.when(F.col("_target") > 0, F.lit(float(most))).otherwise(1.0)
-    exponent = F.least(F.col("tilt") * F.col("size") / F.col("mean_size"), F.lit(math.log(most)))
-    rows = rows.withColumn("_rate", F.when(F.col("size") == 0, F.lit(1.0)).otherwise(F.coalesce(F.exp(exponent), full)))
-    rows = rows.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_rate").alias("rate"), "source_id", "_shard", "_order")
-    kinds = [StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
-    schema = StructType([*kinds, *[StructField(n, DoubleType() if n in ("target", "rate") else LongType()) for n in new]])
+    exponent = F.least(F.col("tilt") * F.col("_size") / F.col("mean_size"), F.lit(math.log(most)))
+    rated = F.when(F.col("_size") == 0, F.lit(1.0)).otherwise(F.coalesce(F.exp(exponent), full))
+    classes = rows.groupBy("source_id", "_size", "_same").agg(F.count("*").alias("_rows")).join(solved, "source_id")
+    classes = classes.withColumns({"_shard": F.pmod(F.xxhash64("_same", "_size", F.lit(5)), F.col("_shards")), "_rate": rated})
 
     def each(t: pa.Table) -> pa.Table:
-        size, rate, order = (t.column(c).to_numpy() for c in ("size", "rate", "_order"))
+        size, rate, rows, order = (t.column(c).to_numpy() for c in ("_size", "_rate", "_rows", "_same"))
         at = np.lexsort((order, -size))
-        copies = np.empty(len(size), np.int64)
-        copies[at] = _rounded(size[at], rate[at])
-        return t.select([*[f.name for f in kinds], "size", "source_size", "target", "rate"]).append_column("copies", pa.array(copies))
-
-    out = rows.groupBy("source_id", "_shard").applyInArrow(each, schema)
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *new)
+        up = np.empty(len(size), np.int64)
+        up[at] = _rounded(size[at], rate[at], rows[at])
+        return t.select(["source_id", "_size", "_same", "_rows", "_rate", "_source_size", "_target"]).append_column("_up", pa.array(up))
+
+    rounded = classes.groupBy("source_id", "_shard").applyInArrow(each, "source_id long, _size long, _same long, _rows long, _rate double, _source_size long, _target double, _up long")
+    rounded = written(rounded, "rounded")
+    out = rows.join(rounded, ["source_id", "_size", "_same"])
+    if not rounded.where("_rows > 1 and _up > 0 and _up < _rows").isEmpty():
+        out = _numbered(out)
+    else:
+        out = out.withColumn("_place", F.lit(0))
+    copies = F.floor(F.col("_rate") + 1e-9) + F.when(F.col("_place") < F.col("_up"), 1).otherwise(0)
+    new_columns = [F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_rate").alias("rate"), copies.cast("long").alias("copies")]
+    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *new_columns)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_place``: rows of a class that has some rounded up and some not are numbered from 0, over parts that none has to hold all."""
+    some = "_rows > 1 and _up > 0 and _up < _rows"
+    parts = written(rows.where(some).withColumn("_part", F.spark_partition_id()), "numbered")
+    key = ["source_id", "_size", "_same"]
+    sizes = parts.groupBy(*key, "_part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumn("_before", before).drop("n")
+    within = F.row_number().over(Window.partitionBy(*key, "_part").orderBy(F.lit(1))) - 1
+    numbered = parts.withColumn("_within", within).join(sizes, [*key, "_part"]).withColumn("_place", F.col("_before") + F.col("_within"))
+    return rows.where(f"not ({some})").withColumn("_place", F.lit(0).cast("long")).unionByName(numbered.select(*rows.columns, "_place"))
 
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from geoledger.llm.words import raw
 from geoledger.operators.graph import connected_components
 from geoledger.scratch import written
 
@@ -63,7 +64,7 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col:
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fp)], names=[*keep, "fp"])
 
     schema = StructType([*[docs.schema[c] for c in keep], StructField("fp", LongType(), False)])
-    return docs.select(F.col(text_col).cast("binary"), *keep).mapInArrow(each, schema)
+    return raw(docs, text_col, keep).mapInArrow(each, schema)
 
 
 class _Forest:

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoledger.llm.words import raw
 from geoledger.scratch import written
 
 # Characters read as Latin letters. Cyrillic, Greek, then digits and signs.
@@ -203,7 +204,7 @@ def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", keep: tuple
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     schema = StructType([*kept, StructField("score", DoubleType(), False)])
-    return docs.select(F.col(text_col).cast("binary"), *[F.col(f.name) for f in kept]).mapInArrow(each, schema)
+    return raw(docs, text_col, [f.name for f in kept]).mapInArrow(each, schema)
 
 
 def _texts(column: pa.Array) -> Iterator[str]:

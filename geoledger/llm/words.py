@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Words as a Java or RE2 pattern. ``bytes.split()`` splits at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -14,6 +16,14 @@ _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
 
+def raw(df: DataFrame, column: str, rest: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """``column`` as bytes, and after it the columns ``rest``; its name is none of theirs."""
+    name = "_"
+    while name in rest:
+        name += "_"
+    return df.select(F.col(column).cast("binary").alias(name), *rest)
+
+
 def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """(the words of all texts, number of words of each) of a binary array; null as empty, A-Z in lower case if asked.
 

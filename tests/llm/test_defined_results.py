@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import random
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geoledger.llm import quality, simhash, toxicity
+from geoledger.llm import mixing, pieces, quality, queries, simhash, toxicity
 from geoledger.operators.graph import connected_components
 from tests.llm.test_operators import component_ids, plain_fingerprint
 
@@ -108,3 +110,47 @@ def test_many_exceptions_in_one_text_take_linear_time():
     start = time.time()
     assert toxicity.sums("abacus ab " * 40_000, machine)[0] == 40_000
     assert time.time() - start < 3
+
+
+def test_rates_against_bisection(spark):
+    rng = random.Random(12)
+    rows = [(k, " ".join(["w"] * rng.randrange(0, 60)), rng.choice(["a", "b", "c", "d"])) for k in range(300)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for source in "abcd":
+        mine = [r for r in found if r["source"] == source and r["size"]]
+        target = mine[0]["target"]
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            x = (low + high) / 2
+            low, high = (x, high) if sum(r["size"] * min(2, math.exp(min(x * r["size"], 1))) for r in mine) < target else (low, x)
+        for r in mine:
+            assert r["rate"] == pytest.approx(min(2, math.exp(min(x * r["size"], 1))), rel=1e-4)
+
+
+def test_many_equal_rows_are_mixed_like_others(spark):
+    rng = random.Random(13)
+    rows = [(None, "a b c d", "s", 1)] * 400 + [(7, "a b c", "s", 2)] * 101 + [(k, " ".join(["w"] * rng.randrange(1, 40)), rng.choice("st"), 3) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    found = mixing.mix(df).collect()
+    again = mixing.mix(df.repartition(5)).collect()
+    as_counted = lambda rows: Counter((r["doc_id"], r["text"], r["source"], r["copies"]) for r in rows)
+    assert as_counted(found) == as_counted(again) and len(found) == len(rows)
+    for source in "st":
+        mine = [r for r in found if r["source"] == source]
+        assert abs(sum(r["size"] * r["copies"] for r in mine) - mine[0]["target"]) <= 60
+    assert all(abs(r["copies"] - r["rate"]) < 1 for r in found)
+
+
+def test_pieces_of_any_bytes_and_scores_of_the_file(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, t binary").select("doc_id", F.col("t").cast("string").alias("text"), F.lit(1).alias("ids"))
+    rows = pieces.encode(df, queries.piece_model()).orderBy("doc_id").collect()
+    assert all(r["decoded_ok"] for r in rows) and rows[3]["ids"] is None and rows[4]["ids"] == []
+    plain = pieces.segmenter(queries.piece_model(), None)
+    usual = pieces.segmenter(queries.piece_model())
+    assert min(s for s, _ in plain.pieces.values()) < -1e8 < min(s for s, _ in usual.pieces.values())
+    assert plain.encode("a plain text")[1] == usual.encode("a plain text")[1]
+    assert plain.decode(plain.encode("two  spaces")[0]) == "two  spaces"
+    s = pieces.Segmenter(queries.piece_model())
+    for k in range(60_000):
+        s.packed(f"word{k} of{k % 7}")
+    assert sum(map(len, s._known)) + sum(map(len, s._older)) < 3 * pieces._KEPT

@@ -265,7 +265,7 @@ def test_main_text(spark):
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in rows) == sorted([(1, want, len(want)), (1, want, len(want)), (2, "", 0), (3, "", 0)])
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries.queries() if n != "pipeline"))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_empty_tables(spark, tmp_path, name):
     kinds = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "labels": "doc_id long, quality int, toxic int", "pages": "page_id long, url string, html string", "embeddings": "vec_id long, embedding array<float>, label int"}
     for table, kind in kinds.items():
