@@ -1,7 +1,7 @@
 """Tables written on the way: they cut lineage and survive the loss of executors.
 
-They go to the shared folder that the cluster names in ``spark.checkpoint.dir``. Only where that is unset, as in
-tests on one machine, is a temporary folder made.
+They go to the shared folder that the cluster names in ``spark.checkpoint.dir``. Only where that is unset and all runs
+on one machine, as in tests, is a temporary folder made.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_tables: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,6 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="spark-geoledger-")
@@ -51,6 +54,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
+    _tables.append(path)
     atexit.register(_drop_at_exit, spark, path)
     return out
 
@@ -60,3 +64,15 @@ def drop_written(df: DataFrame) -> None:
     path = getattr(df, "written_to", None)
     if path:
         drop_table(df.sparkSession, path)
+
+
+def tables_so_far() -> int:
+    """A mark for :func:`drop_written_since`."""
+    return len(_tables)
+
+
+def drop_written_since(mark: int, kept: DataFrame) -> None:
+    """Delete the tables written since the mark, save the one behind ``kept``, when nothing lazy needs them any more."""
+    for path in [p for p in _tables[mark:] if p != kept.written_to]:
+        drop_table(kept.sparkSession, path)
+        _tables.remove(path)
