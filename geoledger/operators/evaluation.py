@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from geoledger.operators.scoring import rotated_iou
+
 
 def confusion(cells: DataFrame, pred: str, truth: str, classes: int, ignore: int | None = None) -> DataFrame:
     """(pred, truth, n); the ignored label is counted as class ``classes``."""
@@ -34,13 +38,16 @@ def segmentation_scores(matrix: DataFrame, classes: int) -> DataFrame:
 
 
 def claims(pairs: DataFrame, image: str, category: str, det: str, truth: str, threshold: float) -> DataFrame:
-    """(category, det, score, tp) for every detection, from (…, det, score, truth, iou, difficult) with null truths where it meets none.
+    """(category, det, score, tp) for the detections of (…, det, score, truth, iou, difficult) with null truths where one meets none.
 
-    A detection looks at its best truth only; a truth counts once, for its highest score.
+    A detection looks at its best truth only; a truth counts once, for its highest score. Detections whose truth is difficult
+    count neither way and are left out (without a column ``difficult`` no truth is).
     """
-    best = pairs.groupBy(image, category, det, "score").agg(F.max_by(F.struct(truth, "iou"), F.struct("iou", -F.col(truth))).alias("m"))
-    best = best.select(image, category, det, "score", F.col(f"m.{truth}").alias(truth), F.coalesce(F.col("m.iou"), F.lit(0.0)).alias("iou"))
+    hard = F.coalesce(F.col("difficult"), F.lit(False)) if "difficult" in pairs.columns else F.lit(False)
+    best = pairs.groupBy(image, category, det, "score").agg(F.max_by(F.struct(truth, "iou", hard.alias("hard")), F.struct("iou", -F.col(truth))).alias("m"))
+    best = best.select(image, category, det, "score", F.col(f"m.{truth}").alias(truth), F.coalesce(F.col("m.iou"), F.lit(0.0)).alias("iou"), F.coalesce(F.col("m.hard"), F.lit(False)).alias("hard"))
     hit = F.col("iou") > threshold
+    best = best.where(~(hit & F.col("hard")))
     first = Window.partitionBy(image, category, truth, hit).orderBy(F.desc("score"), det)
     return best.withColumn("tp", (hit & (F.row_number().over(first) == 1)).cast("int")).select(category, det, "score", "tp")
 
@@ -64,27 +71,47 @@ def average_precision(curve: DataFrame, category: str, det: str, eleven_points:
     return curve.withColumn("part", step * F.col("envelope")).groupBy(category).agg(F.sum("part").alias("ap"))
 
 
-#: Tasks that images are dealt to for greedy work; an image's boxes stay together, many images share a group.
-GROUPS = 256
-
-
 def _by_image(df: DataFrame, keys: list[str], each, schema) -> DataFrame:  # noqa: ANN001
-    """``each`` (rows of one key, in a list of column lists) -> rows, applied within groups of many keys."""
+    """``each`` (rows of one key, in a list of column lists) -> rows.
+
+    Rows are dealt by key and sorted, and a task reads them batch by batch: it holds one batch and the rows of one key,
+    whatever the table's size. How many partitions there are is left to the session and to Spark.
+    """
     names = df.columns
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(keys, kind="stable")
-        at = part.groupby(keys, sort=False).ngroup().to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(part)]
-        columns = [part[n].tolist() for n in names]
-        rows = [r for x, y in zip(cuts[:-1], cuts[1:], strict=True) for r in each(*[c[x:y] for c in columns])]
-        return pd.DataFrame(rows, columns=[f.name for f in out_fields])
+    def whole_keys(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Batches that end where a key does."""
+        held: list[pd.DataFrame] = []
+        for part in parts:
+            if not len(part):
+                continue
+            new = part.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+            last = int(np.flatnonzero(np.diff(new, prepend=-1))[-1])
+            same = held and all(a == b or a != a and b != b for a, b in zip(held[-1][keys].iloc[-1], part[keys].iloc[0], strict=True))
+            if last or not same:
+                if held and not same:
+                    yield pd.concat(held)
+                    held = []
+                if last:
+                    yield pd.concat([*held, part.iloc[:last]])
+                held = [part.iloc[last:]]
+            else:
+                held.append(part)
+        if held:
+            yield pd.concat(held)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in whole_keys(parts):
+            at = part.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(part)]
+            columns = [part[n].tolist() for n in names]
+            rows = [r for x, y in zip(cuts[:-1], cuts[1:], strict=True) for r in each(*[c[x:y] for c in columns])]
+            yield pd.DataFrame(rows, columns=[f.name for f in out_fields])
 
     from pyspark.sql.types import _parse_datatype_string
 
     out_fields = schema.fields if hasattr(schema, "fields") else _parse_datatype_string(schema).fields
-    dealt = df.withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(GROUPS)))
-    return dealt.groupBy("_part").applyInPandas(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
 
 
 def greedy_matches(pairs: DataFrame, keys: list[str], det: str, truth: str, thresholds: list[float]) -> DataFrame:
@@ -169,6 +196,28 @@ def suppressed(boxes: DataFrame, keys: list[str], id_: str, threshold: float) ->
     return _by_image(boxes, keys, each, boxes.schema)
 
 
+def suppressed_rotated(boxes: DataFrame, keys: list[str], id_: str, threshold: float) -> DataFrame:
+    """The same for rotated boxes: cx, cy, w, h and angle in degrees. Classes are kept apart by naming them in ``keys``."""
+    names = [f.name for f in boxes.schema]
+    at = {n: names.index(n) for n in (id_, "score", "cx", "cy", "w", "h", "angle")}
+    shape = lambda row: tuple(row[at[n]] for n in ("cx", "cy", "w", "h", "angle"))
+
+    def each(*columns: list) -> list[tuple]:
+        kept: list[tuple] = []
+        for row in sorted(zip(*columns, strict=True), key=lambda r: (-r[at["score"]], r[at[id_]])):
+            a, reach = shape(row), (row[at["w"]] ** 2 + row[at["h"]] ** 2) ** 0.5 / 2
+            for other in kept:
+                b = shape(other)
+                far = reach + (b[2] ** 2 + b[3] ** 2) ** 0.5 / 2
+                if abs(a[0] - b[0]) < far and abs(a[1] - b[1]) < far and rotated_iou(a, b) > threshold:
+                    break
+            else:
+                kept.append(row)
+        return kept
+
+    return _by_image(boxes, keys, each, boxes.schema)
+
+
 def accuracy(pred: Column, truth: Column, background: int) -> dict[str, Column]:
     """Aggregates: share of right classes, of right ones among foreground truth, and of foreground truth called background."""
     fg = truth != background

@@ -49,7 +49,7 @@ def averaged(df: DataFrame, grid: str, model: Callable[[np.ndarray], np.ndarray]
 
 
 def low_frequencies_of(pre: np.ndarray, post: np.ndarray) -> np.ndarray:
-    """``pre`` with the four lowest frequencies of ``post``: what passes 255 becomes the band's largest value, all is cut to whole numbers.
+    """``pre`` with the four lowest frequencies of ``post``: what passes 255 becomes the largest value of ``pre``, all is cut to whole numbers.
 
     The block's place is taken from the height for both axes.
     """
@@ -57,8 +57,7 @@ def low_frequencies_of(pre: np.ndarray, post: np.ndarray) -> np.ndarray:
     k = pre.shape[0] // 2
     a[k - 1 : k + 1, k - 1 : k + 1] = b[k - 1 : k + 1, k - 1 : k + 1]
     out = np.abs(np.fft.ifft2(np.fft.ifftshift(a)))
-    within = out[out <= 255]
-    out[out > 255] = within.max() if len(within) else 255
+    out[out > 255] = pre.max()
     return out.astype(np.int32)
 
 
@@ -175,7 +174,7 @@ def _iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def tracked(boxes: DataFrame, video: str, frame: str, id_: str, least: float = 0.5, lost_frames: int = 2, least_period: int = 1, method: str = "iou") -> DataFrame:
     """(video, frame, id, track): boxes followed from frame to frame.
 
-    ``iou`` takes pairs above ``least`` in the order of their places, each box and track once; ``assignment`` takes the pairs of
+    ``iou`` takes pairs of at least ``least`` in the order of their places, each box and track once; ``assignment`` takes the pairs of
     least cost, with IoU as gain. Other boxes begin tracks. A track that isn't found is kept for ``lost_frames`` if it is
     ``least_period`` frames old. A video's frames are in order in one group.
     """
@@ -186,9 +185,9 @@ def tracked(boxes: DataFrame, video: str, frame: str, id_: str, least: float = 0
             now = part[["x0", "y0", "x1", "y1"]].to_numpy(float)
             iou = _iou_matrix(now, np.array([t[1] for t in live])) if live else np.zeros((len(now), 0))
             if method == "iou":
-                pairs = [(i, j) for i in range(iou.shape[0]) for j in range(iou.shape[1]) if iou[i, j] > least]
+                pairs = [(i, j) for i in range(iou.shape[0]) for j in range(iou.shape[1]) if iou[i, j] >= least]
             else:
-                pairs = [(i, j) for i, j in (assigned(np.where(iou > least, -iou, 1e5)) if iou.size else []) if iou[i, j] > least]
+                pairs = [(i, j) for i, j in (assigned(np.where(iou >= least, -iou, 1e5)) if iou.size else []) if iou[i, j] >= least]
             got, used = {}, set()
             for i, j in pairs:
                 if i not in got and j not in used:

@@ -34,8 +34,9 @@ def pairwise_ioa(boxes: DataFrame) -> DataFrame:
     return pairs.select(F.col("a.box_id").alias("det"), F.col("b.box_id").alias("truth"), F.round("ioa", 6).alias("ioa"))
 
 
-@query("j12_matched_iou", "v_boxes", sql=f"""with n as (select *, row_number() over (partition by image_id, is_gt order by box_id) as idx from v_boxes)
-select a.image_id, a.idx as idx, round({_IOU}, 6) as iou from n a join n b on a.image_id = b.image_id and a.idx = b.idx and a.is_gt = 0 and b.is_gt = 1""")
+@query("j12_matched_iou", "v_boxes", sql=f"""with p as materialized (select *, row_number() over (partition by image_id order by box_id) as idx from v_boxes where is_gt = 0),
+t as materialized (select *, row_number() over (partition by image_id order by box_id) as idx from v_boxes where is_gt = 1)
+select a.image_id, a.idx as idx, round({_IOU}, 6) as iou from p a join t b on a.image_id = b.image_id and a.idx = b.idx""")
 def matched_iou(boxes: DataFrame) -> DataFrame:
     from pyspark.sql.window import Window
 
@@ -67,57 +68,85 @@ def matcher_promoted(boxes: DataFrame) -> DataFrame:
 
 
 @query("j21_frame_association", "v_boxes", sql=f"""select a.image_id as frame, a.box_id as current, b.box_id as previous, round({_IOU}, 6) as iou from v_boxes a join v_boxes b on a.image_id = b.image_id + 1
- where a.is_gt = 0 and b.is_gt = 0 and {_IOU} > 0.5""")
+ where a.is_gt = 0 and b.is_gt = 0 and {_IOU} >= 0.5""")
 def frame_association(boxes: DataFrame) -> DataFrame:
     now = boxes.where("is_gt = 0").withColumn("before", F.col("image_id") - 1)
     then = boxes.where("is_gt = 0").withColumn("before", F.col("image_id"))
-    pairs = overlay.pairwise(now, then, ["before"]).where("iou > 0.5")
+    pairs = overlay.pairwise(now, then, ["before"]).where("iou >= 0.5")
     return pairs.select(F.col("a.image_id").alias("frame"), F.col("a.box_id").alias("current"), F.col("b.box_id").alias("previous"), F.round("iou", 6).alias("iou"))
 
 
-_CLAIM = f"""with p as ({_PAIRS}), d as (select v.image_id, v.category_id, v.box_id as det, v.score, p.truth, coalesce(p.iou, 0) as iou from v_boxes v left join p on p.det = v.box_id where v.is_gt = 0),
+_VW = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0) + 1, 0)"
+_VH = "greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0) + 1, 0)"
+_VAREA = "(({0}.x1 - {0}.x0 + 1) * ({0}.y1 - {0}.y0 + 1))"
+#: The last pixel of a box belongs to it here; every seventh truth stands for a difficult one.
+_VOC = f"""select a.image_id, a.category_id, a.box_id as det, a.score, b.box_id as truth, b.box_id % 7 = 0 as hard,
+ {_VW} * {_VH} / ({_VAREA.format('a')} + {_VAREA.format('b')} - {_VW} * {_VH}) as iou from v_boxes a join v_boxes b on a.image_id = b.image_id and a.category_id = b.category_id and a.is_gt = 0 and b.is_gt = 1"""
+
+
+def _claim_sql(pairs: str) -> str:
+    return f"""with p as ({pairs}), d as (select v.image_id, v.category_id, v.box_id as det, v.score, p.truth, coalesce(p.hard, false) as hard, coalesce(p.iou, 0) as iou from v_boxes v left join p on p.det = v.box_id where v.is_gt = 0),
 m as (select *, row_number() over (partition by det order by iou desc, truth) as k from d),
-c as (select category_id, det, score, case when iou > 0.3 and row_number() over (partition by image_id, category_id, truth, iou > 0.3 order by score desc, det) = 1 then 1 else 0 end as tp from m where k = 1)"""
+c as (select category_id, det, score, case when iou > 0.3 and row_number() over (partition by image_id, category_id, truth, iou > 0.3 order by score desc, det) = 1 then 1 else 0 end as tp from m where k = 1 and not (iou > 0.3 and hard))"""
+
+
+def _curve_sql(claims: str, truths: str) -> str:
+    return f"""{claims}, t as (select category_id, count(*) as truths from v_boxes where {truths} group by category_id),
+u as (select category_id, det, score, sum(tp) over w as tps, count(*) over w as seen from c window w as (partition by category_id order by score desc, det rows unbounded preceding)),
+v as (select u.category_id, det, score, tps * 1.0e0 / truths as recall, tps * 1.0e0 / seen as precision from u join t using (category_id)),
+x as (select *, max(precision) over (partition by category_id order by score, det desc rows unbounded preceding) as envelope from v)"""
+
+
+_CLAIM = _claim_sql(_VOC)
+_CURVE = _curve_sql(_CLAIM, "is_gt = 1 and box_id % 7 <> 0")
+_COCO_CURVE = _curve_sql(_claim_sql(_PAIRS.replace("b.box_id as truth,", "b.box_id as truth, false as hard,")), "is_gt = 1")
 
 
 def _claims(boxes: DataFrame) -> DataFrame:
+    """Claims by the overlap of the COCO scores, without difficult truths."""
     dets = boxes.where("is_gt = 0").select("image_id", "category_id", F.col("box_id").alias("det"), "score")
     pairs = _pairs(boxes).select("det", "truth", "iou")
     return evaluation.claims(dets.join(pairs, "det", "left"), "image_id", "category_id", "det", "truth", 0.3)
 
 
+def _voc_claims(boxes: DataFrame) -> DataFrame:
+    """Claims with boxes that hold their last pixel, and every seventh truth difficult."""
+    dets = boxes.where("is_gt = 0").select("image_id", "category_id", F.col("box_id").alias("det"), "score")
+    wide = boxes.withColumns({"x1": F.col("x1") + 1, "y1": F.col("y1") + 1})
+    pairs = _pairs(wide).select("det", "truth", "iou", (F.col("truth") % 7 == 0).alias("difficult"))
+    return evaluation.claims(dets.join(pairs, "det", "left"), "image_id", "category_id", "det", "truth", 0.3)
+
+
 def _truths(boxes: DataFrame) -> DataFrame:
     return boxes.where("is_gt = 1").groupBy("category_id").agg(F.count("*").alias("truths"))
 
 
-@query("e7_first_claims", "v_boxes", sql=f"{_CLAIM} select category_id, det, score, tp from c")
-def first_claims(boxes: DataFrame) -> DataFrame:
-    return _claims(boxes)
+def _voc_truths(boxes: DataFrame) -> DataFrame:
+    return _truths(boxes.where("box_id % 7 <> 0"))
 
 
-_CURVE = f"""{_CLAIM}, t as (select category_id, count(*) as truths from v_boxes where is_gt = 1 group by category_id),
-u as (select category_id, det, score, sum(tp) over w as tps, count(*) over w as seen from c window w as (partition by category_id order by score desc, det rows unbounded preceding)),
-v as (select u.category_id, det, score, tps * 1.0e0 / truths as recall, tps * 1.0e0 / seen as precision from u join t using (category_id)),
-x as (select *, max(precision) over (partition by category_id order by score, det desc rows unbounded preceding) as envelope from v)"""
+@query("e7_first_claims", "v_boxes", sql=f"{_CLAIM} select category_id, det, score, tp from c")
+def first_claims(boxes: DataFrame) -> DataFrame:
+    return _voc_claims(boxes)
 
 
 @query("e1_e2_precision_recall", "v_boxes", sql=f"{_CURVE} select category_id, det, round(recall, 6) as recall, round(precision, 6) as precision, round(envelope, 6) as envelope from x")
 def precision_recall(boxes: DataFrame) -> DataFrame:
-    curve = evaluation.precision_recall(_claims(boxes), _truths(boxes), "category_id", "det")
+    curve = evaluation.precision_recall(_voc_claims(boxes), _voc_truths(boxes), "category_id", "det")
     return curve.select("category_id", "det", *[F.round(c, 6).alias(c) for c in ("recall", "precision", "envelope")])
 
 
 @query("d21_voc_ap", "v_boxes", sql=f"""{_CURVE}, y as (select category_id, (recall - coalesce(lag(recall) over (partition by category_id order by score desc, det), 0)) * envelope as part from x)
 select category_id, round(sum(part), 6) as ap from y group by category_id""")
 def voc_ap(boxes: DataFrame) -> DataFrame:
-    curve = evaluation.precision_recall(_claims(boxes), _truths(boxes), "category_id", "det")
+    curve = evaluation.precision_recall(_voc_claims(boxes), _voc_truths(boxes), "category_id", "det")
     return evaluation.average_precision(curve, "category_id", "det").select("category_id", F.round("ap", 6).alias("ap"))
 
 
 @query("d21_voc_ap_11", "v_boxes", sql=f"""{_CURVE}, g as (select x.category_id, i, max(precision) as p from x, range(0, 11) r(i) where recall >= i / 10.0e0 - 1e-12 group by all)
 select category_id, round(sum(p) / 11, 6) as ap from g group by category_id""")
 def voc_ap_11(boxes: DataFrame) -> DataFrame:
-    curve = evaluation.precision_recall(_claims(boxes), _truths(boxes), "category_id", "det")
+    curve = evaluation.precision_recall(_voc_claims(boxes), _voc_truths(boxes), "category_id", "det")
     return evaluation.average_precision(curve, "category_id", "det", eleven_points=True).select("category_id", F.round("ap", 6).alias("ap"))
 
 
@@ -187,9 +216,9 @@ def classification_stats(cells: DataFrame) -> DataFrame:
     return _labels(cells).groupBy("scene_id").agg(*[F.round(v, 6).alias(k) for k, v in shares.items()])
 
 
-@query("d29_mask_boxes", "v_cells", sql="select scene_id, post_class, min(c) as x0, min(r) as y0, max(c) + 1 as x1, max(r) + 1 as y1 from v_cells where post_class > 10 group by all")
+@query("d29_mask_boxes", "v_cells", sql="select scene_id, post_class, min(c) as x0, min(r) as y0, max(c) + 1 as x1, max(r) + 1 as y1 from v_cells group by all")
 def mask_boxes(cells: DataFrame) -> DataFrame:
-    return cells.where("post_class > 10").groupBy("scene_id", "post_class").agg(F.min("c").alias("x0"), F.min("r").alias("y0"), (F.max("c") + 1).alias("x1"), (F.max("r") + 1).alias("y1"))
+    return cells.groupBy("scene_id", "post_class").agg(F.min("c").alias("x0"), F.min("r").alias("y0"), (F.max("c") + 1).alias("x1"), (F.max("r") + 1).alias("y1"))
 
 
 @query("h14_box_modes", "v_boxes", sql="""select box_id, x1 - x0 as w, y1 - y0 as h, (x0 + x1) / 2 as cx, (y0 + y1) / 2 as cy,
@@ -236,6 +265,15 @@ def topk_per_level(boxes: DataFrame) -> DataFrame:
     return some.withColumn("k", F.row_number().over(order)).where("k <= 3").select("image_id", "category_id", "box_id", "score")
 
 
+@query("f5_rotated_nms", "v_boxes")
+def rotated_nms(boxes: DataFrame) -> DataFrame:
+    """Boxes turned by steps of 15 degrees, suppressed by image and category; greedy suppression has no SQL form."""
+    x, y = fb.centre(fb.box())
+    size = {"w": F.col("x1") - F.col("x0"), "h": F.col("y1") - F.col("y0"), "angle": (F.col("box_id") % 12 * 15).cast("double")}
+    turned = boxes.where("is_gt = 0").withColumns({"cx": x, "cy": y, **size}).select("image_id", "category_id", "box_id", "score", "cx", "cy", "w", "h", "angle")
+    return evaluation.suppressed_rotated(turned, ["image_id", "category_id"], "box_id", 0.3).select("image_id", "box_id", "score")
+
+
 @query("d28_scalar_histogram", "v_boxes", sql="""with s as (select category_id, min(score) as low, max(score) as high, count(*) as n, sum(score) as total, sum(score * score) as squares from v_boxes group by category_id)
 select b.category_id, cast(least(floor((score - low) * 10 / (high - low)), 9) as bigint) as bin, count(*) as in_bin, n, round(total, 6) as total, round(squares, 6) as squares from v_boxes b join s using (category_id) group by all""")
 def scalar_histogram(boxes: DataFrame) -> DataFrame:
@@ -253,7 +291,7 @@ def proposal_recall(boxes: DataFrame) -> DataFrame:
     return out.select("area", "threshold", F.round("recall", 6).alias("recall"))
 
 
-@query("d23_ap_by_frequency", "v_boxes", sql=f"""{_CURVE}, y as (select category_id, (recall - coalesce(lag(recall) over (partition by category_id order by score desc, det), 0)) * envelope as part from x),
+@query("d23_ap_by_frequency", "v_boxes", sql=f"""{_COCO_CURVE}, y as (select category_id, (recall - coalesce(lag(recall) over (partition by category_id order by score desc, det), 0)) * envelope as part from x),
 a as (select category_id, sum(part) as ap from y group by category_id), i as (select category_id, count(distinct image_id) as images from v_boxes where is_gt = 1 group by category_id),
 q as (select case when images <= 1490 then 'r' when images <= 1510 then 'c' else 'f' end as frequency, ap from a join i using (category_id))
 select case when grouping(frequency) = 1 then 'all' else frequency end as frequency, round(avg(ap), 6) as ap from q group by grouping sets ((frequency), ())""")

@@ -164,15 +164,12 @@ def bilinear_half(cells: DataFrame) -> DataFrame:
     return half.select("scene_id", "r", "c", F.round("v", 6).alias("v"))
 
 
-@query("h42_patches", "v_cells", sql="""with k as (select scene_id, r, c, post_class as v from v_cells where scene_id < 4), n as (select k.scene_id, k.r, k.c, least(greatest(k.r + dy, 0), 63) as fr, least(greatest(k.c + dx, 0), 63) as fc, dy, dx
- from k, (values (-1),(0),(1)) a(dy), (values (-1),(0),(1)) b(dx)) select n.scene_id, n.r, n.c, cast(sum(coalesce(k.v, 0)) as bigint) as total, count(k.v) as cells from n left join k on n.scene_id = k.scene_id and n.fr = k.r and n.fc = k.c group by all""")
-def patches(cells: DataFrame) -> DataFrame:
-    """The first four scenes only, as its SQL says; ``h42_all_patches`` has all."""
-    return _patch_sums(cells.where("scene_id < 4"))
+_PATCHES = """with n as (select k.scene_id, k.r, k.c, least(greatest(k.r + dy, 0), 63) as fr, least(greatest(k.c + dx, 0), 63) as fc, dy, dx
+ from v_cells k, (values (-1),(0),(1)) a(dy), (values (-1),(0),(1)) b(dx)) select n.scene_id, n.r, n.c, cast(sum(coalesce(k.post_class, 0)) as bigint) as total, count(k.post_class) as cells from n left join v_cells k on n.scene_id = k.scene_id and n.fr = k.r and n.fc = k.c group by all"""
 
 
-@query("h42_all_patches", "v_cells", sql="""with n as (select k.scene_id, k.r, k.c, least(greatest(k.r + dy, 0), 63) as fr, least(greatest(k.c + dx, 0), 63) as fc, dy, dx
- from v_cells k, (values (-1),(0),(1)) a(dy), (values (-1),(0),(1)) b(dx)) select n.scene_id, n.r, n.c, cast(sum(coalesce(k.post_class, 0)) as bigint) as total, count(k.post_class) as cells from n left join v_cells k on n.scene_id = k.scene_id and n.fr = k.r and n.fc = k.c group by all""")
+@query("h42_patches", "v_cells", sql=_PATCHES)
+@query("h42_all_patches", "v_cells", sql=_PATCHES)
 def all_patches(cells: DataFrame) -> DataFrame:
     """The 3 x 3 window around each cell of every scene: its sum, and its cells with data."""
     return _patch_sums(cells)
@@ -239,20 +236,13 @@ def run_lengths(cells: DataFrame) -> DataFrame:
     return raster.runs(cells.where("post_class > 7").withColumn("v", F.lit(1)), ["scene_id"], "v").select("scene_id", "r", "c0", "c1", (F.col("c1") - F.col("c0") + 1).alias("n"))
 
 
-_REC = """with recursive m as (select scene_id, r, c, post_class % 3 as v, r * 64 + c as id from v_cells where post_class % 3 > 0 and scene_id = 0),
-w(id, root) as (select id, id from m union select n.id, w.root from w join m a on a.id = w.id join m n on n.v = a.v and abs(n.r - a.r) + abs(n.c - a.c) = 1 where w.root <= n.id)
-select cast(min(root) as bigint) as label, count(*) as cells from (select id, min(root) as root from w group by id) group by root"""
-
-
-@query("h38_components", "v_cells", sql=_REC.replace("min(root) as bigint) as label", "root as bigint) as label"))
-def components(cells: DataFrame) -> DataFrame:
-    """Sizes of the 4-connected regions of equal class of the first scene only, as its SQL says; ``h38_all_components`` has all."""
-    return _component_sizes(cells.where("scene_id = 0")).select("label", "cells")
+_REGIONS = """with recursive m as (select scene_id, r, c, post_class % 3 as v, scene_id * 4096 + r * 64 + c as id from v_cells where post_class % 3 > 0),
+w(id, root) as (select id, id from m union select n.id, w.root from w join m a on a.id = w.id join m n on n.scene_id = a.scene_id and n.v = a.v and abs(n.r - a.r) + abs(n.c - a.c) = 1 where w.root <= n.id)
+select root // 4096 as scene_id, cast(root % 4096 as bigint) as label, count(*) as cells from (select id, min(root) as root from w group by id) group by root"""
 
 
-@query("h38_all_components", "v_cells", sql="""with recursive m as (select scene_id, r, c, post_class % 3 as v, scene_id * 4096 + r * 64 + c as id from v_cells where post_class % 3 > 0),
-w(id, root) as (select id, id from m union select n.id, w.root from w join m a on a.id = w.id join m n on n.scene_id = a.scene_id and n.v = a.v and abs(n.r - a.r) + abs(n.c - a.c) = 1 where w.root <= n.id)
-select root // 4096 as scene_id, cast(root % 4096 as bigint) as label, count(*) as cells from (select id, min(root) as root from w group by id) group by root""")
+@query("h38_components", "v_cells", sql=_REGIONS)
+@query("h38_all_components", "v_cells", sql=_REGIONS)
 def all_components(cells: DataFrame) -> DataFrame:
     """Sizes of the 4-connected regions of equal class of every scene, by their first cell."""
     return _component_sizes(cells)

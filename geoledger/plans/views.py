@@ -7,11 +7,11 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 VIEWS = {
-    # Cells of eight scenes with a class before and after; a missing cell has no data.
-    "v_cells": """select scene_id, r, c, min(cls) as pre_class, max(cls) as post_class from (select l_suppkey % 8 as scene_id,
+    # Cells with a class before and after, eight scenes for each run of 65,536 order keys; a missing cell has no data.
+    "v_cells": """select scene_id, r, c, min(cls) as pre_class, max(cls) as post_class from (select cast(floor(l_orderkey / 65536.0e0) as bigint) * 8 + l_suppkey % 8 as scene_id,
  (l_orderkey * 7) % 64 as r, l_partkey % 64 as c, cast(floor(l_quantity) as int) % 14 as cls from {lineitem}) t group by scene_id, r, c""",
     # Rectangles on the grid, with overlaps.
-    "v_polygons": """select s_suppkey as fid, s_suppkey % 8 as scene_id, (s_suppkey * 5) % 48 as x0, (s_suppkey * 11) % 48 as y0,
+    "v_polygons": """select s_suppkey as fid, cast(floor(s_suppkey / 128.0e0) as bigint) * 8 + s_suppkey % 8 as scene_id, (s_suppkey * 5) % 48 as x0, (s_suppkey * 11) % 48 as y0,
  (s_suppkey * 5) % 48 + 4 + s_suppkey % 12 as x1, (s_suppkey * 11) % 48 + 4 + s_nationkey % 12 as y1 from {supplier}""",
     # Adjacent squares in source order.
     "v_provinces": """select n_nationkey as ord, n_name as name, (n_nationkey % 5) * 13 as x0, cast(floor(n_nationkey / 5.0) as int) * 13 as y0,

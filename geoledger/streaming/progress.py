@@ -52,20 +52,26 @@ def send(last: tuple | None, file: str, progress: float, seconds: float, least_s
 
 
 def throttled(events: DataFrame, least_step: float, least_seconds: float) -> DataFrame:
-    """(task, cur) of the events that a throttled sender gives out; events have task, cur, ts, file, progress."""
-
-    def each(df: pd.DataFrame) -> pd.DataFrame:
-        kept, last = [], {}
-        seconds = df["ts"].astype("int64") / 1e9 if str(df["ts"].dtype).startswith("datetime64[ns") else df["ts"].map(lambda t: t.timestamp())
-        rows = sorted(zip(df["task"], df["cur"], df["file"], df["progress"], seconds, strict=True), key=lambda r: (r[0], r[1]))
-        for task, cur, file, progress, at in rows:
-            if send(last.get(task), file, progress, at, least_step, least_seconds):
-                last[task] = (file, progress, at)
-                kept.append((task, cur))
-        return pd.DataFrame(kept, columns=["task", "cur"])
-
-    dealt = events.withColumn("_part", F.pmod(F.xxhash64("task"), F.lit(64)))
-    return dealt.groupBy("_part").applyInPandas(each, "task long, cur long")
+    """(task, cur) of the events that a throttled sender gives out; events have task, cur, ts, file, progress.
+
+    Events are dealt by task and sorted; a task of Spark reads them one after the other and keeps the last one sent only.
+    """
+
+    def each(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task, last = None, None
+        for df in parts:
+            kept = []
+            seconds = df["ts"].astype("int64") / 1e9 if str(df["ts"].dtype).startswith("datetime64[ns") else df["ts"].map(lambda t: t.timestamp())
+            for now, cur, file, progress, at in zip(df["task"], df["cur"], df["file"], df["progress"], seconds, strict=True):
+                if now != task:
+                    task, last = now, None
+                if send(last, file, progress, at, least_step, least_seconds):
+                    last = (file, progress, at)
+                    kept.append((task, cur))
+            yield pd.DataFrame(kept, columns=["task", "cur"])
+
+    ordered = events.select("task", "cur", "ts", "file", "progress").repartition("task").sortWithinPartitions("task", "cur")
+    return ordered.mapInPandas(each, "task long, cur long")
 
 
 def throttled_stream(events: DataFrame, least_step: float, least_seconds: float) -> DataFrame:
