@@ -43,6 +43,8 @@ TOXIC_TEXTS, CLEAN_TEXTS = 6000, 12000
 #: An entry is in so many toxic texts of the sample at least; its log-odds, and those less two standard errors, are at least these.
 LEAST_TEXTS, LEAST_WEIGHT, LEAST_SURE = 4, 2.5, 2.5
 _BEGINNINGS = range(4, 9)
+#: Features that a worker counts before it sends the counts on.
+_COUNTED = 150_000
 
 
 def fold(text: str) -> str:
@@ -147,13 +149,20 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = [Counter(), Counter()]
+
+        def out() -> pa.RecordBatch:
+            names = list(both[0].keys() | both[1].keys())
+            columns = [pa.array([c[n] for n in names], pa.int64()) for c in both]
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], names=["f", "clean", "toxic"])
+
         for b in batches:
             for text, toxic in zip(_texts(b.column(0)), b.column(1).to_pylist(), strict=True):
                 both[toxic].update(features(fold(text)))
                 both[toxic][""] += 1
-        names = list(both[0] | both[1])
-        columns = [pa.array([c[n] for n in names], pa.int64()) for c in both]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], names=["f", "clean", "toxic"])
+                if len(both[0]) + len(both[1]) > _COUNTED:
+                    yield out()
+                    both = [Counter(), Counter()]
+        yield out()
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
