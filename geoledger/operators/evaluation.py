@@ -114,46 +114,65 @@ def _by_image(df: DataFrame, keys: list[str], each, schema) -> DataFrame:  # noq
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
 
 
-def greedy_matches(pairs: DataFrame, keys: list[str], det: str, truth: str, thresholds: list[float]) -> DataFrame:
-    """(keys, det, score, threshold, tp): detections by falling score each take the best truth that is free, at each threshold.
+def greedy_matches(pairs: DataFrame, keys: list[str], det: str, truth: str, thresholds: list[float], areas: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """(keys, det, score, area, threshold, place, tp): detections by falling score each take the best truth that is free.
 
-    ``pairs`` has a row (keys, det, score, truth, iou) for each pair that overlaps, and one with a null truth for each detection that
-    meets none. A key's rows are bounded by an image's boxes.
+    ``pairs`` has a row (keys, det, score, det_size, truth, truth_size, iou) for each pair that overlaps, and one with null truth for
+    each detection that meets none. In each range of areas, ends included, detections take truths of that range before others; those
+    that take another, or none and are out of range themselves, don't count and have no row. ``place`` is a detection's place by
+    score within its key. Of equal overlaps the truth with the smallest id is taken. Without ``areas`` no sizes are needed.
     """
-    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{det} long", "score double", "threshold double", "tp int"])
+    sizes = [F.col(c) if areas else F.lit(0.0).alias(c) for c in ("det_size", "truth_size")]
+    ranges = areas or {"all": (0.0, 0.0)}
+    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{det} long", "score double", "area string", "threshold double", "place int", "tp int"])
 
     def each(*columns: list) -> list[tuple]:
         key = [c[0] for c in columns[: len(keys)]]
         found: dict = {}
-        scores = dict(zip(columns[-4], columns[-3], strict=True))
-        for d, t, q in sorted(zip(columns[-4], columns[-2], columns[-1], strict=True), key=lambda x: (-(x[2] if x[2] == x[2] else 0), x[1])):
-            if q == q:
-                found.setdefault(d, []).append((t, q))
+        dets = {}
+        for d, score, size, t, t_size, q in zip(*columns[len(keys) :], strict=True):
+            dets[d] = (score, size)
+            if t == t and q == q:
+                found.setdefault(d, []).append((q, t, t_size))
+        order = sorted(dets.items(), key=lambda x: (-x[1][0], x[0]))
         rows = []
-        for least in thresholds:
-            used: set = set()
-            for d, score in sorted(scores.items(), key=lambda x: (-x[1], x[0])):
-                hit = next((t for t, q in found.get(d, ()) if q >= least and t not in used), None)
-                if hit is not None:
-                    used.add(hit)
-                rows.append((*key, d, score, least, int(hit is not None)))
+        for area, (low, high) in ranges.items():
+            inside = lambda size: low <= size <= high  # noqa: B023, E731
+            best = {d: sorted(of, key=lambda x: (not inside(x[2]), -x[0], x[1])) for d, of in found.items()}
+            for least in thresholds:
+                used: set = set()
+                for place, (d, (score, size)) in enumerate(order, 1):
+                    hit = next(((t, inside(s)) for q, t, s in best.get(d, ()) if q >= least and t not in used), None)
+                    if hit is not None:
+                        used.add(hit[0])
+                    if hit[1] if hit is not None else inside(size):
+                        rows.append((*key, d, score, area, least, place, int(hit is not None)))
         return rows
 
-    return _by_image(pairs.select(*keys, det, "score", truth, "iou"), keys, each, schema)
+    return _by_image(pairs.select(*keys, det, "score", sizes[0], truth, sizes[1], "iou"), keys, each, schema)
 
 
-def coco_precision(matches: DataFrame, truths: DataFrame, category: str, det: str) -> DataFrame:
-    """(category, threshold, ap, ar): precision at 101 recalls under the envelope, and the last recall."""
-    down = Window.partitionBy(category, "threshold").orderBy(F.desc("score"), det).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    back = Window.partitionBy(category, "threshold").orderBy(F.asc("score"), F.desc(det)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = matches.join(truths, category).withColumns({"tps": F.sum("tp").over(down), "seen": F.count("*").over(down)})
+def coco_precision(matches: DataFrame, truths: DataFrame, category: str, det: str, thresholds: list[float], limits: dict[str, list[int]]) -> DataFrame:
+    """(category, area, most, threshold, ap, ar): precision at 101 recalls under the envelope, and the last recall.
+
+    ``truths`` has (category, area, truths), ``limits`` the numbers of detections an image and category that count, by area.
+    Categories with truths but without detections have 0, those without truths in an area no row.
+    """
+    most = F.explode(F.create_map(*[x for a, n in limits.items() for x in (F.lit(a), F.array(*[F.lit(k) for k in n]))])[F.col("area")])
+    wanted = truths.withColumn("most", most).withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
+    keys = [category, "area", "most", "threshold"]
+    down = Window.partitionBy(*keys).orderBy(F.desc("score"), det)
+    back = Window.partitionBy(*keys).orderBy(F.asc("score"), F.desc(det)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = matches.withColumn("most", most).where(F.col("place") <= F.col("most")).join(truths, [category, "area"])
+    run = run.withColumns({"tps": F.sum("tp").over(upto), "seen": F.count("*").over(upto)})
     run = run.withColumns({"recall": F.col("tps") / F.col("truths"), "precision": F.col("tps") / F.col("seen")}).withColumn("envelope", F.max("precision").over(back))
     # A row is the first that reaches the recalls between the row before and itself.
-    order = Window.partitionBy(category, "threshold").orderBy(F.desc("score"), det)
-    before = F.coalesce(F.lag("recall").over(order), F.lit(-1.0))
+    before = F.coalesce(F.lag("recall").over(down), F.lit(-1.0))
     reached = F.floor(F.col("recall") * 100 + 1e-9) - F.floor(before * 100 + 1e-9)
     run = run.withColumn("reached", F.when(before < 0, F.floor(F.col("recall") * 100 + 1e-9) + 1).otherwise(reached))
-    return run.groupBy(category, "threshold").agg((F.sum(F.col("reached") * F.col("envelope")) / 101).alias("ap"), F.max("recall").alias("ar"))
+    scores = run.groupBy(*keys).agg((F.sum(F.col("reached") * F.col("envelope")) / 101).alias("ap"), F.max("recall").alias("ar"))
+    return wanted.join(scores, keys, "left").na.fill(0.0, ["ap", "ar"]).select(*keys, "ap", "ar")
 
 
 def panoptic_quality(pairs: DataFrame) -> DataFrame:
@@ -228,31 +247,47 @@ def accuracy(pred: Column, truth: Column, background: int) -> dict[str, Column]:
     }
 
 
+def proposal_recall(pairs: DataFrame, truths: DataFrame, keys: list[str], det: str, truth: str, thresholds: list[float], limits: list[int], areas: dict[str, tuple[float, float]]) -> DataFrame:
+    """(area, most, threshold, recall): of each range of truths' areas, ends included, those that a proposal covers; threshold null: the mean.
 
-def proposal_recall(pairs: DataFrame, truths: DataFrame, keys: list[str], det: str, truth: str, thresholds: list[float], limit: int, areas: dict[str, tuple[float, float]]) -> DataFrame:
-    """(area, threshold, recall): of each range of truths' areas, those that a proposal covers, each proposal one truth, best pairs first.
-
-    ``pairs`` has (keys, det, score, truth, iou); of an image's proposals the ``limit`` best count. ``truths`` has (truth, size).
+    Each proposal covers one truth, best pairs first. ``pairs`` has (keys, det, score, truth, truth_size, iou), and a row of each
+    proposal of an image with truths; of an image's proposals the ``most`` best count. ``truths`` has (truth, truth_size).
     """
-    best = Window.partitionBy(*keys).orderBy(F.desc("score"), det)
-    some = pairs.withColumn("_k", F.dense_rank().over(best)).where(F.col("_k") <= limit).drop("_k")
+    ranked = pairs.withColumn("_k", F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.desc("score"), det)))
 
     def each(*columns: list) -> list[tuple]:
         key = [c[0] for c in columns[: len(keys)]]
-        used_d, used_t, rows = set(), set(), []
-        for d, t, q in sorted(zip(*columns[len(keys) :], strict=True), key=lambda x: (-x[2], x[0], x[1])):
-            if d not in used_d and t not in used_t:
-                used_d.add(d)
-                used_t.add(t)
-                rows.append((*key, t, q))
+        order = sorted(zip(*columns[len(keys) :], strict=True), key=lambda x: (-x[3], x[0], x[1]))
+        rows = []
+        for area, (low, high) in areas.items():
+            for most in limits:
+                used_d, used_t = set(), set()
+                for d, t, size, q, k in order:
+                    if k <= most and low <= size <= high and d not in used_d and t not in used_t:
+                        used_d.add(d)
+                        used_t.add(t)
+                        rows.append((*key, area, most, t, q))
         return rows
 
-    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{truth} long", "iou double"])
-    covered = _by_image(some.where("iou > 0").select(*keys, det, truth, "iou"), keys, each, schema).select(truth, "iou")
+    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), "area string", "most int", f"{truth} long", "iou double"])
+    covered = _by_image(ranked.where("iou > 0").select(*keys, det, truth, "truth_size", "iou", "_k"), keys, each, schema).select("area", "most", truth, "iou")
     ranges = F.array(*[F.struct(F.lit(n).alias("area"), F.lit(float(a)).alias("low"), F.lit(float(b)).alias("high")) for n, (a, b) in areas.items()])
-    sized = truths.withColumn("_a", F.explode(ranges)).where((F.col("size") >= F.col("_a.low")) & (F.col("size") < F.col("_a.high")))
-    both = sized.join(covered, truth, "left").withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
-    return both.groupBy(F.col("_a.area").alias("area"), "threshold").agg(F.avg((F.coalesce("iou", F.lit(0.0)) >= F.col("threshold")).cast("double")).alias("recall"))
+    sized = truths.withColumn("_a", F.explode(ranges)).where(F.col("truth_size").between(F.col("_a.low"), F.col("_a.high")))
+    sized = sized.select(truth, F.col("_a.area").alias("area"), F.explode(F.array(*[F.lit(n) for n in limits])).alias("most"))
+    both = sized.join(covered, ["area", "most", truth], "left").withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
+    hit = (F.coalesce("iou", F.lit(0.0)) >= F.col("threshold")).cast("double")
+    return both.groupingSets([["area", "most", "threshold"], ["area", "most"]], "area", "most", "threshold").agg(F.avg(hit).alias("recall")).select("area", "most", "threshold", "recall")
+
+
+def best_proposals(boxes: DataFrame, image: str, level: str, id_: str, before: int, threshold: float, after: int, least_side: float) -> DataFrame:
+    """The ``before`` best of each image and level, without small and non-finite ones, suppressed by level; then the ``after`` best of an image."""
+    from geoledger.functions.boxes import box, is_finite
+
+    best = Window.partitionBy(image, level).orderBy(F.desc("score"), id_)
+    wide = (F.col("x1") - F.col("x0") > least_side) & (F.col("y1") - F.col("y0") > least_side)
+    some = boxes.withColumn("_k", F.row_number().over(best)).where((F.col("_k") <= before) & wide & is_finite(*box())).drop("_k")
+    order = Window.partitionBy(image).orderBy(F.desc("score"), id_)
+    return suppressed(some, [image, level], id_, threshold).withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= after).drop("_k")
 
 
 def by_frequency(scores: DataFrame, images: DataFrame, category: str, rare: int = 10, common: int = 100) -> DataFrame:

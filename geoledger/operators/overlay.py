@@ -1,6 +1,6 @@
-"""Overlays of boxes and polygons: joins on bands of the grid, with the exact test as residual.
+"""Overlays of boxes and polygons: joins on tiles of the grid, with the exact test as residual.
 
-A broadcast of the smaller side is left to the planner, which checks its size; the band key keeps the join an equi-join
+A broadcast of the smaller side is left to the planner, which checks its size; the tile keys keep the join an equi-join
 whichever way it goes.
 """
 
@@ -12,24 +12,26 @@ from pyspark.sql import functions as F
 from geoledger.functions.boxes import Box, area, ioa, iou, overlap
 
 
-def _banded(df: DataFrame, y0: str, y1: str, band: float) -> DataFrame:
-    at = lambda c: F.floor(F.col(c) / F.lit(float(band)))
-    return df.withColumn("band", F.explode(F.sequence(at(y0), at(y1))))
+def _tiled(df: DataFrame, size: float) -> DataFrame:
+    at = lambda c: F.floor(F.col(c) / F.lit(float(size)))
+    over = lambda c: F.explode(F.sequence(at(f"{c}0"), at(f"{c}1")))
+    return df.withColumn("tile_y", over("y")).withColumn("tile_x", over("x"))
 
 
-def overlapping(left: DataFrame, right: DataFrame, band: float = 16.0, keys: list[str] | None = None) -> DataFrame:
+def overlapping(left: DataFrame, right: DataFrame, size: float = 16.0, keys: list[str] | None = None) -> DataFrame:
     """Pairs of rows whose boxes (x0, y0, x1, y1) share area, once each, as columns of aliases a and b, with ``shared``.
 
-    Rows are dealt to the bands of y that they touch; a pair that meets in several is taken in the first.
+    Rows are dealt to the tiles of the grid that they touch; a pair that meets in several is taken in the first. Tiles should
+    be about as large as most boxes: a box has a row for each tile it touches.
     """
-    a, b = _banded(left, "y0", "y1", band).alias("a"), _banded(right, "y0", "y1", band).alias("b")
+    a, b = _tiled(left, size).alias("a"), _tiled(right, size).alias("b")
     box = lambda p: tuple(F.col(f"{p}.{c}") for c in ("x0", "y0", "x1", "y1"))
-    first = F.floor(F.greatest(F.col("a.y0"), F.col("b.y0")) / F.lit(float(band))) == F.col("a.band")
-    on = F.col("a.band") == F.col("b.band")
+    first = lambda c: F.floor(F.greatest(F.col(f"a.{c}0"), F.col(f"b.{c}0")) / F.lit(float(size))) == F.col(f"a.tile_{c}")
+    on = (F.col("a.tile_y") == F.col("b.tile_y")) & (F.col("a.tile_x") == F.col("b.tile_x"))
     for k in keys or []:
         on = on & (F.col(f"a.{k}") == F.col(f"b.{k}"))
     shared = overlap(box("a"), box("b"))
-    return a.join(b, on & (F.col("a.x0") < F.col("b.x1")) & (F.col("b.x0") < F.col("a.x1"))).where(first & (shared > 0)).withColumn("shared", shared)
+    return a.join(b, on).where(first("x") & first("y") & (shared > 0)).withColumn("shared", shared)
 
 
 def max_overlap(targets: DataFrame, sources: DataFrame, target_id: str, source_id: str, field: str) -> DataFrame:

@@ -48,6 +48,15 @@ def overlap_window(pairs: DataFrame, width: str, height: str) -> DataFrame:
     return pairs.withColumns({"a_col": at("a", "x"), "a_row": at("a", "y"), "b_col": at("b", "x"), "b_row": at("b", "y"), "cols": F.when(some, w), "rows": F.when(some, h)})
 
 
+def cropped(cells: DataFrame, windows: DataFrame, side: str, key: str) -> DataFrame:
+    """A side's cells within its window (see :func:`overlap_window`) of the same ``key``, counted from the window's corner."""
+    row, col = F.col(f"{side}_row"), F.col(f"{side}_col")
+    cut = windows.where(row.isNotNull()).select(key, row, col, "rows", "cols")
+    r, c = F.col("r") - row, F.col("c") - col
+    inside = (r >= 0) & (r < F.col("rows")) & (c >= 0) & (c < F.col("cols"))
+    return cells.join(cut, key).where(inside).withColumns({"r": r, "c": c}).select(*cells.columns)
+
+
 def alignment(same_origin: Column, same_resolution: Column) -> Column:
     """How a raster is brought onto the other's grid."""
     return F.when(same_resolution & same_origin, "as is").when(same_resolution, "crop").otherwise("resample")

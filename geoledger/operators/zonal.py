@@ -7,21 +7,22 @@ from pyspark.sql import functions as F
 
 from geoledger.functions.classes import class_name, major_class
 
-#: Rows of cells that go to one bucket of the join between polygons and cells.
-BAND = 16
+#: Rows and columns of cells that go to one bucket of the join between polygons and cells.
+TILE = 16
 
 
-def zonal_counts(polygons: DataFrame, cells: DataFrame, classes: list[str], band: int = BAND) -> DataFrame:
+def zonal_counts(polygons: DataFrame, cells: DataFrame, classes: list[str], tile: int = TILE) -> DataFrame:
     """(scene_id, fid, then for each of ``classes`` a row by layer: layer, class, n): cells by centre within rectangles, class 0 left out.
 
-    Polygons are dealt to the bands of rows they touch, so that the join is on (scene, band) with the exact test as
-    residual, and a large polygon is spread over as many tasks as it has bands.
+    Polygons are dealt to the tiles they touch, so that the join is on (scene, tile) with the exact test as residual, and
+    a large polygon is spread over as many tasks as it has tiles.
     """
-    touched = F.explode(F.sequence(F.floor(F.col("y0") / F.lit(float(band))), F.floor((F.col("y1") - 1) / F.lit(float(band)))))
-    zones = polygons.where("y1 > y0").withColumn("band", touched)
-    banded = cells.withColumn("band", F.floor(F.col("r") / F.lit(float(band))))
+    at = lambda c: F.floor(c / F.lit(float(tile)))
+    touched = lambda c: F.explode(F.sequence(at(F.col(f"{c}0")), at(F.col(f"{c}1") - 1)))
+    zones = polygons.where("y1 > y0 and x1 > x0").withColumn("tile_r", touched("y")).withColumn("tile_c", touched("x"))
+    tiled = cells.withColumns({"tile_r": at(F.col("r")), "tile_c": at(F.col("c"))})
     inside = (F.col("c") >= F.col("x0")) & (F.col("c") < F.col("x1")) & (F.col("r") >= F.col("y0")) & (F.col("r") < F.col("y1"))
-    joined = zones.join(banded, ["scene_id", "band"]).where(inside)
+    joined = zones.join(tiled, ["scene_id", "tile_r", "tile_c"]).where(inside)
     # Counted by both classes at once, then taken apart: one shuffle for all layers.
     counted = joined.groupBy("scene_id", "fid", *classes).agg(F.count("*").alias("n"))
     layers = F.explode(F.array(*[F.struct(F.lit(c).alias("layer"), F.col(c).alias("cls")) for c in classes]))

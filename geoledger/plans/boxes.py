@@ -150,14 +150,24 @@ def voc_ap_11(boxes: DataFrame) -> DataFrame:
     return evaluation.average_precision(curve, "category_id", "det", eleven_points=True).select("category_id", F.round("ap", 6).alias("ap"))
 
 
+#: Fixed values of the public COCO scores: thresholds, and ranges of areas.
+_THRESHOLDS = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
+_AREAS = {"all": (0, 1e10), "small": (0, 32**2), "medium": (32**2, 96**2), "large": (96**2, 1e10)}
+
+
 @query("d20_coco_ap", "v_boxes")
 def coco_ap(boxes: DataFrame) -> DataFrame:
-    """AP and AR by category at two thresholds; greedy matching has no SQL form."""
-    dets = boxes.where("is_gt = 0").select("image_id", "category_id", F.col("box_id").alias("det"), "score")
-    pairs = dets.join(_pairs(boxes).where("iou > 0").select("det", "truth", "iou"), "det", "left").select("image_id", "category_id", "det", "score", "truth", "iou")
-    matches = evaluation.greedy_matches(pairs, ["image_id", "category_id"], "det", "truth", [0.3, 0.5])
-    scores = evaluation.coco_precision(matches, _truths(boxes), "category_id", "det")
-    return scores.select("category_id", "threshold", F.round("ap", 6).alias("ap"), F.round("ar", 6).alias("ar"))
+    """AP and AR by category, threshold, area and number of detections; greedy matching has no SQL form."""
+    sized = boxes.withColumn("size", fb.area(fb.box()))
+    dets = sized.where("is_gt = 0").select("image_id", "category_id", F.col("box_id").alias("det"), "score", F.col("size").alias("det_size"))
+    truths = sized.where("is_gt = 1").select(F.col("box_id").alias("truth"), "category_id", F.col("size").alias("truth_size"))
+    met = _pairs(boxes).where("iou > 0").select("det", "truth", "iou").join(truths.drop("category_id"), "truth")
+    matches = evaluation.greedy_matches(dets.join(met, "det", "left"), ["image_id", "category_id"], "det", "truth", _THRESHOLDS, _AREAS)
+    ranges = F.explode(F.array(*[F.when(F.col("truth_size").between(float(a), float(b)), n) for n, (a, b) in _AREAS.items()]))
+    counts = truths.select("category_id", ranges.alias("area")).where("area is not null").groupBy("category_id", "area").agg(F.count("*").alias("truths"))
+    limits = {"all": [1, 10, 100], "small": [100], "medium": [100], "large": [100]}
+    scores = evaluation.coco_precision(matches, counts, "category_id", "det", _THRESHOLDS, limits)
+    return scores.select("category_id", "area", "most", "threshold", F.round("ap", 6).alias("ap"), F.round("ar", 6).alias("ar"))
 
 
 @query("f4_class_nms", "v_boxes")
@@ -284,11 +294,19 @@ def scalar_histogram(boxes: DataFrame) -> DataFrame:
 
 @query("d22_proposal_recall", "v_boxes")
 def proposal_recall(boxes: DataFrame) -> DataFrame:
-    """Greedy one-to-one coverage has no SQL form."""
-    truths = boxes.where("is_gt = 1").select(F.col("box_id").alias("truth"), fb.area(fb.box()).alias("size"))
-    areas = {"all": (0, 1e12), "small": (0, 200), "medium": (200, 800), "large": (800, 1e12)}
-    out = evaluation.proposal_recall(_pairs(boxes), truths, ["image_id"], "det", "truth", [0.3, 0.5, 0.7], 100, areas)
-    return out.select("area", "threshold", F.round("recall", 6).alias("recall"))
+    """Proposals have no category here; greedy one-to-one coverage has no SQL form."""
+    truths = boxes.where("is_gt = 1").select(F.col("box_id").alias("truth"), fb.area(fb.box()).alias("truth_size"))
+    pairs = overlay.pairwise(boxes.where("is_gt = 0"), boxes.where("is_gt = 1"), ["image_id"])
+    pairs = pairs.select("a.image_id", F.col("a.box_id").alias("det"), F.col("a.score").alias("score"), F.col("b.box_id").alias("truth"), "iou")
+    out = evaluation.proposal_recall(pairs.join(truths, "truth"), truths, ["image_id"], "det", "truth", _THRESHOLDS, [100, 1000], _AREAS)
+    return out.select("area", "most", "threshold", F.round("recall", 6).alias("recall"))
+
+
+@query("f2_proposals", "v_boxes")
+def proposals(boxes: DataFrame) -> DataFrame:
+    """Categories stand for levels; suppression has no SQL form."""
+    kept = evaluation.best_proposals(boxes.where("is_gt = 0"), "image_id", "category_id", "box_id", before=8, threshold=0.3, after=10, least_side=2)
+    return kept.select("image_id", "category_id", "box_id", "score")
 
 
 @query("d23_ap_by_frequency", "v_boxes", sql=f"""{_COCO_CURVE}, y as (select category_id, (recall - coalesce(lag(recall) over (partition by category_id order by score desc, det), 0)) * envelope as part from x),

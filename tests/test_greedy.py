@@ -73,3 +73,52 @@ def test_overflow_takes_the_largest_value_of_the_band_before():
     pre[0, 0], post[4:, 4:] = 200.0, 90_000.0
     out = scoring.low_frequencies_of(pre, post)
     assert out.max() <= 255 and (out == 200).sum() > 1
+
+
+def test_ranges_of_areas_against_a_plain_reading(spark):
+    """One image: each range's own truths first, others don't count, nor do lone detections out of range."""
+    rows = [(1, 1, 0.9, 5.0, 10, 5.0, 0.6), (1, 1, 0.9, 5.0, 11, 50.0, 0.8), (1, 2, 0.8, 50.0, 11, 50.0, 0.7), (1, 3, 0.7, 5.0, None, None, None), (1, 4, 0.6, 50.0, None, None, None)]
+    df = spark.createDataFrame(rows, "image long, det long, score double, det_size double, truth long, truth_size double, iou double")
+    found = evaluation.greedy_matches(df, ["image"], "det", "truth", [0.5], {"all": (0, 100), "small": (0, 10), "large": (10, 100)}).collect()
+    by = {(r["area"], r["det"]): r["tp"] for r in found}
+    assert by == {("all", 1): 1, ("all", 2): 0, ("all", 3): 0, ("all", 4): 0, ("small", 1): 1, ("small", 3): 0, ("large", 1): 1, ("large", 2): 0, ("large", 4): 0}
+    assert {r["det"]: r["place"] for r in found} == {1: 1, 2: 2, 3: 3, 4: 4}
+    counts = spark.createDataFrame([(0, "all", 2), (1, "all", 3)], "cat long, area string, truths long")
+    scores = evaluation.coco_precision(spark.createDataFrame([(0, 1, 0.9, "all", 0.5, 1, 1), (0, 2, 0.8, "all", 0.5, 2, 0), (0, 3, 0.7, "all", 0.5, 3, 1)], "cat long, det long, score double, area string, threshold double, place int, tp int"), counts, "cat", "det", [0.5], {"all": [1, 100]})
+    got = {(r["cat"], r["most"]): (round(r["ap"], 9), r["ar"]) for r in scores.collect()}
+    assert got == {(0, 1): (round(51 / 101, 9), 0.5), (0, 100): (round((51 + 50 * 2 / 3) / 101, 9), 1.0), (1, 1): (0.0, 0.0), (1, 100): (0.0, 0.0)}
+
+
+def test_proposals_cover_truths_by_area_and_number(spark):
+    rows = [(1, 1, 0.2, 10, 5.0, 0.9), (1, 1, 0.2, 11, 50.0, 0.0), (1, 2, 0.9, 10, 5.0, 0.6), (1, 2, 0.9, 11, 50.0, 0.55)]
+    pairs = spark.createDataFrame(rows, "image long, det long, score double, truth long, truth_size double, iou double")
+    truths = spark.createDataFrame([(10, 5.0), (11, 50.0), (12, 50.0)], "truth long, truth_size double")
+    out = evaluation.proposal_recall(pairs, truths, ["image"], "det", "truth", [0.5, 0.8], [1, 100], {"all": (0, 100), "large": (10, 100)}).collect()
+    got = {(r["area"], r["most"], r["threshold"]): round(r["recall"], 9) for r in out}
+    third = round(1 / 3, 9)
+    assert got[("all", 1, 0.5)] == third and got[("all", 1, 0.8)] == 0 and got[("all", 1, None)] == round(1 / 6, 9)
+    assert got[("all", 100, 0.5)] == round(2 / 3, 9) and got[("all", 100, 0.8)] == third
+    assert got[("large", 1, 0.5)] == 0.5 and got[("large", 100, 0.8)] == 0 and len(got) == 12
+
+
+def test_best_proposals_against_all_pairs(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(300):
+        x, y = rng.random() * 40, rng.random() * 40
+        rows.append((k % 3, k % 4, k, rng.randrange(100) / 100, x, y, x + 1 + rng.random() * 15, y + 1 + rng.random() * 15))
+    df = spark.createDataFrame(rows, "image long, level long, box long, score double, x0 double, y0 double, x1 double, y1 double")
+    found = {r["box"] for r in evaluation.best_proposals(df, "image", "level", "box", 12, 0.3, 9, 2.0).collect()}
+    want = set()
+    for image in range(3):
+        kept = []
+        for level in range(4):
+            best = sorted((r for r in rows if r[:2] == (image, level)), key=lambda r: (-r[3], r[2]))[:12]
+            own = []
+            for r in (r for r in best if r[6] - r[4] > 2 and r[7] - r[5] > 2):
+                over = lambda a, b: max(0, min(a[6], b[6]) - max(a[4], b[4])) * max(0, min(a[7], b[7]) - max(a[5], b[5]))
+                if all(over(r, o) <= 0.3 * (over(r, r) + over(o, o) - over(r, o)) for o in own):
+                    own.append(r)
+            kept += own
+        want |= {r[2] for r in sorted(kept, key=lambda r: (-r[3], r[2]))[:9]}
+    assert found == want and len(want) == 27
