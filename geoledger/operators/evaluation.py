@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from geoledger.operators.scoring import rotated_iou
+from geoledger.scratch import written
+
+#: Slices of a unit of score that running counts are taken in.
+SLICES = 1024
 
 
 def confusion(cells: DataFrame, pred: str, truth: str, classes: int, ignore: int | None = None) -> DataFrame:
@@ -52,13 +56,29 @@ def claims(pairs: DataFrame, image: str, category: str, det: str, truth: str, th
     return best.withColumn("tp", (hit & (F.row_number().over(first) == 1)).cast("int")).select(category, det, "score", "tp")
 
 
+def _curve(hits: DataFrame, keys: list[str], det: str) -> DataFrame:
+    """(keys, det, score, tp, truths) with tps, seen, recall, precision and envelope, by falling score, then ``det``.
+
+    Counts run within slices of the scores, and those of the slices above are added, so that a key is spread over as many
+    tasks as it has slices; a row for each slice and key is all that a single task sorts. Equal scores share a slice.
+    """
+    part = [*keys, "slice"]
+    rows = written(hits.withColumn("slice", F.floor(F.col("score") * SLICES)), "scores")
+    above = Window.partitionBy(*keys).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*part).agg(F.sum("tp").alias("tps"), F.count("*").alias("seen"))
+    before = sums.select(*part, *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("tps", "seen")])
+    down = Window.partitionBy(*part).orderBy(F.desc("score"), det).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = rows.join(before, part).withColumns({"tps": F.sum("tp").over(down) + F.col("tps_above"), "seen": F.count("*").over(down) + F.col("seen_above")})
+    run = run.withColumns({"recall": F.col("tps") / F.col("truths"), "precision": F.col("tps") / F.col("seen")}).drop("tps_above", "seen_above")
+    below = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    tops = run.groupBy(*part).agg(F.max("precision").alias("top")).select(*part, F.max("top").over(below).alias("later"))
+    back = Window.partitionBy(*part).orderBy(F.asc("score"), F.desc(det)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return run.join(tops, part).withColumn("envelope", F.greatest(F.max("precision").over(back), "later")).drop("slice", "later")
+
+
 def precision_recall(claimed: DataFrame, truths: DataFrame, category: str, det: str) -> DataFrame:
     """Running precision and recall by falling score, and the precision's envelope from the right."""
-    down = Window.partitionBy(category).orderBy(F.desc("score"), det).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = claimed.join(truths, category).withColumns({"tps": F.sum("tp").over(down), "seen": F.count("*").over(down)})
-    run = run.withColumns({"recall": F.col("tps") / F.col("truths"), "precision": F.col("tps") / F.col("seen")})
-    back = Window.partitionBy(category).orderBy(F.asc("score"), F.desc(det)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return run.withColumn("envelope", F.max("precision").over(back))
+    return _curve(claimed.join(truths, category), [category], det)
 
 
 def average_precision(curve: DataFrame, category: str, det: str, eleven_points: bool = False) -> DataFrame:
@@ -66,9 +86,8 @@ def average_precision(curve: DataFrame, category: str, det: str, eleven_points:
     if eleven_points:
         each = curve.withColumn("t", F.explode(F.array(*[F.lit(i / 10) for i in range(11)]))).where("recall >= t - 1e-12")
         return each.groupBy(category, "t").agg(F.max("precision").alias("p")).groupBy(category).agg((F.sum("p") / 11).alias("ap"))
-    order = Window.partitionBy(category).orderBy(F.desc("score"), det)
-    step = F.col("recall") - F.coalesce(F.lag("recall").over(order), F.lit(0.0))
-    return curve.withColumn("part", step * F.col("envelope")).groupBy(category).agg(F.sum("part").alias("ap"))
+    # Recall grows by one truth at each true positive.
+    return curve.groupBy(category).agg(F.sum(F.col("tp") / F.col("truths") * F.col("envelope")).alias("ap"))
 
 
 def _by_image(df: DataFrame, keys: list[str], each, schema) -> DataFrame:  # noqa: ANN001
@@ -161,16 +180,11 @@ def coco_precision(matches: DataFrame, truths: DataFrame, category: str, det: st
     most = F.explode(F.create_map(*[x for a, n in limits.items() for x in (F.lit(a), F.array(*[F.lit(k) for k in n]))])[F.col("area")])
     wanted = truths.withColumn("most", most).withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
     keys = [category, "area", "most", "threshold"]
-    down = Window.partitionBy(*keys).orderBy(F.desc("score"), det)
-    back = Window.partitionBy(*keys).orderBy(F.asc("score"), F.desc(det)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = matches.withColumn("most", most).where(F.col("place") <= F.col("most")).join(truths, [category, "area"])
-    run = run.withColumns({"tps": F.sum("tp").over(upto), "seen": F.count("*").over(upto)})
-    run = run.withColumns({"recall": F.col("tps") / F.col("truths"), "precision": F.col("tps") / F.col("seen")}).withColumn("envelope", F.max("precision").over(back))
-    # A row is the first that reaches the recalls between the row before and itself.
-    before = F.coalesce(F.lag("recall").over(down), F.lit(-1.0))
-    reached = F.floor(F.col("recall") * 100 + 1e-9) - F.floor(before * 100 + 1e-9)
-    run = run.withColumn("reached", F.when(before < 0, F.floor(F.col("recall") * 100 + 1e-9) + 1).otherwise(reached))
+    run = _curve(matches.withColumn("most", most).where(F.col("place") <= F.col("most")).join(truths, [category, "area"]), keys, det)
+    # A row is the first that reaches the recalls between the row before and itself; the first row reaches 0 too.
+    steps = lambda recall: F.floor(recall * 100 + 1e-9)
+    reached = steps(F.col("recall")) - steps((F.col("tps") - F.col("tp")) / F.col("truths")) + (F.col("seen") == 1).cast("int")
+    run = run.withColumn("reached", reached)
     scores = run.groupBy(*keys).agg((F.sum(F.col("reached") * F.col("envelope")) / 101).alias("ap"), F.max("recall").alias("ar"))
     return wanted.join(scores, keys, "left").na.fill(0.0, ["ap", "ar"]).select(*keys, "ap", "ar")
 

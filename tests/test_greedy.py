@@ -122,3 +122,19 @@ def test_best_proposals_against_all_pairs(spark):
             kept += own
         want |= {r[2] for r in sorted(kept, key=lambda r: (-r[3], r[2]))[:9]}
     assert found == want and len(want) == 27
+
+
+def test_curves_over_slices_are_those_of_one_sorted_list(spark):
+    rng = random.Random(3)
+    rows = [(k % 2, k, rng.choice([0.0, 0.5, 0.5001, 1.0, rng.random()]), int(rng.random() < 0.4)) for k in range(400)]
+    truths = spark.createDataFrame([(0, 90), (1, 200)], "cat long, truths long")
+    found = {r["det"]: r for r in evaluation.precision_recall(spark.createDataFrame(rows, "cat long, det long, score double, tp int"), truths, "cat", "det").collect()}
+    assert len(found) == 400
+    for cat, n in ((0, 90), (1, 200)):
+        order, tps, run = sorted((r for r in rows if r[0] == cat), key=lambda r: (-r[2], r[1])), 0, []
+        for seen, r in enumerate(order, 1):
+            tps += r[3]
+            run.append((r[1], tps / n, tps / seen))
+        for at, (det, recall, precision) in enumerate(run):
+            got = found[det]
+            assert (got["recall"], got["precision"], got["envelope"]) == pytest.approx((recall, precision, max(p for _, _, p in run[at:])))
