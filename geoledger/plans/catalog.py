@@ -34,7 +34,7 @@ def query(name: str, *inputs: str, sql: str | None = None) -> Callable:
 
 
 def _load() -> None:
-    from geoledger.plans import annotations, boxes, files, functions, layers, raster, runs, sampling, scoring, series  # noqa: F401
+    from geoledger.plans import annotations, boxes, files, functions, hooks, layers, raster, runs, sampling, scoring, series  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

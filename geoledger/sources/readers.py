@@ -177,6 +177,29 @@ def paired_files(images: DataFrame, labels: DataFrame, pattern: str) -> DataFram
     return key(images, "image").join(key(labels, "label"), "key")
 
 
+def cityscapes(spark: SparkSession, images: str, truth: str) -> DataFrame:
+    """(city, key, image, instances, labels, shapes): each image of a folder by city with its files of truth, null for one that isn't there."""
+
+    def listed(folder: str, end: str, name: str) -> DataFrame:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{end}").option("recursiveFileLookup", "true").load(folder)
+        part = lambda i: F.regexp_extract("path", rf"([^/]+)/([^/]+)\Q{end}\E$", i)
+        return files.select(part(1).alias("city"), part(2).alias("key"), F.col("path").alias(name))
+
+    out = listed(images, "_leftImg8bit.png", "image")
+    for end, name in (("instanceIds.png", "instances"), ("labelIds.png", "labels"), ("polygons.json", "shapes")):
+        out = out.join(listed(truth, f"_gtFine_{end}", name), ["city", "key"], "left")
+    return out
+
+
+def cityscapes_shapes(spark: SparkSession, truth: str) -> DataFrame:
+    """(path, ord, label, crowd, ring): the polygons of the files of truth in their order; a name that ends in ``group`` stands for a crowd."""
+    kind = "objects array<struct<label:string,deleted:int,polygon:array<array<double>>>>"
+    read = spark.read.option("multiLine", True).option("pathGlobFilter", "*_polygons.json").option("recursiveFileLookup", "true").schema(kind).json(truth)
+    each = read.select(F.col("_metadata.file_path").alias("path"), F.posexplode("objects").alias("ord", "o")).where("coalesce(o.deleted, 0) = 0")
+    ring = F.transform("o.polygon", lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+    return each.select("path", "ord", F.regexp_replace("o.label", "group$", "").alias("label"), F.col("o.label").endswith("group").alias("crowd"), ring.alias("ring"))
+
+
 def with_proposals(records: DataFrame, proposals: DataFrame) -> DataFrame:
     """Records by image id, as text, with their proposals (boxes, logits) by falling logit."""
     sorted_ = F.sort_array(F.arrays_zip(F.col("logits").alias("score"), F.col("boxes").alias("box")), asc=False)
