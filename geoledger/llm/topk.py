@@ -132,7 +132,7 @@ class _Best:
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    return np.asarray(column.combine_chunks().flatten(), np.float64).reshape(-1, dim)
+    return np.asarray(column.combine_chunks().flatten(), np.float64).reshape(len(column), dim)
 
 
 def _splits(sample: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -170,14 +170,14 @@ def _shards(rows: DataFrame, number_type: str) -> DataFrame:
         sample = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("uid")).limit(few).select("v").collect() if depth else []
         # Splits of more regions than the sample can tell apart are left to the hash below.
         depth = min(depth, max(0, int(math.log2(max(1, len(sample)) / 8)))) if depth else 0
-        splits[dim] = _splits(_unit(np.array([r["v"] for r in sample], np.float64).reshape(-1, dim)), depth)
+        splits[dim] = _splits(_unit(np.array([r["v"] for r in sample], np.float64).reshape(len(sample), dim)), depth)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             length = np.asarray(b.column(3))
             for dim in np.unique(length).tolist():
                 part = b.filter(pa.array(length == dim))
-                x = np.asarray(part.column(2).flatten(), np.float64).reshape(-1, dim)
+                x = np.asarray(part.column(2).flatten(), np.float64).reshape(part.num_rows, dim)
                 region = _region(_unit(x), splits[dim]) if dim else np.zeros(part.num_rows, np.int64)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(region)], names=["uid", "id", "v", "dim", "region"])
 
