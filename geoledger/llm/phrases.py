@@ -24,8 +24,9 @@ from geoledger.scratch import written
 
 #: Words whose numbers each worker holds; those of rarer frequent words come by a join.
 HEAD = 1 << 18
-#: Bytes of text that are split at a time, numbers in a row of the encoded table, entries that a worker counts before it sends them on.
-STRETCH, ROW, ENTRIES = 1 << 22, 2048, 1 << 20
+#: Bytes of text that are split at a time, numbers in a row of the encoded table, rows that are counted at a time, entries that a
+#: worker counts before it sends them on.
+STRETCH, ROW, STEP, ENTRIES = 1 << 20, 2048, 64, 1 << 19
 #: Occurrences for each range of quotients: the most entries that one task merges.
 MERGED = 1 << 22
 #: Bits of the Bloom filter at most, bits for each phrase in it, and places that a phrase sets.
@@ -246,6 +247,13 @@ def _level(encoded: DataFrame, words: int, bits: int, ranges: int, least: int, b
     # The range of a quotient is read from its leading bits.
     shift = max(0, quotient_bits - max(0, (ranges - 1).bit_length()))
 
+    def steps(b: pa.RecordBatch) -> Iterator[tuple[str, pa.Array]]:
+        langs = b.column(0).dictionary_encode()
+        for k, lang in enumerate(langs.dictionary.to_pylist()):
+            at = np.flatnonzero(langs.indices.to_numpy(zero_copy_only=False) == k)
+            for a in range(0, len(at), STEP):
+                yield lang, b.column(1).take(pa.array(at[a : a + STEP]))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
         entries = 0
@@ -260,12 +268,10 @@ def _level(encoded: DataFrame, words: int, bits: int, ranges: int, least: int, b
                         yield pa.RecordBatch.from_pydict({"lang": pa.array([lang], pa.string()), "part": pa.array([part[a]], pa.int64()), "filter": pa.array([to_bytes(q[a:b], r[a:b], c[a:b])], pa.binary())})
 
         for b in batches:
-            langs = b.column(0).dictionary_encode()
-            for k, lang in enumerate(langs.dictionary.to_pylist()):
-                rows = b.column(1).filter(pc.equal(langs.indices, k))
+            for lang, rows in steps(b):
                 # A 0 after each row keeps phrases within it.
                 ends = np.cumsum(np.diff(rows.offsets.to_numpy()))
-                ids = np.insert(rows.flatten().to_numpy(), ends, 0).astype(np.int64)
+                ids = np.insert(rows.flatten().to_numpy(), ends, 0)
                 n = max(0, len(ids) - words + 1)
                 fine = np.ones(n, bool)
                 for j in range(words):
@@ -284,12 +290,12 @@ def _level(encoded: DataFrame, words: int, bits: int, ranges: int, least: int, b
                 found = tally(*pack([ids[at + j] for j in range(words)], bits))
                 held.setdefault(lang, []).append(found)
                 entries += len(found[0])
-            if entries > ENTRIES:
-                held = {lang: [tally(*[np.concatenate(x) for x in zip(*parts, strict=True)])] for lang, parts in held.items()}
-                entries = sum(len(p[0][0]) for p in held.values())
-                if entries > ENTRIES // 2:
-                    yield from out()
-                    held, entries = {}, 0
+                if entries > ENTRIES:
+                    held = {g: [tally(*[np.concatenate(x) for x in zip(*parts, strict=True)])] for g, parts in held.items()}
+                    entries = sum(len(p[0][0]) for p in held.values())
+                    if entries > ENTRIES // 2:
+                        yield from out()
+                        held, entries = {}, 0
         yield from out()
 
     def merge(t: pa.Table) -> pa.Table:
