@@ -42,6 +42,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 TOXIC_TEXTS, CLEAN_TEXTS = 6000, 12000
 #: An entry is in so many toxic texts of the sample at least; its log-odds, and those less two standard errors, are at least these.
 LEAST_TEXTS, LEAST_WEIGHT, LEAST_SURE = 4, 2.5, 2.5
+#: Texts whose sketches agree in this share of their places are copies.
+COPY = 0.8
+_MULTIPLIERS = np.random.default_rng(17).integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BEGINNINGS = range(4, 9)
 #: Features that a worker counts before it sends the counts on.
 _COUNTED = 150_000
@@ -135,16 +138,37 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> D
     return docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t")).join(F.broadcast(chosen), "i").select("t", "toxic")
 
 
-def _least_shingle(text: bytes) -> int:
-    """The least hash of a text's five-word sequences: most near copies share it."""
+def sketch(text: bytes) -> tuple[int, np.ndarray]:
+    """(least hash of a text's five-word sequences, their min-hash sketch): the share of equal places of two sketches tells how many sequences the texts share."""
     words = text.lower().split()
-    return min(xxhash.xxh64_intdigest(b" ".join(words[k : k + 5])) for k in range(max(1, len(words) - 4))) >> 1
+    h = np.array([xxhash.xxh64_intdigest(b" ".join(words[k : k + 5])) for k in range(max(1, len(words) - 4))], np.uint64)
+    least = [(h[k : k + 4096, None] * _MULTIPLIERS).min(0) for k in range(0, len(h), 4096)]
+    return int(h.min()) >> 1, np.min(least, 0)
+
+
+def first_of_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (t, toxic, key, sketch) sorted by toxic and key: those whose sketch is not COPY like that of a kept row of the same toxic and key."""
+    now, kept, n = None, np.empty((0, len(_MULTIPLIERS)), np.uint64), 0
+    for b in batches:
+        fine = []
+        for toxic, key, s in zip(*[b.column(k).to_pylist() for k in (1, 2, 3)], strict=True):
+            if (toxic, key) != now:
+                now, n = (toxic, key), 0
+            s = np.frombuffer(s, np.uint64)
+            new = not n or not ((kept[:n] == s).mean(1) >= COPY).any()
+            if new:
+                if n == len(kept):
+                    kept = np.concatenate((kept, np.empty((max(8, n), len(s)), np.uint64)))
+                kept[n], n = s, n + 1
+            fine.append(new)
+        yield b.select(["t", "toxic"]).filter(pa.array(fine, pa.bool_()))
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", exceptions: tuple[str, ...] = ()) -> Lexicon:
     """The lexicon and its curve from the rows of ``labels`` (id_col, toxic) that have a text; an empty one if none has.
 
-    Copies of a text, near ones too, say no more than one: of labelled texts with the same least five-word sequence one counts.
+    Near copies say no more than one text: of labelled texts with the same least five-word sequence those count whose sketches
+    agree with no other's in 80 % of their places. Texts that share a passage only all count.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,11 +190,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = [_least_shingle(t) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64())], names=["t", "toxic", "key"])
+            keys, sketches = zip(*map(sketch, b.column(0).to_pylist()), strict=True) if b.num_rows else ((), ())
+            columns = [*b.columns, pa.array(keys, pa.int64()), pa.array([s.tobytes() for s in sketches], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["t", "toxic", "key", "sketch"])
 
-    labelled = _sample(docs, labels, id_col, text_col).select("t", (F.col("toxic") > 0).cast("int").alias("toxic")).mapInArrow(keyed, "t binary, toxic int, key long")
-    sample = written(labelled.groupBy("toxic", "key").agg(F.min("t").alias("t")).select("t", "toxic"), "labelled")
+    labelled = _sample(docs, labels, id_col, text_col).select("t", (F.col("toxic") > 0).cast("int").alias("toxic")).mapInArrow(keyed, "t binary, toxic int, key long, sketch binary")
+    sorted_ = labelled.repartition("toxic", "key").sortWithinPartitions("toxic", "key", "t")
+    sample = written(sorted_.mapInArrow(first_of_copies, "t binary, toxic int"), "labelled")
     counts = sample.mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # Few features are in several toxic texts and hardly any clean one. There are no more than the bounded sample has.
     total = sample.agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic")).first()
