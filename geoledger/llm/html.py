@@ -5,7 +5,8 @@ are discounted by the share of its text that is in links. The best container and
 like it are kept.
 
 Elements that never hold an article, and elements with a class, id or role of things beside an article, are left out first.
-Such a name says nothing on an element that wraps the article itself, as in ``class="page has-sidebar"``.
+Such a name says nothing on an element that wraps the article itself, as in ``class="page has-sidebar"``. Elements that are not
+displayed (``hidden``, ``display: none``) and what stands in for media go too.
 All passes over a page's elements are linear in them, however deep they are.
 """
 
@@ -52,7 +53,9 @@ _TOKEN = re.compile(
 )
 #: Elements whose content is no markup; elements whose content isn't the page's text; of them those that ``/>`` closes.
 _RAW = frozenset("script style title textarea iframe".split())
-_HIDDEN = frozenset("noscript template select button svg object annotation".split())
+_HIDDEN = frozenset("noscript template select button svg object annotation video audio canvas".split())
+#: Elements within a block that are left out if they are marked as put in, or not displayed.
+_INLINE = frozenset("span ins a small b i em strong font label cite u s mark".split())
 _FOREIGN = frozenset("svg math".split())
 #: Elements within svg or math that hold markup of the page; elements that the end of a block outside doesn't close.
 _ISLANDS, _BARRIERS = frozenset(["foreignobject", "annotation-xml"]), frozenset(["template", "object"])
@@ -75,6 +78,7 @@ def _tags(source: str) -> list[tuple[int, int, str, str, str]]:
     places: dict[str, list[int]] = {}
     foreign: list[int] = []
     barriers: list[int] = []
+    marked: list[tuple[str, int]] = []  # inline elements to be left out, and those of the same name in them (start -1)
 
     def cut(k: int) -> None:
         for name, _ in opened[k:]:
@@ -93,13 +97,28 @@ def _tags(source: str) -> list[tuple[int, int, str, str, str]]:
                 end = _RAW_END[name].search(source, at)
                 at = end.end() if end else len(source)
             name = ""
+        elif name in _INLINE:
+            if slash and marked and any(n == name for n, _ in marked):
+                k = max(k for k, (n, _) in enumerate(marked) if n == name)
+                if marked[k][1] >= 0:
+                    hidden.append((marked[k][1], at))
+                del marked[k:]
+            elif not slash and not inside and len(marked) < _MARKED:
+                if more != ">" and _is_put_in(more):
+                    marked.append((name, start))
+                elif any(n == name for n, _ in marked):
+                    marked.append((name, -1))
         elif slash and (name in _HIDDEN or name in _FOREIGN or name in _ISLANDS or name in _BLOCKS):
             k = places[name][-1] if places.get(name) else -1
             if k >= 0 and not (name in _BLOCKS and barriers and barriers[-1] > k):
                 if name in _HIDDEN:
                     hidden.append((opened[k][1], at))
                 cut(k)
+            if name in _BLOCKS:
+                marked.clear()
         elif name:
+            if name in _BLOCKS:
+                marked.clear()
             if inside and name in _BREAK_OUT:
                 while foreign and opened[foreign[-1]][0] in _FOREIGN:
                     if opened[foreign[-1]][0] in _HIDDEN:
@@ -128,20 +147,49 @@ def _tags(source: str) -> list[tuple[int, int, str, str, str]]:
     return out
 
 
+#: Marked inline elements within each other.
+_MARKED = 64
+_UNSEEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/>])|(?:^|\s)style\s*=\s*(?:"[^"]*|'[^']*|[^\s>]*)display\s*:\s*none""", re.I)
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PLAIN, _PART_OF_PAGE, _WRAPPER_WITH_PARTS, _INSERT, _WRAPPER_WITH_INSERTS = range(5)
 
 
+def _is_put_in(attributes: str) -> bool:
+    """Whether an inline element is an advert, a notice or the like, or not displayed."""
+    if _UNSEEN.search(attributes):
+        return True
+    return any(_names(p) & _INSERTS for m in _NAMED.finditer(attributes) for p in _PART.findall(m[1]))
+
+
+#: What names of comments and adverts are put together with, and words that say nothing in a name.
+_COMPOUND = re.compile(r"(?:user|reader|post|article|page|fb)?(comment|advert|sponsor|newsletter|cookie|sidebar|breadcrumb|navbar|footer|popup)s?(?:list|box|form|section|area|thread|body|wrap|wrapper|holder|bar|item|content|container|count|link|note|text)?s?")
+_PLAIN_WORDS = frozenset("list box links link widget container wrap wrapper bar area section block icon icons button buttons media inner outer group items item top bottom left right main primary secondary js row col".split())
+
+
+def _names(part: str) -> set[str]:
+    """A word of a name, and what it is a compound of."""
+    m = _COMPOUND.fullmatch(part.lower())
+    return {part.lower(), m[1]} if m else {part.lower()}
+
+
 def _mark(tag: str, attributes: str, inside: bool) -> int:
     """What an element's tag and names say of it."""
     if tag in ("html", "body", "article", "main"):
         return _PLAIN
+    if _UNSEEN.search(attributes):
+        return _INSERT
     named, words = [], set()
     for m in _NAMED.finditer(attributes):
-        parts = [p.lower() for p in _PART.findall(m[1])]
-        named += [w for k, w in enumerate(parts) if not (k and parts[k - 1] in _HAS)]
-        words.update(parts)
+        for name in m[1].strip("\"'").split() if inside else [m[1]]:
+            parts = [p.lower() for p in _PART.findall(name)]
+            fit = [_names(w) for k, w in enumerate(parts) if not (k and parts[k - 1] in _HAS)]
+            found = set().union(*fit)
+            # In an article a name of a part of a page says so only if all of its words do: not "social-science".
+            if inside and not all(w & (_PARTS | _INSERTS | _PLAIN_WORDS | _WRAPPERS | _HAS) for w in fit):
+                found &= _INSERTS
+            named += found
+            words.update(parts)
     marks = set(named)
     if marks & _INSERTS:
         return _WRAPPER_WITH_INSERTS if words & _WRAPPERS else _INSERT
@@ -226,8 +274,8 @@ class _Page:
     def _leave_out(self) -> None:
         """Drop the blocks of marked elements. A mark on what wraps the article doesn't count:
 
-        an element that holds an ``article`` or ``main``; one named as a wrapper or with an ``h1``, and that marks
-        parts of a page, if it has more text than all that no mark covers; and one named as a wrapper, if no mark leaves
+        an element that holds an ``article`` or ``main``; one named as a wrapper, with an ``h1`` or within an article, and that
+        marks parts of a page, if it has more text than all that no mark covers; and one named as a wrapper, if no mark leaves
         any text. Marks within it count as before. Text in links isn't counted.
         """
         n = len(self.tag)
@@ -247,7 +295,7 @@ class _Page:
             elif self.mark[node]:
                 mark = self.mark[node]
                 named = mark in (_WRAPPER_WITH_PARTS, _WRAPPER_WITH_INSERTS)
-                larger = plain[node] > total and mark in (_PART_OF_PAGE, _WRAPPER_WITH_PARTS) and (named or title[node] or self.tag[node] == "form" and not total)
+                larger = plain[node] > total and mark in (_PART_OF_PAGE, _WRAPPER_WITH_PARTS) and (named or title[node] or self.inside[node] and self.tag[node] != "form" or self.tag[node] == "form" and not total)
                 if holds[node] or larger or named and not total:
                     total += plain[node]
                 else:
