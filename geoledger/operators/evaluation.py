@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from geoledger.operators.scoring import rotated_iou
@@ -15,6 +17,8 @@ from geoledger.scratch import written
 
 #: Slices of a unit of score that running counts are taken in.
 SLICES = 1024
+#: Rows of a result that a task sends on at a time.
+ROWS = 10_000
 
 
 def confusion(cells: DataFrame, pred: str, truth: str, classes: int, ignore: int | None = None) -> DataFrame:
@@ -96,41 +100,39 @@ def _by_image(df: DataFrame, keys: list[str], each, schema) -> DataFrame:  # noq
     Rows are dealt by key and sorted, and a task reads them batch by batch: it holds one batch and the rows of one key,
     whatever the table's size. How many partitions there are is left to the session and to Spark.
     """
-    names = df.columns
+    places = [df.columns.index(k) for k in keys]
 
-    def whole_keys(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Batches that end where a key does."""
-        held: list[pd.DataFrame] = []
-        for part in parts:
-            if not len(part):
-                continue
-            new = part.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
-            last = int(np.flatnonzero(np.diff(new, prepend=-1))[-1])
-            same = held and all(a == b or a != a and b != b for a, b in zip(held[-1][keys].iloc[-1], part[keys].iloc[0], strict=True))
-            if last or not same:
-                if held and not same:
-                    yield pd.concat(held)
-                    held = []
-                if last:
-                    yield pd.concat([*held, part.iloc[:last]])
-                held = [part.iloc[last:]]
-            else:
-                held.append(part)
-        if held:
-            yield pd.concat(held)
+    def same(a: list, b: list) -> bool:
+        return all(x == y or x != x and y != y for x, y in zip(a, b, strict=True))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in whole_keys(parts):
-            at = part.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(part)]
-            columns = [part[n].tolist() for n in names]
-            rows = [r for x, y in zip(cuts[:-1], cuts[1:], strict=True) for r in each(*[c[x:y] for c in columns])]
-            yield pd.DataFrame(rows, columns=[f.name for f in out_fields])
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = []
+        now: list | None = None
+        rows: list[tuple] = []
 
-    from pyspark.sql.types import _parse_datatype_string
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+            return pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, kinds, strict=True)], schema=kinds)
 
-    out_fields = schema.fields if hasattr(schema, "fields") else _parse_datatype_string(schema).fields
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+        for part in parts:
+            # Python's own numbers: ids of any size stay exact, also in columns with nulls.
+            for row in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                key = [row[i] for i in places]
+                if now is None or not same(key, now):
+                    if held:
+                        rows += each(*map(list, zip(*held, strict=True)))
+                    held, now = [], key
+                held.append(row)
+            if len(rows) > ROWS:
+                yield out()
+                rows = []
+        if held:
+            rows += each(*map(list, zip(*held, strict=True)))
+        yield out()
+
+    schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    kinds = to_arrow_schema(schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
 def greedy_matches(pairs: DataFrame, keys: list[str], det: str, truth: str, thresholds: list[float], areas: dict[str, tuple[float, float]] | None = None) -> DataFrame:
@@ -140,35 +142,91 @@ def greedy_matches(pairs: DataFrame, keys: list[str], det: str, truth: str, thre
     each detection that meets none. In each range of areas, ends included, detections take truths of that range before others; those
     that take another, or none and are out of range themselves, don't count and have no row. ``place`` is a detection's place by
     score within its key. Of equal overlaps the truth with the smallest id is taken. Without ``areas`` no sizes are needed.
+
+    With a column ``crowd`` truths for which it is true stand for many: their ``iou`` is taken to be the share of the detection
+    that they cover, any number of detections may take them, after all others, and those that do don't count.
     """
     sizes = [F.col(c) if areas else F.lit(0.0).alias(c) for c in ("det_size", "truth_size")]
+    crowds = F.coalesce(F.col("crowd"), F.lit(False)) if "crowd" in pairs.columns else F.lit(False)
     ranges = areas or {"all": (0.0, 0.0)}
-    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{det} long", "score double", "area string", "threshold double", "place int", "tp int"])
+    kind = pairs.schema[det].dataType.simpleString()
+    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{det} {kind}", "score double", "area string", "threshold double", "place int", "tp int"])
 
     def each(*columns: list) -> list[tuple]:
         key = [c[0] for c in columns[: len(keys)]]
         found: dict = {}
         dets = {}
-        for d, score, size, t, t_size, q in zip(*columns[len(keys) :], strict=True):
+        for d, score, size, t, t_size, q, crowd in zip(*columns[len(keys) :], strict=True):
             dets[d] = (score, size)
-            if t == t and q == q:
-                found.setdefault(d, []).append((q, t, t_size))
+            if t is not None and q is not None:
+                found.setdefault(d, []).append((q, t, t_size, crowd))
         order = sorted(dets.items(), key=lambda x: (-x[1][0], x[0]))
         rows = []
         for area, (low, high) in ranges.items():
             inside = lambda size: low <= size <= high  # noqa: B023, E731
-            best = {d: sorted(of, key=lambda x: (not inside(x[2]), -x[0], x[1])) for d, of in found.items()}
+            best = {d: sorted(of, key=lambda x: (x[3] or not inside(x[2]), -x[0], x[1])) for d, of in found.items()}
             for least in thresholds:
                 used: set = set()
                 for place, (d, (score, size)) in enumerate(order, 1):
-                    hit = next(((t, inside(s)) for q, t, s in best.get(d, ()) if q >= least and t not in used), None)
+                    hit = next(((t, inside(s) and not crowd) for q, t, s, crowd in best.get(d, ()) if q >= least and (crowd or t not in used)), None)
                     if hit is not None:
                         used.add(hit[0])
                     if hit[1] if hit is not None else inside(size):
-                        rows.append((*key, d, score, area, least, place, int(hit is not None)))
+                        rows.append((*key, d, float(score), area, float(least), place, int(hit is not None)))
         return rows
 
-    return _by_image(pairs.select(*keys, det, "score", sizes[0], truth, sizes[1], "iou"), keys, each, schema)
+    return _by_image(pairs.select(*keys, det, "score", sizes[0], truth, sizes[1], "iou", crowds.alias("crowd")), keys, each, schema)
+
+
+def mask_overlaps(dets: DataFrame, truths: DataFrame, keys: list[str], det: str, truth: str, crowd: str | None = None, tile: int = 64) -> DataFrame:
+    """(keys, det, truth, det_size, truth_size, iou) of the masks of each key that share cells.
+
+    A mask is its runs of cells: rows (keys, id, r, c0, c1), ends included, that don't overlap within a mask. Runs are cut at multiples of
+    ``tile`` columns, so that two pieces can only meet in their own row and tile. For truths whose ``crowd`` is true ``iou`` is the share
+    of the detection that they cover.
+    """
+    size = lambda df, n, name: df.groupBy(*keys, n).agg(F.sum(F.col("c1") - F.col("c0") + 1).cast("double").alias(name))
+    more = [crowd] if crowd else []
+
+    def cut(df: DataFrame, id_: str, ends: tuple[str, str]) -> DataFrame:
+        at = F.col("t") * tile
+        t = df.withColumn("t", F.explode(F.sequence(F.floor(F.col("c0") / tile), F.floor(F.col("c1") / tile))))
+        return t.select(*keys, "r", "t", id_, F.greatest("c0", at).alias(ends[0]), F.least("c1", at + (tile - 1)).alias(ends[1]))
+
+    a, b = cut(dets, det, ("a0", "a1")), cut(truths, truth, ("b0", "b1"))
+    met = a.join(b, [*keys, "r", "t"]).withColumn("n", F.least("a1", "b1") - F.greatest("a0", "b0") + 1).where("n > 0")
+    shared = met.groupBy(*keys, det, truth).agg(F.sum("n").cast("double").alias("shared"))
+    of_truth = size(truths, truth, "truth_size").join(truths.select(*keys, truth, *more).distinct(), [*keys, truth])
+    out = shared.join(size(dets, det, "det_size"), [*keys, det]).join(of_truth, [*keys, truth])
+    union = F.col("det_size") + F.col("truth_size") - F.col("shared")
+    iou = F.col("shared") / (F.when(F.col(crowd), F.col("det_size")).otherwise(union) if crowd else union)
+    return out.select(*keys, det, truth, "det_size", "truth_size", iou.alias("iou"), *more)
+
+
+def keypoint_similarity(dets: DataFrame, truths: DataFrame, keys: list[str], det: str, truth: str, sigmas: list[float]) -> DataFrame:
+    """(keys, det, truth, truth_size, iou): the similarity of key points of every detection and truth of a key, as in the COCO scores.
+
+    Both have arrays ``xs`` and ``ys`` with a place for each of ``sigmas``; truths have ``vs`` (0: not labelled), ``truth_size`` and a box
+    x0, y0, x1, y1 too. Without a labelled point the distance to the box, widened by its own size on each side, counts for all.
+    """
+    t = truths.select(*keys, truth, "truth_size", F.col("xs").alias("tx"), F.col("ys").alias("ty"), F.col("vs").alias("tv"), "x0", "y0", "x1", "y1")
+    pairs = dets.select(*keys, det, "xs", "ys").join(t, keys)
+    some = F.exists("tv", lambda v: v > 0)
+    w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    off = lambda x, low, high: F.greatest(low - x, F.lit(0.0)) + F.greatest(x - high, F.lit(0.0))
+    each = F.transform(
+        F.sequence(F.lit(0), F.lit(len(sigmas) - 1)),
+        lambda i: F.struct(
+            F.when(some, F.col("xs")[i] - F.col("tx")[i]).otherwise(off(F.col("xs")[i], F.col("x0") - w, F.col("x1") + w)).alias("dx"),
+            F.when(some, F.col("ys")[i] - F.col("ty")[i]).otherwise(off(F.col("ys")[i], F.col("y0") - h, F.col("y1") + h)).alias("dy"),
+            (F.lit(8.0) * F.array(*[F.lit(float(s)) for s in sigmas])[i] * F.array(*[F.lit(float(s)) for s in sigmas])[i]).alias("k"),
+            (~some | (F.col("tv")[i] > 0)).alias("counts"),
+        ),
+    )
+    counted = F.filter(each, lambda p: p["counts"])
+    likeness = F.transform(counted, lambda p: F.exp(-(p["dx"] * p["dx"] + p["dy"] * p["dy"]) / (p["k"] * (F.col("truth_size") + F.lit(2.0**-52)))))
+    total = F.aggregate(likeness, F.lit(0.0), lambda a, x: a + x)
+    return pairs.select(*keys, det, truth, "truth_size", (total / F.size(counted)).alias("iou"))
 
 
 def coco_precision(matches: DataFrame, truths: DataFrame, category: str, det: str, thresholds: list[float], limits: dict[str, list[int]]) -> DataFrame:

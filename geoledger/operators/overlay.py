@@ -1,6 +1,10 @@
-"""Overlays of boxes and polygons: joins on tiles of the grid, with the exact test as residual.
+"""Overlays of boxes and polygons: joins on cells of a hierarchy of grids, with the exact test as residual.
 
-A broadcast of the smaller side is left to the planner, which checks its size; the tile keys keep the join an equi-join
+A box lies at the level whose cells are about as large as it is, and touches a few of them. Two boxes meet at the level of
+the larger one: it is there with its own cells, and the smaller one with those it touches at that level. So a box has a few
+rows for each level of the other side, however large or small it is, and no size of tiles needs to be chosen.
+
+A broadcast of the smaller side is left to the planner, which checks its size; the cells keep the join an equi-join
 whichever way it goes.
 """
 
@@ -11,27 +15,50 @@ from pyspark.sql import functions as F
 
 from geoledger.functions.boxes import Box, area, ioa, iou, overlap
 
+#: Levels go from cells of 2^-LEVELS to such of 2^LEVELS; smaller and larger boxes lie at the ends.
+LEVELS = 60
+
+
+def _level(df: DataFrame) -> DataFrame:
+    """With ``level``: cells of 2^level are as large as the box's longer side, or up to twice that."""
+    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(2.0**-LEVELS))
+    return df.withColumn("level", F.least(F.ceil(F.log2(side)), F.lit(LEVELS)).cast("int"))
+
 
-def _tiled(df: DataFrame, size: float) -> DataFrame:
-    at = lambda c: F.floor(F.col(c) / F.lit(float(size)))
+def _cells(df: DataFrame) -> DataFrame:
+    """A row for each cell of its ``level`` that a box touches."""
+    at = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("level")))
     over = lambda c: F.explode(F.sequence(at(f"{c}0"), at(f"{c}1")))
-    return df.withColumn("tile_y", over("y")).withColumn("tile_x", over("x"))
+    return df.withColumn("cell_y", over("y")).withColumn("cell_x", over("x"))
 
 
-def overlapping(left: DataFrame, right: DataFrame, size: float = 16.0, keys: list[str] | None = None) -> DataFrame:
+def _at_levels(df: DataFrame, other: DataFrame, above: bool) -> DataFrame:
+    """``df`` at each level that ``other`` has from (or above) its own; there are 2 * LEVELS + 1 levels at most."""
+    levels = other.agg(F.collect_set("level").alias("levels")).scalar()
+    met = df.withColumn("other", F.explode(levels))
+    return met.where(F.col("other") > F.col("level") if above else F.col("other") >= F.col("level")).withColumn("level", F.col("other")).drop("other")
+
+
+def overlapping(left: DataFrame, right: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Pairs of rows whose boxes (x0, y0, x1, y1) share area, once each, as columns of aliases a and b, with ``shared``.
 
-    Rows are dealt to the tiles of the grid that they touch; a pair that meets in several is taken in the first. Tiles should
-    be about as large as most boxes: a box has a row for each tile it touches.
+    With ``keys`` only rows that agree in them meet. A pair that meets in several cells is taken in the first. Boxes with a null
+    or non-finite side meet nothing.
     """
-    a, b = _tiled(left, size).alias("a"), _tiled(right, size).alias("b")
+    fine = lambda df: df.where(" and ".join(f"{c} > double('-inf') and {c} < double('inf')" for c in ("x0", "y0", "x1", "y1")))
+    one, two = _level(fine(left)), _level(fine(right))
     box = lambda p: tuple(F.col(f"{p}.{c}") for c in ("x0", "y0", "x1", "y1"))
-    first = lambda c: F.floor(F.greatest(F.col(f"a.{c}0"), F.col(f"b.{c}0")) / F.lit(float(size))) == F.col(f"a.tile_{c}")
-    on = (F.col("a.tile_y") == F.col("b.tile_y")) & (F.col("a.tile_x") == F.col("b.tile_x"))
-    for k in keys or []:
-        on = on & (F.col(f"a.{k}") == F.col(f"b.{k}"))
     shared = overlap(box("a"), box("b"))
-    return a.join(b, on).where(first("x") & first("y") & (shared > 0)).withColumn("shared", shared)
+    names = [*keys, "level", "cell_y", "cell_x"] if keys else ["level", "cell_y", "cell_x"]
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        a, b = _cells(a).alias("a"), _cells(b).alias("b")
+        first = lambda c: F.floor(F.greatest(F.col(f"a.{c}0"), F.col(f"b.{c}0")) / F.pow(F.lit(2.0), F.col("a.level"))) == F.col(f"a.cell_{c}")
+        pairs = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in names]).where(first("x") & first("y") & (shared > 0))
+        sides = [F.struct(*[F.col(f"{p}.{c}") for c in df.columns]).alias(p) for p, df in (("a", left), ("b", right))]
+        return pairs.select(*sides, shared.alias("shared"))
+
+    return met(_at_levels(one, two, above=False), two).unionByName(met(one, _at_levels(two, one, above=True)))
 
 
 def max_overlap(targets: DataFrame, sources: DataFrame, target_id: str, source_id: str, field: str) -> DataFrame:
@@ -61,11 +88,21 @@ def backfilled(targets: DataFrame, sources: DataFrame, target_id: str, source_id
 
 
 def pairwise(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """All pairs of two box sets per key with iou, ioa and shared area; a key's sets are an image's boxes."""
+    """Pairs of two box sets that agree in the keys and share area, with iou, ioa and shared area."""
     box = lambda p: tuple(F.col(f"{p}.{c}") for c in ("x0", "y0", "x1", "y1"))
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    pairs = left.alias("a").join(right.alias("b"), on)
-    return pairs.withColumns({"iou": iou(box("a"), box("b")), "ioa": ioa(box("a"), box("b")), "shared": overlap(box("a"), box("b"))})
+    pairs = overlapping(left, right, keys)
+    return pairs.withColumns({"iou": iou(box("a"), box("b")), "ioa": ioa(box("a"), box("b"))})
+
+
+def with_strangers(pairs: DataFrame, predictions: DataFrame, truths: DataFrame, keys: list[str], prediction: str, truth: str) -> DataFrame:
+    """(keys, prediction, truth, iou) with a row for each prediction without a pair: the least truth of its keys, iou 0.
+
+    That is what a table of all pairs would give such a prediction as its best truth; those of keys without truths have no row.
+    """
+    some = pairs.select(*keys, prediction, truth, "iou")
+    least = truths.groupBy(*keys).agg(F.min(truth).alias(truth))
+    alone = predictions.join(some.select(prediction).distinct(), prediction, "left_anti").join(least, keys)
+    return some.unionByName(alone.select(*keys, prediction, truth, F.lit(0.0).alias("iou")))
 
 
 def matched(quality: DataFrame, prediction: str, truth: str, low: float, high: float, promote: bool = False) -> DataFrame:

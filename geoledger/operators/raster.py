@@ -74,6 +74,97 @@ def linear_stretch(cells: DataFrame, keys: list[str], value: str, low: float = 0
     return out.withColumn(value, F.when(F.col("high") > F.col("low"), F.floor(to).cast("int")).otherwise(F.col(value))).select(*cells.columns)
 
 
+# Fixed values of the five-segment stretch: least and greatest weights of its segments, in steps of 1 / 255.
+_SEGMENTS = {"dark": (4.0, 0, 10), "left": (2.0, 10, 60), "middle": (0.5, 100, 160), "right": (2.0, 10, 60), "white": (4.0, 0, 10)}
+
+
+def stretch_bounds(cells: DataFrame, dense: DataFrame, keys: list[str], value: str, left: float, right: float, narrow: bool) -> DataFrame:
+    """(keys, low, valid0, clip0, clip1, valid1, high, and a weight for each segment) of the five-segment stretch.
+
+    ``valid`` are the values at all but a millionth of the cells, ``clip`` those at the shares ``left`` and ``right``; ``narrow``
+    keeps the valid range within a tenth below and a half above the clipped one.
+    """
+    ends = cells.groupBy(*keys).agg(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"))
+    near = lambda p: F.min_by(F.col("v").cast("double"), F.struct(F.abs(F.col("q") - p), F.col("v")))
+    at = dense.groupBy(*keys).agg(near(1e-6).alias("valid0"), near(max(left, 1e-6)).alias("clip0"), near(1 - max(right, 1e-6)).alias("clip1"), near(1 - 1e-6).alias("valid1"))
+    out = ends.join(at, keys).withColumns({"valid0": F.greatest("valid0", "low"), "valid1": F.least("valid1", "high"), "clip1": F.least("clip1", "high")})
+    out = out.withColumn("clip0", F.greatest("clip0", "valid0"))
+    if narrow:
+        span = F.col("clip1") - F.col("clip0")
+        out = out.withColumns({"valid0": F.floor(F.greatest("valid0", F.col("clip0") - 0.1 * span)).cast("double"), "valid1": F.floor(F.least("valid1", F.col("clip1") + 0.5 * span)).cast("double")})
+    stops, weights = ["low", "valid0", "clip0", "clip1", "valid1", "high"], {}
+    for (name, (part, least, most)), a, b in zip(_SEGMENTS.items(), stops[:-1], stops[1:], strict=True):
+        share = (F.col(b) - F.col(a)) / (F.col("high") + 0.1) / part
+        weights[name] = F.least(F.greatest(share, F.lit(least / 255)), F.lit(most / 255))
+    out = out.withColumns(weights)
+    total = sum((F.col(n) for n in list(_SEGMENTS)[1:]), F.col("dark"))
+    out = out.withColumns({n: F.col(n) / total for n in ("dark", "left", "middle")}).drop("right", "white")
+    # The segments' ends as places in the table, each above the one before.
+    out = out.withColumn("low", F.greatest(F.lit(1.0), "low"))
+    out = out.withColumn("valid0", F.greatest(F.col("valid0"), F.col("low") + 1)).withColumn("valid1", F.least(F.col("valid1"), F.col("high") - 1))
+    return out.withColumn("clip0", F.greatest(F.col("clip0"), F.col("valid0") + 1)).withColumn("clip1", F.least(F.col("clip1"), F.col("valid1") - 1))
+
+
+def stretch_table(cells: DataFrame, keys: list[str], value: str, left: float = 0.001, right: float = 0.001, bins: int = 256, narrow: bool = False, limit: float = 0.02, gamma: float | None = None) -> DataFrame:
+    """(keys, v, to): the 8-bit table of the five-segment stretch, a row for each value of each key.
+
+    Dark, left and middle values are spread by their segments' weights. From the right clip value on the histogram is
+    equalised: bins above ``limit`` of its sum are cut, and what is cut off is shared out over the bins below the limit,
+    first evenly in whole cells, then what is left in equal steps over those that are still below.
+    """
+    whole = Window.partitionBy(*keys)
+    upto = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = cells.select(*keys).distinct().withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    counts = histogram(cells, keys, value, bins).withColumnRenamed(value, "v")
+    dense = every.join(counts, [*keys, "v"], "left").na.fill(0, ["n"]).withColumn("q", F.sum("n").over(upto) / (F.sum("n").over(whole) + 1e-5))
+    t = dense.join(stretch_bounds(cells, dense, keys, value, left, right, narrow), keys)
+    v = F.least(F.col("v").cast("double"), F.col("high"))
+    t = t.withColumn("to", F.when(F.col("v") < F.col("low"), 1.0).otherwise(v))
+    before = lambda stop: F.max(F.when(F.col("v") == F.col(stop) - 1, F.col("to"))).over(whole)
+    for a, b, weight in (("low", "valid0", "dark"), ("valid0", "clip0", "left"), ("clip0", "clip1", "middle")):
+        here = (F.col("v") >= F.col(a)) & (F.col("v") < F.col(b))
+        spread = F.ceil((v - F.col(a)) / (F.col(b) - F.col(a) + 1) * F.col(weight) * 255.0 + F.col("base"))
+        t = t.withColumn("base", F.coalesce(before(a), F.lit(1.0))).withColumn("to", F.when(here, spread.cast("double")).otherwise(F.col("to")))
+
+    top = (F.col("v") >= F.col("clip1")) & (F.col("v") < F.col("high"))
+    over = lambda c: F.sum(F.when(F.col("top"), c)).over(whole)
+    t = t.withColumns({"base": F.coalesce(before("clip1"), F.lit(1.0)), "top": top, "h": F.col("n").cast("double")})
+    t = t.withColumn("most", over(F.col("h")) * limit)
+    t = t.withColumns({"excess": over(F.greatest(F.col("h") - F.col("most"), F.lit(0.0))), "h": F.least("h", "most")})
+    t = t.withColumn("more", F.floor(F.col("excess") / (F.col("high") - F.col("clip1"))))
+    low = F.col("h") < F.col("most") - F.col("more")
+    t = t.withColumns({"excess": F.col("excess") - F.col("more") * over(low.cast("int")), "h": F.when(low, F.col("h") + F.col("more")).otherwise(F.col("h"))})
+    middle = (F.col("h") >= F.col("most") - F.col("more")) & (F.col("h") < F.col("most"))
+    t = t.withColumns({"excess": F.col("excess") - over(F.when(middle, F.col("most") - F.col("h")).otherwise(0.0)), "h": F.when(middle, F.col("most")).otherwise(F.col("h"))})
+    under = F.col("top") & (F.col("h") < F.col("most"))
+    t = t.withColumns({"m": F.sum(under.cast("int")).over(whole), "j": F.sum(under.cast("int")).over(upto), "left_over": F.greatest(F.ceil("excess"), F.lit(0))})
+    step = F.floor(F.col("j") * F.col("left_over") / F.col("m")) - F.floor((F.col("j") - 1) * F.col("left_over") / F.col("m"))
+    t = t.withColumn("h", F.when(under, F.col("h") + step).when(F.col("top"), F.col("h")).otherwise(0.0))
+    share = F.sum("h").over(upto) / (F.sum("h").over(whole) + 0.01)
+    t = t.withColumn("to", F.when(F.col("top"), F.floor((256 - F.col("base")) * share + F.col("base")).cast("double")).otherwise(F.col("to")))
+    t = t.withColumn("to", F.floor(F.least(F.greatest("to", F.lit(1.0)), F.lit(255.0))).cast("double"))
+    if gamma is not None:
+        largest = F.max("to").over(whole)
+        t = t.withColumn("to", F.round(F.pow(F.col("to") / largest, F.lit(gamma)) * largest))
+    return t.select(*keys, "v", F.col("to").cast("int").alias("to"))
+
+
+def no_data_edges(cells: DataFrame, scene: str, value: str, height: int, width: int, no_data: int = 0, dark: int = 10, edge: int = 30, shape: str = "cross") -> DataFrame:
+    """(scene, r, c, masked): cells without data, and dark ones within ``edge`` cells of the border, opened and then closed."""
+    at_edge = (F.col("r") < edge) | (F.col("r") >= height - edge) | (F.col("c") < edge) | (F.col("c") >= width - edge)
+    mask = (F.col(value) <= no_data) | at_edge & (F.col(value) < dark)
+    bits = cells.select(scene, "r", "c", mask.cast("int").alias("masked"))
+    return closed(opened(bits, scene, "masked", shape), scene, "masked", shape)
+
+
+def segment_stretch(cells: DataFrame, scene: str, value: str, height: int, width: int, edge: int = 30, **options: float | bool | None) -> DataFrame:
+    """``cells`` with values by the table of their scene (see :func:`stretch_table`), and 0 at the edges without data."""
+    table = stretch_table(cells, [scene], value, **options).withColumnRenamed("v", value)
+    masked = no_data_edges(cells, scene, value, height, width, edge=edge)
+    out = cells.join(table, [scene, value]).join(masked, [scene, "r", "c"])
+    return out.withColumn(value, F.when(F.col("masked") == 1, 0).otherwise(F.col("to"))).select(*cells.columns)
+
+
 def _offsets(offsets: list[tuple[int, int]]) -> Column:
     return F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in offsets]))
 

@@ -129,7 +129,21 @@ def with_rotated_iou(pairs: DataFrame, a: list[str], b: list[str]) -> DataFrame:
     def iou(boxes: pd.DataFrame) -> pd.Series:
         return pd.Series([rotated_iou(r[:5], r[5:]) for r in boxes.itertuples(index=False, name=None)])
 
-    return pairs.withColumn("iou", iou(F.struct(*a, *b)))
+    return pairs.withColumn("iou", iou(F.struct(*[F.col(c).alias(f"_{k}") for k, c in enumerate([*a, *b])])))
+
+
+def rotated_pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of rotated boxes (cx, cy, w, h, angle) that agree in the keys and whose upright hulls meet, as aliases a and b, with iou."""
+    from geoledger.functions.boxes import hull
+    from geoledger.operators.overlay import overlapping
+
+    def hulls(df: DataFrame) -> DataFrame:
+        return df.withColumns(dict(zip(("x0", "y0", "x1", "y1"), hull(*[F.col(c) for c in _FIVE]), strict=True)))
+
+    return with_rotated_iou(overlapping(hulls(left), hulls(right), keys), [f"a.{c}" for c in _FIVE], [f"b.{c}" for c in _FIVE])
+
+
+_FIVE = ("cx", "cy", "w", "h", "angle")
 
 
 def assigned(cost: np.ndarray) -> list[tuple[int, int]]:

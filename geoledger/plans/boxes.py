@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoledger.functions import boxes as fb
-from geoledger.operators import evaluation, overlay
+from geoledger.operators import evaluation, overlay, raster
 from geoledger.plans.catalog import query
 
 _W = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0)"
@@ -18,19 +18,25 @@ _PAIRS = f"""select a.image_id, a.category_id, a.box_id as det, a.score, b.box_i
 
 
 def _pairs(boxes: DataFrame) -> DataFrame:
-    """(image_id, category_id, det, score, truth, iou) of detections with truths of their image and category."""
+    """(image_id, category_id, det, score, truth, iou) of detections with the truths of their image and category that they meet."""
     pairs = overlay.pairwise(boxes.where("is_gt = 0"), boxes.where("is_gt = 1"), ["image_id", "category_id"])
     return pairs.select("a.image_id", "a.category_id", F.col("a.box_id").alias("det"), F.col("a.score").alias("score"), F.col("b.box_id").alias("truth"), "iou")
 
 
+def _qualities(boxes: DataFrame) -> DataFrame:
+    """The pairs, and the first truth of their image and category for detections that meet none."""
+    dets, truths = boxes.where("is_gt = 0").withColumnRenamed("box_id", "det"), boxes.where("is_gt = 1").withColumnRenamed("box_id", "truth")
+    return overlay.with_strangers(_pairs(boxes), dets, truths, ["image_id", "category_id"], "det", "truth")
+
+
 @query("j11_pairwise_iou", "v_boxes", sql=f"select image_id, det, truth, round(iou, 6) as iou from ({_PAIRS}) where iou > 0")
 def pairwise_iou(boxes: DataFrame) -> DataFrame:
-    return _pairs(boxes).where("iou > 0").select("image_id", "det", "truth", F.round("iou", 6).alias("iou"))
+    return _pairs(boxes).select("image_id", "det", "truth", F.round("iou", 6).alias("iou"))
 
 
 @query("j11_pairwise_ioa", "v_boxes", sql=f"select a.box_id as det, b.box_id as truth, round({_W} * {_H} / ({_AREA.format('b')}), 6) as ioa from v_boxes a join v_boxes b on a.image_id = b.image_id and a.category_id = b.category_id and a.is_gt = 0 and b.is_gt = 1 where {_W} * {_H} > 0")
 def pairwise_ioa(boxes: DataFrame) -> DataFrame:
-    pairs = overlay.pairwise(boxes.where("is_gt = 0"), boxes.where("is_gt = 1"), ["image_id", "category_id"]).where("ioa > 0")
+    pairs = overlay.pairwise(boxes.where("is_gt = 0"), boxes.where("is_gt = 1"), ["image_id", "category_id"])
     return pairs.select(F.col("a.box_id").alias("det"), F.col("b.box_id").alias("truth"), F.round("ioa", 6).alias("ioa"))
 
 
@@ -41,8 +47,9 @@ def matched_iou(boxes: DataFrame) -> DataFrame:
     from pyspark.sql.window import Window
 
     numbered = boxes.withColumn("idx", F.row_number().over(Window.partitionBy("image_id", "is_gt").orderBy("box_id")).cast("long"))
-    pairs = overlay.pairwise(numbered.where("is_gt = 0"), numbered.where("is_gt = 1"), ["image_id", "idx"])
-    return pairs.select("a.image_id", "a.idx", F.round("iou", 6).alias("iou"))
+    a, b = numbered.where("is_gt = 0").alias("a"), numbered.where("is_gt = 1").alias("b")
+    pairs = a.join(b, (F.col("a.image_id") == F.col("b.image_id")) & (F.col("a.idx") == F.col("b.idx")))
+    return pairs.select("a.image_id", "a.idx", F.round(fb.iou(fb.box("a."), fb.box("b.")), 6).alias("iou"))
 
 
 @query("j13_point_distances", "v_boxes", sql="""select a.box_id as point, b.box_id as box, round((a.x0 + a.x1) / 2 - b.x0, 6) as l, round((a.y0 + a.y1) / 2 - b.y0, 6) as t, round(b.x1 - (a.x0 + a.x1) / 2, 6) as r,
@@ -57,14 +64,14 @@ def point_distances(boxes: DataFrame) -> DataFrame:
 @query("j15_matcher", "v_boxes", sql=f"""with p as ({_PAIRS}), k as (select det, truth, iou, row_number() over (partition by det order by iou desc, truth) as n from p)
 select det, truth, round(iou, 6) as iou, case when iou < 0.3 then 0 when iou < 0.5 then -1 else 1 end as label from k where n = 1""")
 def matcher(boxes: DataFrame) -> DataFrame:
-    return overlay.matched(_pairs(boxes), "det", "truth", 0.3, 0.5).withColumn("iou", F.round("iou", 6))
+    return overlay.matched(_qualities(boxes), "det", "truth", 0.3, 0.5).withColumn("iou", F.round("iou", 6))
 
 
 @query("j15_matcher_promoted", "v_boxes", sql=f"""with p as ({_PAIRS}), k as (select det, truth, iou, row_number() over (partition by det order by iou desc, truth) as n from p),
 t as (select truth, max(iou) as iou from p where iou > 0 group by truth), c as (select distinct det from p join t using (truth, iou))
 select k.det, truth, round(iou, 6) as iou, case when c.det is not null then 1 when iou < 0.3 then 0 when iou < 0.5 then -1 else 1 end as label from k left join c on k.det = c.det where n = 1""")
 def matcher_promoted(boxes: DataFrame) -> DataFrame:
-    return overlay.matched(_pairs(boxes), "det", "truth", 0.3, 0.5, promote=True).withColumn("iou", F.round("iou", 6))
+    return overlay.matched(_qualities(boxes), "det", "truth", 0.3, 0.5, promote=True).withColumn("iou", F.round("iou", 6))
 
 
 @query("j21_frame_association", "v_boxes", sql=f"""select a.image_id as frame, a.box_id as current, b.box_id as previous, round({_IOU}, 6) as iou from v_boxes a join v_boxes b on a.image_id = b.image_id + 1
@@ -161,7 +168,7 @@ def coco_ap(boxes: DataFrame) -> DataFrame:
     sized = boxes.withColumn("size", fb.area(fb.box()))
     dets = sized.where("is_gt = 0").select("image_id", "category_id", F.col("box_id").alias("det"), "score", F.col("size").alias("det_size"))
     truths = sized.where("is_gt = 1").select(F.col("box_id").alias("truth"), "category_id", F.col("size").alias("truth_size"))
-    met = _pairs(boxes).where("iou > 0").select("det", "truth", "iou").join(truths.drop("category_id"), "truth")
+    met = _pairs(boxes).select("det", "truth", "iou").join(truths.drop("category_id"), "truth")
     matches = evaluation.greedy_matches(dets.join(met, "det", "left"), ["image_id", "category_id"], "det", "truth", _THRESHOLDS, _AREAS)
     ranges = F.explode(F.array(*[F.when(F.col("truth_size").between(float(a), float(b)), n) for n, (a, b) in _AREAS.items()]))
     counts = truths.select("category_id", ranges.alias("area")).where("area is not null").groupBy("category_id", "area").agg(F.count("*").alias("truths"))
@@ -170,6 +177,16 @@ def coco_ap(boxes: DataFrame) -> DataFrame:
     return scores.select("category_id", "area", "most", "threshold", F.round("ap", 6).alias("ap"), F.round("ar", 6).alias("ar"))
 
 
+@query("d20_mask_overlaps", "v_cells", sql="""with m as (select scene_id, r, c, pre_class as det, post_class as truth from v_cells), d as (select scene_id, det, count(*) as n from m group by all), t as (select scene_id, truth, count(*) as n from m group by all)
+select s.scene_id, det, truth, round(case when truth % 5 = 4 then s.n * 1.0e0 / d.n else s.n * 1.0e0 / (d.n + t.n - s.n) end, 6) as iou from (select scene_id, det, truth, count(*) as n from m group by all) s join d using (scene_id, det) join t using (scene_id, truth)""")
+def mask_overlaps(cells: DataFrame) -> DataFrame:
+    """The masks of classes before and after, as runs; every fifth class after stands for a crowd."""
+    masks = lambda c, name: raster.runs(cells.withColumn("v", F.col(c)), ["scene_id"], "v").withColumnRenamed("v", name)
+    truths = masks("post_class", "truth").withColumn("crowd", F.col("truth") % 5 == 4)
+    out = evaluation.mask_overlaps(masks("pre_class", "det"), truths, ["scene_id"], "det", "truth", crowd="crowd")
+    return out.select("scene_id", "det", "truth", F.round("iou", 6).alias("iou"))
+
+
 @query("f4_class_nms", "v_boxes")
 def class_nms(boxes: DataFrame) -> DataFrame:
     kept = evaluation.suppressed(boxes.where("is_gt = 0"), ["image_id", "category_id"], "box_id", 0.5)
@@ -296,8 +313,10 @@ def scalar_histogram(boxes: DataFrame) -> DataFrame:
 def proposal_recall(boxes: DataFrame) -> DataFrame:
     """Proposals have no category here; greedy one-to-one coverage has no SQL form."""
     truths = boxes.where("is_gt = 1").select(F.col("box_id").alias("truth"), fb.area(fb.box()).alias("truth_size"))
-    pairs = overlay.pairwise(boxes.where("is_gt = 0"), boxes.where("is_gt = 1"), ["image_id"])
-    pairs = pairs.select("a.image_id", F.col("a.box_id").alias("det"), F.col("a.score").alias("score"), F.col("b.box_id").alias("truth"), "iou")
+    met = overlay.pairwise(boxes.where("is_gt = 0"), boxes.where("is_gt = 1"), ["image_id"])
+    met = met.select("a.image_id", F.col("a.box_id").alias("det"), F.col("b.box_id").alias("truth"), "iou")
+    dets = boxes.where("is_gt = 0").select("image_id", F.col("box_id").alias("det"), "score")
+    pairs = overlay.with_strangers(met, dets, boxes.where("is_gt = 1").withColumnRenamed("box_id", "truth"), ["image_id"], "det", "truth").join(dets.drop("image_id"), "det")
     out = evaluation.proposal_recall(pairs.join(truths, "truth"), truths, ["image_id"], "det", "truth", _THRESHOLDS, [100, 1000], _AREAS)
     return out.select("area", "most", "threshold", F.round("recall", 6).alias("recall"))
 

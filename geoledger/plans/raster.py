@@ -114,6 +114,43 @@ def linear_stretch(cells: DataFrame) -> DataFrame:
     return raster.linear_stretch(_band(cells), ["scene_id"], "v")
 
 
+def _stretch_sql(left: float, right: float, gamma: float) -> str:
+    """The five-segment stretch of ``_BAND``, and its edges without data within 4 cells of the border."""
+    weight = lambda a, b, part, least, most: f"least(greatest(({b} - {a}) / (high + 0.1e0) / {part}, {least} / 255.0e0), {most} / 255.0e0)"
+    stage = lambda n, a, b, w: f"""s{n} as (select *, case when v >= {a} and v < {b} then ceil((least(v, high) - {a}) / ({b} - {a} + 1) * {w} * 255.0e0 + base) else x end as y from
+ (select *, coalesce(max(case when v = {a} - 1 then x end) over (partition by scene_id), 1.0e0) as base from s{n - 1}))""".replace("from s" + str(n - 1), f"from (select * exclude (x, y, base), y as x from s{n - 1})")
+    near = lambda p: f"arg_min(cast(v as double), (abs(q - {p!r}), v))"
+    shifted = lambda of: f"(select scene_id, r + dy as r, c + dx as c, m from {of}, (values (0,0),(0,1),(1,0),(0,-1),(-1,0)) d(dy, dx))"
+    around = lambda name, of, how: f"{name} as materialized (select k.scene_id, k.r, k.c, {how}(o.m) as m from {of} k join {shifted(of)} o on k.scene_id = o.scene_id and k.r = o.r and k.c = o.c group by all)"
+    return f"""with b as materialized ({_BAND}), e as (select scene_id, min(v) * 1.0e0 as low, max(v) * 1.0e0 as high from b group by scene_id),
+h as (select scene_id, v, count(*) as n from b where v not in (0, 255) group by all), d as (select e.scene_id, x.v, coalesce(n, 0) as n from e join range(256) x(v) on true left join h on h.scene_id = e.scene_id and h.v = x.v),
+q as materialized (select scene_id, v, n, sum(n) over (partition by scene_id order by v) / (sum(n) over (partition by scene_id) + 1e-5) as q from d),
+k as (select scene_id, {near(1e-6)} as valid0, {near(left)} as clip0, {near(1 - right)} as clip1, {near(1 - 1e-6)} as valid1 from q group by scene_id),
+k2 as (select scene_id, low, greatest(valid0, low) as valid0, greatest(clip0, valid0, low) as clip0, least(clip1, high) as clip1, least(valid1, high) as valid1, high from e join k using (scene_id)),
+w as (select *, {weight('low', 'valid0', 4.0, 0, 10)} as dark, {weight('valid0', 'clip0', 2.0, 10, 60)} as lft, {weight('clip0', 'clip1', 0.5, 100, 160)} as middle, {weight('clip1', 'valid1', 2.0, 10, 60)} as rgt, {weight('valid1', 'high', 4.0, 0, 10)} as white from k2),
+w2 as (select scene_id, high, greatest(1.0e0, low) as low, greatest(valid0, greatest(1.0e0, low) + 1) as valid0, clip0, clip1, least(valid1, high - 1) as valid1, dark / (dark + lft + middle + rgt + white) as dark, lft / (dark + lft + middle + rgt + white) as lft,
+ middle / (dark + lft + middle + rgt + white) as middle from w), w3 as (select * replace (greatest(clip0, valid0 + 1) as clip0, least(clip1, valid1 - 1) as clip1) from w2),
+s0 as (select *, 0 as x, 0 as base, case when v < low then 1.0e0 else least(v, high) end as y from q join w3 using (scene_id)),
+{stage(1, 'low', 'valid0', 'dark')}, {stage(2, 'valid0', 'clip0', 'lft')}, {stage(3, 'clip0', 'clip1', 'middle')},
+t1 as (select * exclude (x, y, base), y as x, coalesce(max(case when v = clip1 - 1 then y end) over (partition by scene_id), 1.0e0) as base, v >= clip1 and v < high as top from s3),
+t2 as (select *, sum(n) filter (top) over (partition by scene_id) * 0.02e0 as most from t1),
+t3 as (select *, sum(greatest(n - most, 0)) filter (top) over (partition by scene_id) as excess, least(n, most) as h from t2), t4 as (select *, floor(excess / (high - clip1)) as more from t3),
+t5 as (select * replace (excess - more * coalesce(count(*) filter (top and h < most - more) over (partition by scene_id), 0) as excess, case when h < most - more then h + more else h end as h) from t4),
+t6 as (select * replace (excess - coalesce(sum(most - h) filter (top and h >= most - more and h < most) over (partition by scene_id), 0) as excess, case when h >= most - more and h < most then most else h end as h) from t5),
+t7 as (select *, greatest(ceil(excess), 0) as spare, count(*) filter (top and h < most) over (partition by scene_id) as m, count(*) filter (top and h < most) over (partition by scene_id order by v) as j from t6),
+t8 as (select * replace (case when not top then 0 when h < most then h + floor(j * spare / m) - floor((j - 1) * spare / m) else h end as h) from t7),
+t9 as (select scene_id, v, case when top then floor((256 - base) * (sum(h) over (partition by scene_id order by v) / (sum(h) over (partition by scene_id) + 0.01e0)) + base) else x end as x from t8),
+lut as (select scene_id, v, round(pow(x / mx, {gamma!r}) * mx) as z from (select scene_id, v, floor(least(greatest(x, 1), 255)) as x, max(floor(least(greatest(x, 1), 255))) over (partition by scene_id) as mx from t9)),
+m0 as materialized (select scene_id, r, c, case when v <= 0 or (v < 10 and (r < 4 or r >= 60 or c < 4 or c >= 60)) then 1 else 0 end as m from b),
+{around('m1', 'm0', 'min')}, {around('m2', 'm1', 'max')}, {around('m3', 'm2', 'max')}, {around('m4', 'm3', 'min')}
+select b.scene_id, b.r, b.c, cast(case when m4.m = 1 then 0 else z end as int) as v from b join lut using (scene_id, v) join m4 using (scene_id, r, c)"""
+
+
+@query("h22_segment_stretch", "v_cells", sql=_stretch_sql(0.02, 0.1, 0.9))
+def segment_stretch(cells: DataFrame) -> DataFrame:
+    return raster.segment_stretch(_band(cells), "scene_id", "v", 64, 64, edge=4, left=0.02, right=0.1, gamma=0.9)
+
+
 _NEAR = "select k.scene_id, k.r + dy as r, k.c + dx as c, post_class as v from v_cells k, (values (0,0),(0,1),(1,0),(0,-1),(-1,0)) d(dy, dx)"
 
 

@@ -50,21 +50,21 @@ def turned_averages(embeddings: DataFrame) -> DataFrame:
     return out.select("vec_id", F.round(total / 64, 5).alias("mean"))
 
 
-@query("j14_rotated_iou", "v_boxes", sql="""select a.box_id as a, b.box_id as b, round(greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0) /
- ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)), 5) as iou
- from v_boxes a join v_boxes b on a.image_id = b.image_id and a.category_id = b.category_id and a.is_gt = 0 and b.is_gt = 1 where a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1""")
+_TURNED = """select image_id, category_id, box_id, is_gt, case when box_id % 2 = 1 then (x0 + x1 - y1 + y0) / 2 else x0 end as x0, case when box_id % 2 = 1 then (y0 + y1 - x1 + x0) / 2 else y0 end as y0,
+ case when box_id % 2 = 1 then (x0 + x1 + y1 - y0) / 2 else x1 end as x1, case when box_id % 2 = 1 then (y0 + y1 + x1 - x0) / 2 else y1 end as y1 from v_boxes"""
+
+
+@query("j14_rotated_iou", "v_boxes", sql=f"""with v as ({_TURNED}), p as (select a.box_id as a, b.box_id as b, greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0) as s,
+ (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) as t from v a join v b on a.image_id = b.image_id and a.category_id = b.category_id and a.is_gt = 0 and b.is_gt = 1)
+select a, b, round(s / (t - s), 5) as iou from p where s / (t - s) > 1e-6""")
 def rotated_iou(boxes: DataFrame) -> DataFrame:
-    """Boxes turned by 180 degrees are the upright ones again."""
-    from geoledger.functions.boxes import centre, box
-    from geoledger.operators.overlay import pairwise
-
-    pairs = pairwise(boxes.where("is_gt = 0"), boxes.where("is_gt = 1"), ["image_id", "category_id"]).where("shared > 0")
-    for side, degrees in (("a", 180.0), ("b", 0.0)):
-        b = box(f"{side}.")
-        cx, cy = centre(b)
-        pairs = pairs.withColumns({f"{side}cx": cx, f"{side}cy": cy, f"{side}w": b[2] - b[0], f"{side}h": b[3] - b[1], f"{side}t": F.lit(degrees)})
-    five = lambda s: [f"{s}{n}" for n in ("cx", "cy", "w", "h", "t")]
-    return scoring.with_rotated_iou(pairs, five("a"), five("b")).select(F.col("a.box_id").alias("a"), F.col("b.box_id").alias("b"), F.round("iou", 5).alias("iou"))
+    """Boxes with an odd id are turned by 90 degrees: upright ones with their sides exchanged. Others are turned by 180."""
+    from geoledger.functions.boxes import box, centre
+
+    x, y = centre(box())
+    turned = boxes.withColumns({"cx": x, "cy": y, "w": F.col("x1") - F.col("x0"), "h": F.col("y1") - F.col("y0"), "angle": F.when(F.col("box_id") % 2 == 1, 90.0).otherwise(180.0)})
+    pairs = scoring.rotated_pairs(turned.where("is_gt = 0"), turned.where("is_gt = 1"), ["image_id", "category_id"])
+    return pairs.where("iou > 1e-6").select(F.col("a.box_id").alias("a"), F.col("b.box_id").alias("b"), F.round("iou", 5).alias("iou"))
 
 
 @query("k9_iou_tracks", "v_boxes")

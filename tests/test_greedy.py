@@ -17,7 +17,7 @@ def test_keys_over_several_batches_stay_whole(spark):
         rng = random.Random(1)
         rows = [(rng.choice([1, 2, 3, 4, 5, None]), k) for k in range(400)]
         df = spark.createDataFrame(rows, "image long, v long")
-        each = lambda image, v: [(image[0] if image[0] == image[0] else None, len(v), sum(v))]
+        each = lambda image, v: [(image[0], len(v), sum(v))]
         found = evaluation._by_image(df, ["image"], each, "image long, n long, total long").collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
@@ -138,3 +138,84 @@ def test_curves_over_slices_are_those_of_one_sorted_list(spark):
         for at, (det, recall, precision) in enumerate(run):
             got = found[det]
             assert (got["recall"], got["precision"], got["envelope"]) == pytest.approx((recall, precision, max(p for _, _, p in run[at:])))
+
+
+def plain_matches(dets, truths, iou, threshold, low, high):
+    """{det: tp} of the public matching of one image: truths that don't count come last, crowds can be taken again."""
+    ignored = {t: crowd or not low <= size <= high for t, size, crowd in truths}
+    out, taken = {}, set()
+    for d, _, size in sorted(dets, key=lambda x: (-x[1], x[0])):
+        best = max(((not ignored[t], iou[d, t], -t) for t, _, crowd in truths if (d, t) in iou and iou[d, t] >= threshold and (crowd or t not in taken)), default=None)
+        if best is not None:
+            taken.add(-best[2])
+            if best[0]:
+                out[d] = 1
+        elif low <= size <= high:
+            out[d] = 0
+    return out
+
+
+@pytest.mark.parametrize("base", [0, 1 << 60])
+def test_crowds_and_large_ids(spark, base):
+    """Running ids above 2^53, rows with null truths among them, and crowds."""
+    rng = random.Random(7)
+    rows, images = [], {}
+    for image in range(6):
+        dets = [(base + 100 * image + k, rng.randrange(50) / 50, rng.choice([5.0, 50.0])) for k in range(12)]
+        truths = [(base + 100 * image + 50 + k, rng.choice([5.0, 50.0]), k % 3 == 0) for k in range(6)]
+        iou = {(d, t): rng.randrange(40, 100) / 100 for d, _, _ in dets for t, _, _ in truths if rng.random() < 0.4}
+        images[image] = (dets, truths, iou)
+        for d, score, size in dets:
+            met = [(t, ts, iou[d, t], crowd) for t, ts, crowd in truths if (d, t) in iou]
+            rows += [(image, d, score, size, *m) for m in met] or [(image, d, score, size, None, None, None, None)]
+    df = spark.createDataFrame(rows, "image long, det long, score double, det_size double, truth long, truth_size double, iou double, crowd boolean")
+    areas = {"all": (0, 1e9), "small": (0, 10)}
+    found = {(r["image"], r["det"], r["area"], r["threshold"]): r["tp"] for r in evaluation.greedy_matches(df, ["image"], "det", "truth", [0.5, 0.75], areas).collect()}
+    want = {(i, d, a, t): tp for i, of in images.items() for a, (low, high) in areas.items() for t in (0.5, 0.75) for d, tp in plain_matches(*of, t, low, high).items()}
+    assert found == want and 0 < sum(want.values()) < len(want)
+
+
+def test_two_truths_with_neighbouring_large_ids(spark):
+    base = 1 << 60
+    rows = [(0, base + 10, 0.9, base + 1, 0.9), (0, base + 11, 0.8, base + 2, 0.9), (0, base + 12, 0.7, None, None)]
+    df = spark.createDataFrame(rows, "image long, det long, score double, truth long, iou double")
+    assert {r["det"] - base: r["tp"] for r in evaluation.greedy_matches(df, ["image"], "det", "truth", [0.5]).collect()} == {10: 1, 11: 1, 12: 0}
+
+
+def test_mask_overlaps_against_sets_of_cells(spark):
+    rng = random.Random(4)
+    cells = {("d", i): {(rng.randrange(6), c) for _ in range(4) for s in [rng.randrange(150)] for c in range(s, s + rng.randrange(1, 90))} for i in range(5)}
+    cells |= {("t", i): {(rng.randrange(6), c) for _ in range(4) for s in [rng.randrange(150)] for c in range(s, s + rng.randrange(1, 90))} for i in range(5)}
+
+    def runs(side):
+        rows = []
+        for (k, i), own in cells.items():
+            for r, c in sorted(own if k == side else ()):
+                if (r, c - 1) not in own:
+                    end = c
+                    while (r, end + 1) in own:
+                        end += 1
+                    rows.append((1, (1 << 60) + i, r, c, end, i == 2))
+        return rows
+
+    dets = spark.createDataFrame([r[:5] for r in runs("d")], "image long, det long, r int, c0 int, c1 int")
+    truths = spark.createDataFrame(runs("t"), "image long, truth long, r int, c0 int, c1 int, crowd boolean")
+    found = {(r["det"] - (1 << 60), r["truth"] - (1 << 60)): r["iou"] for r in evaluation.mask_overlaps(dets, truths, ["image"], "det", "truth", crowd="crowd", tile=16).collect()}
+    want = {}
+    for i in range(5):
+        for j in range(5):
+            a, b = cells["d", i], cells["t", j]
+            if a & b:
+                want[i, j] = len(a & b) / (len(a) if j == 2 else len(a | b))
+    assert found == pytest.approx(want) and len(want) > 5
+
+
+def test_similarity_of_key_points(spark):
+    sigmas = [0.1, 0.2, 0.05]
+    dets = spark.createDataFrame([(1, 10, [1.0, 2.0, 3.0], [1.0, 2.0, 3.0]), (1, 11, [9.0, 9.0, 9.0], [0.0, 0.0, 0.0])], "image long, det long, xs array<double>, ys array<double>")
+    rows = [(1, 20, [1.0, 2.5, 0.0], [1.0, 2.0, 0.0], [2, 1, 0], 30.0, 0.0, 0.0, 4.0, 4.0), (1, 21, [0.0] * 3, [0.0] * 3, [0, 0, 0], 30.0, 0.0, 0.0, 4.0, 4.0)]
+    truths = spark.createDataFrame(rows, "image long, truth long, xs array<double>, ys array<double>, vs array<int>, truth_size double, x0 double, y0 double, x1 double, y1 double")
+    found = {(r["det"], r["truth"]): r["iou"] for r in evaluation.keypoint_similarity(dets, truths, ["image"], "det", "truth", sigmas).collect()}
+    e = lambda d2, s: np.exp(-d2 / (2 * 30 * (2 * s) ** 2))
+    want = {(10, 20): (1 + e(0.25, 0.2)) / 2, (11, 20): (e(64 + 1, 0.1) + e(6.5**2 + 4, 0.2)) / 2, (10, 21): 1.0, (11, 21): np.mean([e(1.0, s) for s in sigmas])}
+    assert found == pytest.approx(want)
