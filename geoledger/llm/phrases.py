@@ -27,6 +27,8 @@ HEAD = 1 << 18
 #: Bytes of text that are split at a time, numbers in a row of the encoded table, rows that are counted at a time, entries that a
 #: worker counts before it sends them on.
 STRETCH, ROW, STEP, ENTRIES = 1 << 20, 2048, 64, 1 << 19
+#: Texts that a worker takes apart at a time.
+TEXTS = 1000
 #: Occurrences for each range of quotients: the most entries that one task merges.
 MERGED = 1 << 22
 #: Bits of the Bloom filter at most, bits for each phrase in it, and places that a phrase sets.
@@ -65,10 +67,12 @@ def words_of(texts: list[bytes]) -> Iterator[tuple[pa.Array, np.ndarray]]:
 
 
 def _by_lang(b: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    """The texts of a batch of (text, lang) by language."""
-    langs = b.column(1).dictionary_encode()
-    for k, lang in enumerate(langs.dictionary.to_pylist()):
-        yield lang, b.column(0).filter(pc.equal(langs.indices, k)).drop_null().to_pylist()
+    """The texts of a batch of (text, lang) by language, of TEXTS rows at a time."""
+    for a in range(0, b.num_rows, TEXTS):
+        part = b.slice(a, TEXTS)
+        langs = part.column(1).dictionary_encode()
+        for k, lang in enumerate(langs.dictionary.to_pylist()):
+            yield lang, part.column(0).filter(pc.equal(langs.indices, k)).drop_null().to_pylist()
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
