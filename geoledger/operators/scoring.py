@@ -185,38 +185,66 @@ def _iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(both > 0, both / np.maximum(size(a)[:, None] + size(b)[None, :] - both, 1e-12), 0.0)
 
 
+def follow(live: list, fresh: int, now: np.ndarray, least: float, lost_frames: int, least_period: int, method: str) -> tuple[list[int], list, int]:
+    """(track of each of the boxes ``now``, live tracks after the frame, number of the next track).
+
+    A live track is [track, box, age in frames, frames lost].
+    """
+    iou = _iou_matrix(now, np.array([t[1] for t in live])) if live else np.zeros((len(now), 0))
+    if method == "iou":
+        pairs = list(zip(*np.nonzero(iou >= least), strict=True))
+    else:
+        pairs = [(i, j) for i, j in (assigned(np.where(iou >= least, -iou, 1e5)) if iou.size else []) if iou[i, j] >= least]
+    got, used = {}, set()
+    for i, j in pairs:
+        if i not in got and j not in used:
+            got[i] = j
+            used.add(j)
+    new, tracks = [], []
+    for i, box in enumerate(now):
+        if i in got:
+            track, period = live[got[i]][0], live[got[i]][2] + 1
+        else:
+            track, period, fresh = fresh, 1, fresh + 1
+        new.append([track, box, period, 0])
+        tracks.append(track)
+    return tracks, new + [[t, b, p, lost + 1] for j, (t, b, p, lost) in enumerate(live) if j not in used and lost < lost_frames and p >= least_period], fresh
+
+
 def tracked(boxes: DataFrame, video: str, frame: str, id_: str, least: float = 0.5, lost_frames: int = 2, least_period: int = 1, method: str = "iou") -> DataFrame:
     """(video, frame, id, track): boxes followed from frame to frame.
 
     ``iou`` takes pairs of at least ``least`` in the order of their places, each box and track once; ``assignment`` takes the pairs of
     least cost, with IoU as gain. Other boxes begin tracks. A track that isn't found is kept for ``lost_frames`` if it is
-    ``least_period`` frames old. A video's frames are in order in one group.
+    ``least_period`` frames old. Boxes are dealt by video and sorted; a task reads them one after the other and holds a frame
+    and the live tracks only.
     """
-
-    def each(df: pd.DataFrame) -> pd.DataFrame:
-        rows, live, fresh = [], [], 0  # live: [track, box, period, lost]
-        for _, part in df.sort_values([frame, id_]).groupby(frame):
-            now = part[["x0", "y0", "x1", "y1"]].to_numpy(float)
-            iou = _iou_matrix(now, np.array([t[1] for t in live])) if live else np.zeros((len(now), 0))
-            if method == "iou":
-                pairs = [(i, j) for i in range(iou.shape[0]) for j in range(iou.shape[1]) if iou[i, j] >= least]
-            else:
-                pairs = [(i, j) for i, j in (assigned(np.where(iou >= least, -iou, 1e5)) if iou.size else []) if iou[i, j] >= least]
-            got, used = {}, set()
-            for i, j in pairs:
-                if i not in got and j not in used:
-                    got[i] = j
-                    used.add(j)
-            new = []
-            for i, (box_id, f) in enumerate(zip(part[id_], part[frame], strict=True)):
-                if i in got:
-                    track, period = live[got[i]][0], live[got[i]][2] + 1
-                else:
-                    track, period, fresh = fresh, 1, fresh + 1
-                new.append([track, now[i], period, 0])
-                rows.append((df[video].iloc[0], f, box_id, track))
-            live = new + [[t, b, p, lost + 1] for j, (t, b, p, lost) in enumerate(live) if j not in used and lost < lost_frames and p >= least_period]
-        return pd.DataFrame(rows, columns=[video, frame, id_, "track"])
-
     kind = lambda n: boxes.schema[n].dataType.simpleString()
-    return boxes.groupBy(video).applyInPandas(each, f"{video} {kind(video)}, {frame} {kind(frame)}, {id_} {kind(id_)}, track long")
+    columns = [video, frame, id_, "track"]
+
+    def each(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = None, []
+        state: tuple = (None, [], 0)  # video, live tracks, next track
+
+        def close() -> list[tuple]:
+            nonlocal state
+            if state[0] != now[0]:
+                state = (now[0], [], 0)
+            tracks, live, fresh = follow(state[1], state[2], np.array([h[1:] for h in held], float), least, lost_frames, least_period, method)
+            state = (now[0], live, fresh)
+            return [(*now, h[0], t) for h, t in zip(held, tracks, strict=True)]
+
+        for df in parts:
+            rows: list[tuple] = []
+            for v, f, *box in df[[video, frame, id_, "x0", "y0", "x1", "y1"]].itertuples(index=False, name=None):
+                if (v, f) != now:
+                    if held:
+                        rows += close()
+                    now, held = (v, f), []
+                held.append(box)
+            yield pd.DataFrame(rows, columns=columns)
+        if held:
+            yield pd.DataFrame(close(), columns=columns)
+
+    ordered = boxes.select(video, frame, id_, "x0", "y0", "x1", "y1").repartition(video).sortWithinPartitions(video, frame, id_)
+    return ordered.mapInPandas(each, f"{video} {kind(video)}, {frame} {kind(frame)}, {id_} {kind(id_)}, track long")
