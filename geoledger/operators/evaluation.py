@@ -380,13 +380,28 @@ def with_super_categories(matrix: DataFrame, groups: dict[int, str]) -> DataFram
     return sums.select("level", "name", (F.col("tp") / (F.col("both") - F.col("tp"))).alias("iou"))
 
 
-def boundary_cells(cells: DataFrame, value: str) -> DataFrame:
-    """Cells of a class that have a neighbour, side by side, of another class or none: a mask less its erosion by one."""
-    sent = cells.select("scene_id", "r", "c", F.col(value).alias("v"), F.explode(F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0), (0, 0))])).alias("d"))
-    own = (F.col("d.dy") == 0) & (F.col("d.dx") == 0)
-    at = sent.groupBy("scene_id", (F.col("r") + F.col("d.dy")).alias("r"), (F.col("c") + F.col("d.dx")).alias("c"))
-    seen = at.agg(F.max(F.when(own, F.col("v"))).alias(value), F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-    return seen.where(F.col(value).isNotNull() & ((F.col("n") < 5) | (F.col("low") != F.col("high")))).select("scene_id", "r", "c", value)
+def _inner(cells: DataFrame, value: str, across: str, along: str, width: int) -> DataFrame:
+    """Cells with ``width`` cells of their class on both sides in their row (or column): one scan, whatever the width."""
+    line = Window.partitionBy("scene_id", across, value)
+    runs = cells.withColumn("_g", F.col(along) - F.row_number().over(line.orderBy(along)))
+    run = Window.partitionBy("scene_id", across, value, "_g")
+    ends = runs.withColumns({"_a": F.min(along).over(run), "_b": F.max(along).over(run)})
+    return ends.where((F.col(along) - F.col("_a") >= width) & (F.col("_b") - F.col(along) >= width)).select("scene_id", "r", "c", value)
+
+
+def band_width(height: int, width: int, share: float = 0.02) -> int:
+    """Cells in ``share`` of the diagonal of a scene, at least one."""
+    return max(1, round(share * (height**2 + width**2) ** 0.5))
+
+
+def boundary_cells(cells: DataFrame, value: str, width: int = 1) -> DataFrame:
+    """Cells of a class within ``width`` cells, also at an angle, of another class or of none: a mask less its erosion by a square.
+
+    The inner cells are found by a scan of rows and one of columns.
+    """
+    own = cells.select("scene_id", "r", "c", value)
+    inner = _inner(_inner(own, value, "r", "c", width), value, "c", "r", width)
+    return own.join(inner.select("scene_id", "r", "c"), ["scene_id", "r", "c"], "left_anti")
 
 
 def best_detections(boxes: DataFrame, image: str, category: str, id_: str, least_score: float, threshold: float, k: int, width: float, height: float) -> DataFrame:

@@ -6,8 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from geoledger.functions import planar
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 #: Groups that a scene's regions are dealt to.
@@ -61,6 +66,47 @@ def _by_ring(df: DataFrame, column: str, change) -> DataFrame:  # noqa: ANN001
     return df.mapInPandas(each, schema)
 
 
+def _by_polygon(df: DataFrame, column: str, change) -> DataFrame:  # noqa: ANN001
+    """A row for each polygon that ``change`` makes of a row's rings, with the row's other columns."""
+    names = [f.name for f in df.schema]
+    schema = ", ".join(f"`{f.name}` {RINGS if f.name == column else f.dataType.simpleString()}" for f in df.schema)
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+    at = names.index(column)
+
+    def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            from_, made = [], []
+            for k, rings in enumerate(part.column(at).to_pylist()):
+                for polygon in change([np.array([(p["x"], p["y"]) for p in ring], float) for ring in rings or [] if ring]):
+                    from_.append(k)
+                    made.append([[{"x": float(x), "y": float(y)} for x, y in ring] for ring in polygon])
+            columns = [pa.array(made, kinds.field(k).type) if k == at else c.take(pa.array(from_, pa.int64())) for k, c in enumerate(part.columns)]
+            yield pa.RecordBatch.from_arrays(columns, schema=kinds)
+
+    return df.mapInArrow(each, schema)
+
+
+def made_valid(df: DataFrame, column: str) -> DataFrame:
+    """Polygons without crossings of what each row's rings cover by the even-odd rule: a row for each, none where nothing is covered.
+
+    Open rings are closed; edges that go back on themselves vanish. Null, empty and non-finite rings cover nothing.
+    """
+    return _by_polygon(df, column, planar.valid)
+
+
+def clipped_to(df: DataFrame, column: str, region: list[list[tuple[float, float]]]) -> DataFrame:
+    """Polygons cut to a region of any form, with holes: a row for each part that is left, none where nothing is."""
+    rings = [np.array(r, float) for r in region]
+    return _by_polygon(df, column, lambda own: planar.common(own, rings))
+
+
+def clip_report(before: DataFrame, after: DataFrame, id_: str) -> DataFrame:
+    """One row: polygons read, those of which nothing is left, those in several parts, and parts written."""
+    parts = after.groupBy(id_).agg(F.count("*").alias("parts"))
+    both = before.select(id_).distinct().join(parts, id_, "left").na.fill(0, ["parts"])
+    return both.agg(F.count("*").alias("read"), F.count_if(F.col("parts") == 0).alias("removed"), F.count_if(F.col("parts") > 1).alias("divided"), F.coalesce(F.sum("parts"), F.lit(0)).alias("written"))
+
+
 def _cut(ring: np.ndarray, convex: list[tuple[float, float]]) -> np.ndarray:
     """Sutherland-Hodgman: the part of a ring on the left of each side of a convex polygon that turns left."""
     points = [tuple(p) for p in ring[:-1]]

@@ -347,13 +347,15 @@ def super_category_iou(cells: DataFrame) -> DataFrame:
     return evaluation.with_super_categories(matrix, {k: "low" if k < 3 else "high" for k in range(6)}).select("level", "name", F.round("iou", 6).alias("iou"))
 
 
-@query("d25_boundary_iou", "v_cells", sql="""with p as (select scene_id, r, c, pre_class % 3 as v from v_cells), t as (select scene_id, r, c, post_class % 3 as v from v_cells), d as (select * from (values (0,1),(1,0),(0,-1),(-1,0)) d(dy, dx)),
-bp as (select p.* from p where exists (select 1 from d where not exists (select 1 from p q where q.scene_id = p.scene_id and q.r = p.r + dy and q.c = p.c + dx and q.v = p.v))),
-bt as (select t.* from t where exists (select 1 from d where not exists (select 1 from t q where q.scene_id = t.scene_id and q.r = t.r + dy and q.c = t.c + dx and q.v = t.v))),
+@query("d25_boundary_iou", "v_cells", sql="""with p as (select scene_id, r, c, pre_class % 2 as v from v_cells), t as (select scene_id, r, c, post_class % 2 as v from v_cells), d as (select dy, dx from range(-2, 3) a(dy), range(-2, 3) b(dx)),
+np as (select scene_id, r + dy as r, c + dx as c, v, count(*) as n from p, d group by all), nt as (select scene_id, r + dy as r, c + dx as c, v, count(*) as n from t, d group by all),
+bp as (select p.* from p join np using (scene_id, r, c, v) where n < 25), bt as (select t.* from t join nt using (scene_id, r, c, v) where n < 25),
 j as (select coalesce(a.scene_id, b.scene_id) as s, a.v as a, b.v as b from bp a full join bt b on a.scene_id = b.scene_id and a.r = b.r and a.c = b.c),
 k as (select distinct v from p) select k.v as cls, round(count(*) filter (where a = k.v and b = k.v) * 1.0e0 / count(*), 6) as iou from j join k on a = k.v or b = k.v group by k.v""")
 def boundary_iou(cells: DataFrame) -> DataFrame:
-    edge = lambda c, n: evaluation.boundary_cells(cells.select("scene_id", "r", "c", (F.col(c) % 3).alias(n)), n)
+    """Bands of 2 % of the diagonal: 2 cells of scenes of 64 x 64."""
+    width = evaluation.band_width(64, 64)
+    edge = lambda c, n: evaluation.boundary_cells(cells.select("scene_id", "r", "c", (F.col(c) % 2).alias(n)), n, width)
     both = edge("pre_class", "a").join(edge("post_class", "b"), ["scene_id", "r", "c"], "full")
     each = both.select("a", "b", F.explode(F.array_distinct(F.array_compact(F.array("a", "b")))).alias("cls"))
     hit = F.coalesce((F.col("a") == F.col("cls")) & (F.col("b") == F.col("cls")), F.lit(False))

@@ -166,6 +166,29 @@ def repaired(polygons: DataFrame) -> DataFrame:
     return fixed.select("fid", geometry.polygon_area(F.col("rings")).alias("area"), F.size(F.col("rings")[0]).alias("vertices"))
 
 
+@query("h40_made_valid", "v_polygons", sql="""select fid, 2 as parts, (x1 - x0) * (y1 - y0) / 2.0e0 as area from v_polygons""")
+def made_valid(polygons: DataFrame) -> DataFrame:
+    """Rectangles whose upper corners are exchanged: figures of eight, that become two triangles of half the area together."""
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1"))
+    p = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    eight = F.array(p(x0, y0), p(x1, y0), p(x0, y1), p(x1, y1), p(x0, y0))
+    out = layers.made_valid(polygons.select("fid", F.array(eight).alias("rings")), "rings")
+    return out.groupBy("fid").agg(F.count("*").cast("int").alias("parts"), F.round(F.sum(geometry.polygon_area(F.col("rings"))), 6).alias("area"))
+
+
+#: A region with a bay on its right side and a hole, on the grid.
+_REGION = [[(8.0, 4.0), (40.0, 4.0), (40.0, 16.0), (24.0, 16.0), (24.0, 30.0), (40.0, 30.0), (40.0, 44.0), (8.0, 44.0)], [(12.0, 20.0), (18.0, 20.0), (18.0, 27.0), (12.0, 27.0)]]
+
+
+@query("h36_clip_to_region", "v_polygons", sql="""select fid, cast(count(*) as double) as area from v_polygons, range(0, 64) a(x), range(0, 64) b(y)
+ where x >= x0 and x < x1 and y >= y0 and y < y1 and x >= 8 and x < 40 and y >= 4 and y < 44 and not (x >= 24 and y >= 16 and y < 30) and not (x >= 12 and x < 18 and y >= 20 and y < 27) group by fid""")
+def clip_to_region(polygons: DataFrame) -> DataFrame:
+    """Areas of polygons cut to a concave region with a hole; the twin counts cells."""
+    shaped = polygons.select("fid", geometry.rectangle(*[F.col(c) for c in ("x0", "y0", "x1", "y1")]).alias("rings"))
+    cut = layers.clipped_to(shaped, "rings", _REGION)
+    return cut.groupBy("fid").agg(F.round(F.sum(geometry.polygon_area(F.col("rings"))), 6).alias("area"))
+
+
 @query("h36_clip_to_roi", "v_polygons", sql="""select fid, cast((least(x1, 40) - greatest(x0, 10)) * (least(y1, 45) - greatest(y0, 5)) as double) as area from v_polygons
  where least(x1, 40) > greatest(x0, 10) and least(y1, 45) > greatest(y0, 5)""")
 def clip_to_roi(polygons: DataFrame) -> DataFrame:
