@@ -46,8 +46,8 @@ LEAST_TEXTS, LEAST_WEIGHT, LEAST_SURE = 4, 2.5, 2.5
 COPY = 0.8
 _MULTIPLIERS = np.random.default_rng(17).integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BEGINNINGS = range(4, 9)
-#: Features that a worker counts before it sends the counts on.
-_COUNTED = 150_000
+#: Features that a worker counts before it sends the counts on; texts that it scores at a time.
+_COUNTED, _ROWS = 150_000, 1000
 
 
 def fold(text: str) -> str:
@@ -231,7 +231,7 @@ def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", keep: tuple
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = lexicon.automaton()
-        for b in batches:
+        for b in (whole.slice(k, _ROWS) for whole in batches for k in range(0, whole.num_rows, _ROWS)):
             found = np.array([sums(fold(t), machine) for t in _texts(b.column(0))]).reshape(-1, 2)
             p = probability(found[:, 0], found[:, 1], lexicon.curve)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(p)], names=[*[f.name for f in kept], "score"])
