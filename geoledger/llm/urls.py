@@ -67,7 +67,7 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", otherwise: s
     listed = rules.groupBy("rule_host", "rule_path").agg(F.max_by(F.struct("rule", "verdict"), "verdict").alias("x"))
     listed = listed.select(_key(F.col("rule_host"), F.col("rule_path")).alias("k"), "x.*", F.length("rule_host").alias("n"))
     # A table of the lengths that listed paths have: at most as many as a URL has characters.
-    stats = rules.agg(F.count("*").alias("n"), F.collect_set(F.length("rule_path")).alias("lengths")).first()
+    stats = rules.agg(F.count("*").alias("n"), F.collect_set(F.length("rule_path")).alias("lengths"), F.collect_set(F.size(F.split("rule_host", r"\.", -1))).alias("labels")).first()
     blocks = max(1, math.ceil(stats["n"] / KEYS_PER_BLOCK))
     lengths = F.array(*[F.lit(n) for n in sorted(stats["lengths"])]).cast("array<int>")
     bloom = listed.groupBy(_block(F.col("k"), blocks).alias("block")).agg(F.bit_or(_bits(F.col("k"))).alias("word"))
@@ -77,7 +77,9 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", otherwise: s
     # A URL's verdict depends on nothing else, so that each is judged once.
     urls = pages.select(F.col(url_col).alias("u")).where(F.col("u").isNotNull()).distinct().select("u", host(F.col("u")).alias("h"), path(F.col("u")).alias("p"))
     labels = F.split("h", r"\.", -1)
-    ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    # Only ends of as many labels as a listed host has can be listed.
+    sizes = F.array(*[F.lit(n) for n in sorted(stats["labels"])]).cast("array<int>")
+    ends = F.transform(F.filter(sizes, lambda n: n <= F.size(labels)), lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
     tried = urls.where("h != ''").select("u", "p", F.explode(ends).alias("end"))
     tried = tried.select("u", "end", "p", F.explode(F.filter(lengths, lambda n: n <= F.length("p"))).alias("cut"))
     tried = tried.select("u", _key(F.col("end"), F.expr("substring(p, 1, cut)")).alias("k"))
