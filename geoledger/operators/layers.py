@@ -7,16 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from geoledger.functions import planar
+from geoledger.scratch import drop_written, written
 
 RINGS = "array<array<struct<x:double,y:double>>>"
-#: Groups that a scene's regions are dealt to.
-REGION_PARTS = 16
 
 
 def union_cells(rectangles: DataFrame) -> DataFrame:
@@ -198,7 +197,7 @@ def smoothed(df: DataFrame, column: str, tolerance: float, points: int = 40) ->
 
 
 def _strung(sides: list[list[int]]) -> list[list[tuple[int, int]]]:
-    """Directed sides of cells to closed rings of corners, the largest first."""
+    """Directed lines between corners to closed rings of corners, the largest first."""
     ways: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for x0, y0, x1, y1 in sides:
         ways.setdefault((x0, y0), []).append((x1, y1))
@@ -217,34 +216,92 @@ def _strung(sides: list[list[int]]) -> list[list[tuple[int, int]]]:
             if at == start:
                 break
             ring.append(at)
-        n = len(ring)
-        corners = [p for k, p in enumerate(ring) if (p[0] - ring[k - 1][0]) * (ring[(k + 1) % n][1] - p[1]) != (p[1] - ring[k - 1][1]) * (ring[(k + 1) % n][0] - p[0])]
-        rings.append([*corners, corners[0]])
-    return sorted(rings, key=lambda r: _twice_area(np.array(r, float)), reverse=True)
+        rings.append([*ring, start])
+    return sorted(rings, key=lambda r: (-_twice_area(np.array(r, float)), r[0][1], r[0][0]))
 
 
-def polygonize(labelled: DataFrame) -> DataFrame:
-    """(scene_id, label, v, rings): a polygon for each labelled region (scene_id, r, c, v, label), outer ring first, holes after.
+def _boundary_lines(labelled: DataFrame) -> DataFrame:
+    """(scene_id, label, v, x0, y0, x1, y1, dx, dy): straight lines between the corners of each region's boundary.
 
-    Sides between a region's cells cancel in a shuffle by side; those left are the boundary, and are strung together per
-    region. Straight lines are one edge.
+    Each is directed so that the region is on its left when y grows downwards.
     """
     r, c = F.col("r").cast("long"), F.col("c").cast("long")
-    # Each side is directed so that the region is on its left when y grows downwards.
     sides = F.array(*[F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")) for x0, y0, x1, y1 in ((c, r, c + 1, r), (c + 1, r, c + 1, r + 1), (c + 1, r + 1, c, r + 1), (c, r + 1, c, r))])
     all_ = labelled.select("scene_id", "label", "v", F.explode(sides).alias("s")).select("scene_id", "label", "v", "s.*")
     lone = [F.least("x0", "x1"), F.least("y0", "y1"), F.greatest("x0", "x1"), F.greatest("y0", "y1")]
     edges = all_.groupBy("scene_id", "label", "v", *[e.alias(n) for e, n in zip(lone, ("a", "b", "d", "e"), strict=True)])
-    edges = edges.agg(F.count("*").alias("n"), F.first(F.struct("x0", "y0", "x1", "y1")).alias("s")).where("n = 1").select("scene_id", "label", "v", "s.*")
-
-    def stitch(df: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for (scene, label, v), part in df.sort_values(["y0", "x0", "y1", "x1"]).groupby(["scene_id", "label", "v"]):
-            rings = _strung(part[["x0", "y0", "x1", "y1"]].to_numpy().tolist())
-            rows.append((scene, label, v, [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings]))
-        return pd.DataFrame(rows, columns=["scene_id", "label", "v", "rings"])
-
-    kind = lambda n: edges.schema[n].dataType.simpleString()
-    # Regions are many and mostly small: a group has all of a scene's regions of one hash.
-    dealt = edges.withColumn("part", F.pmod(F.xxhash64("label"), F.lit(REGION_PARTS)))
-    return dealt.groupBy("scene_id", "part").applyInPandas(stitch, f"scene_id {kind('scene_id')}, label {kind('label')}, v {kind('v')}, rings {RINGS}")
+    edges = edges.agg(F.count("*").alias("n"), F.first(F.struct("x0", "y0", "x1", "y1")).alias("s")).where("n = 1").select("scene_id", "label", "v", "a", "b", F.expr("s.x1 - s.x0").alias("dx"), F.expr("s.y1 - s.y0").alias("dy"))
+    # Sides in a row, of one direction, are one line: no ring turns between them, as where two rings touch all ways turn.
+    flat = F.col("dx") != 0
+    placed = edges.withColumn("line", F.when(flat, F.col("b")).otherwise(F.col("a"))).withColumn("t", F.when(flat, F.col("a")).otherwise(F.col("b")))
+    key = ["scene_id", "label", "v", "dx", "dy", "line"]
+    runs = placed.withColumn("run", F.col("t") - F.row_number().over(Window.partitionBy(*key).orderBy("t"))).groupBy(*key, "run").agg(F.min("t").alias("lo"), (F.max("t") + 1).alias("hi"))
+    first, last = F.when(F.col("dx") + F.col("dy") > 0, F.col("lo")).otherwise(F.col("hi")), F.when(F.col("dx") + F.col("dy") > 0, F.col("hi")).otherwise(F.col("lo"))
+    end = lambda t, x: F.when((F.col("dx") != 0) == F.lit(x), t).otherwise(F.col("line"))
+    return runs.select("scene_id", "label", "v", end(first, True).alias("x0"), end(first, False).alias("y0"), end(last, True).alias("x1"), end(last, False).alias("y1"), "dx", "dy")
+
+
+def _rings_in_tasks(lines: DataFrame) -> DataFrame:
+    """The polygons of regions whose lines fit a row each."""
+    held = lines.groupBy("scene_id", "label", "v").agg(F.collect_list(F.struct("y0", "x0", "y1", "x1")).alias("rings"))
+    kind = ", ".join(f"{n} {lines.schema[n].dataType.simpleString()}" for n in ("scene_id", "label", "v"))
+
+    def each(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            strung = [_strung([[p["x0"], p["y0"], p["x1"], p["y1"]] for p in sorted(lines, key=lambda p: (p["y0"], p["x0"], p["y1"], p["x1"]))]) for lines in part["rings"]]
+            yield part.assign(rings=[[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings] for rings in strung])
+
+    return held.mapInPandas(each, f"{kind}, rings {RINGS}")
+
+
+def _rings_by_ranking(lines: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """The polygons of regions of any size: each line's place in its ring comes by pointer doubling.
+
+    A line is named by its start and direction. Each round a line learns the least name among twice as many followers, and
+    how far off that one is, by one join; a round that changes nothing is the last, as some line of a ring that isn't
+    seen whole yet would still find its least name. Only the corners of one ring meet, in the ring's row.
+    """
+    region = ["scene_id", "label", "v"]
+    name = F.struct(F.col("y0").alias("y"), F.col("x0").alias("x"), F.col("dx").alias("dx"), F.col("dy").alias("dy"))
+    named = lines.withColumn("id", name)
+    # At most two lines start at a corner; where there are two, the one to the right is next.
+    ways = named.select(*region, F.col("x0").alias("x1"), F.col("y0").alias("y1"), F.col("id").alias("next"), F.col("dx").alias("odx"), F.col("dy").alias("ody"))
+    joined = named.join(ways, [*region, "x1", "y1"]).withColumn("turn", F.col("dx") * F.col("ody") - F.col("dy") * F.col("odx"))
+    follow = joined.groupBy(*region, "id", "x0", "y0", "x1", "y1").agg(F.max_by("next", "turn").alias("next"))
+    now = written(follow.select(*region, "id", "next", F.col("id").alias("least"), F.lit(0).cast("long").alias("away"), (F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")).alias("twice")), "rings")
+    for k in range(max_rounds):
+        then = now.select(*region, F.col("id").alias("next"), F.col("next").alias("_next"), F.col("least").alias("_least"), F.col("away").alias("_away"))
+        nearer = F.col("_least") < F.col("least")
+        new = written(now.join(then, [*region, "next"]).select(
+            *region, "id", F.col("_next").alias("next"), F.least("least", "_least").alias("least"),
+            F.when(nearer, F.col("_away") + F.lit(1 << k)).otherwise(F.col("away")).alias("away"), "twice", nearer.alias("changed"),
+        ), "rings")
+        drop_written(now)
+        now = new
+        if now.where("changed").isEmpty():
+            break
+    else:
+        raise RuntimeError(f"rings did not settle in {max_rounds} rounds")
+    # The first corner is no step away from itself, the next one is the farthest.
+    step = F.when(F.col("away") > 0, -F.col("away"))
+    point = F.struct(F.col("id.x").cast("double").alias("x"), F.col("id.y").cast("double").alias("y"))
+    rings = now.groupBy(*region, "least").agg(F.abs(F.sum("twice")).alias("twice"), F.sort_array(F.collect_list(F.struct(step.alias("step"), point.alias("p")))).alias("ps"))
+    closed = F.concat(F.col("ps.p"), F.slice("ps.p", 1, 1))
+    by = F.sort_array(F.collect_list(F.struct((-F.col("twice")).alias("small"), "least", closed.alias("ring"))))
+    return rings.groupBy(*region).agg(by.alias("all")).select(*region, F.col("all.ring").alias("rings"))
+
+
+def polygonize(labelled: DataFrame, in_task: int = 8192) -> DataFrame:
+    """(scene_id, label, v, rings): a polygon for each labelled region (scene_id, r, c, v, label), outer ring first, holes after.
+
+    Sides between a region's cells cancel in a shuffle by side; those left are the boundary, and those in a row one line.
+    Regions of up to ``in_task`` lines are strung in tasks, larger ones by shuffles (:func:`_rings_by_ranking`), with the
+    same result. A cell is expected once; no cells give an empty result.
+    """
+    region = ["scene_id", "label", "v"]
+    lines = written(_boundary_lines(labelled), "lines")
+    large = lines.groupBy(*region).agg(F.count("*").alias("n")).where(F.col("n") > in_task).select(*region)
+    small = _rings_in_tasks(lines.join(large, region, "left_anti"))
+    if large.isEmpty():
+        return small
+    return small.unionByName(_rings_by_ranking(lines.join(large, region, "left_semi")))

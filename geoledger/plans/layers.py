@@ -157,6 +157,14 @@ def polygonize_area(cells: DataFrame) -> DataFrame:
     return shapes.groupBy("scene_id", "v").agg(F.round(F.sum(geometry.polygon_area(F.col("rings")))).cast("long").alias("cells"))
 
 
+@query("h39_ranked_rings", "v_cells", sql="select scene_id, v, count(*) as cells from (select scene_id, post_class % 3 as v from v_cells) where v > 0 group by all")
+def ranked_rings(cells: DataFrame) -> DataFrame:
+    """The same with all rings ordered by pointer doubling, as those of large regions are."""
+    some = cells.select("scene_id", "r", "c", (F.col("post_class") % 3).alias("v")).where("v > 0")
+    shapes = layers.polygonize(raster.components(some, 64), in_task=0)
+    return shapes.groupBy("scene_id", "v").agg(F.round(F.sum(geometry.polygon_area(F.col("rings")))).cast("long").alias("cells"))
+
+
 @query("h40_repaired", "v_polygons", sql="select fid, cast((x1 - x0) * (y1 - y0) as double) as area, cast(5 as int) as vertices from v_polygons")
 def repaired(polygons: DataFrame) -> DataFrame:
     """Rings left open, with a vertex twice, are closed and thinned."""
