@@ -74,6 +74,26 @@ def proposals(boxes: DataFrame) -> DataFrame:
     return held.select("image_id", F.size("proposals").cast("long").alias("n"), F.col("proposals")[0]["score"].alias("best"), F.element_at("proposals", -1)["score"].alias("least"))
 
 
+@query("a10_log_lines", "v_progress", sql="""select task % 16 as log, row_number() over (partition by task % 16 order by ts, event_id) as line_no, concat(strftime(ts, '%Y-%m-%d %H:%M:%S'), ' task ', cast(task as varchar), ' ', status) as value from v_progress""")
+def log_lines(progress: DataFrame) -> DataFrame:
+    """Sixteen logs, written as text and read back with the numbers of their lines."""
+    line = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" task "), F.col("task").cast("string"), F.lit(" "), F.col("status"))
+    path = _path(progress, "logs")
+    logs = progress.withColumn("log", F.col("task") % 16).repartition("log").sortWithinPartitions("log", "ts", "event_id")
+    logs.select("log", line.alias("value")).write.partitionBy("log").text(path)
+    read = readers.log_lines(progress.sparkSession, path)
+    return read.select(F.regexp_extract("file", r"/log=(\d+)/", 1).cast("long").alias("log"), "line_no", "value")
+
+
+@query("a12_numbers", "v_scalars", sql="select iter - 1 as at, value from v_scalars where name = 'click' and iter % 5 <> 0")
+def numbers(scalars: DataFrame) -> DataFrame:
+    """A series as a table of a number a line, in which every fifth line is empty."""
+    path = _path(scalars, "numbers")
+    one = scalars.where("name = 'click'").coalesce(1).sortWithinPartitions("iter")
+    one.select(F.when(F.col("iter") % 5 == 0, "").otherwise(F.col("value").cast("string")).alias("value")).write.text(path)
+    return readers.numbers(scalars.sparkSession, path)
+
+
 @query("b1_class_raster", "v_cells", sql="select scene_id, r // 16 as tile_row, count(*) as cells, cast(sum(post_class) as bigint) as total from v_cells where post_class <> 0 group by all")
 def class_raster(cells: DataFrame) -> DataFrame:
     """Written in tiles, and read back."""

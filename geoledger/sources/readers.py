@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoledger.functions.geometry import from_wkt
 from geoledger.functions.text import stem
+from geoledger.scratch import written
 
 
 def scene_catalog(spark: SparkSession, folder: str, glob: str = "*.{tif,tiff,img,IMG}") -> DataFrame:
@@ -95,9 +96,18 @@ def catalog_items(responses: DataFrame, year: int, province: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, value) of text logs, by their place in each file."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("at", "value")).select("file", (F.col("at") + 1).alias("line_no"), "value")
+    """(file, line_no, value) of text logs, by their place in each file; empty lines count, an end of line at the end adds none.
+
+    Files are read in splits. A line's number is its place in its split and the number of lines in the splits before, so
+    that only one row a split is ordered. The lines are written once, as a log may grow while it is read.
+    """
+    # A split is read in order, by one task.
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), "value")
+    lines = written(read, "lines")
+    splits = lines.groupBy("file", "start").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = splits.select("file", "start", (before - F.col("first") + 1).alias("offset"))
+    return lines.join(offsets, ["file", "start"]).select("file", (F.col("at") + F.col("offset")).alias("line_no"), "value")
 
 
 def settings(texts: DataFrame, schema: str) -> DataFrame:
@@ -106,16 +116,14 @@ def settings(texts: DataFrame, schema: str) -> DataFrame:
 
 
 def numbers(spark: SparkSession, file: str, kind: str = "double") -> DataFrame:
-    """(at, value): one number a line."""
-    lines = spark.read.text(file, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("at", "v"))
-    return lines.where("trim(v) != ''").select("at", F.trim("v").cast(kind).alias("value"))
+    """(at, value): one number a line; ``at`` counts lines from 0, empty ones too, which give no row."""
+    return log_lines(spark, file).where("trim(value) != ''").select((F.col("line_no") - 1).alias("at"), F.trim("value").cast(kind).alias("value"))
 
 
 def colour_table(spark: SparkSession, file: str) -> DataFrame:
     """(at, red, green, blue) of lines ``r/g/b#comment``."""
-    lines = spark.read.text(file, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("at", "v")).where("trim(v) != ''")
-    parts = F.split(F.substring_index("v", "#", 1), "/")
-    return lines.select("at", *[F.trim(parts[i]).cast("int").alias(n) for i, n in enumerate(("red", "green", "blue"))])
+    parts = F.split(F.substring_index("value", "#", 1), "/")
+    return log_lines(spark, file).where("trim(value) != ''").select((F.col("line_no") - 1).alias("at"), *[F.trim(parts[i]).cast("int").alias(n) for i, n in enumerate(("red", "green", "blue"))])
 
 
 _COCO = """images array<struct<id:bigint,file_name:string,height:int,width:int,neg_category_ids:array<int>,not_exhaustive_category_ids:array<int>>>,

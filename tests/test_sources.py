@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,28 @@ def test_tables_of_numbers(spark, tmp_path):
     assert [tuple(r)[1:] for r in readers.colour_table(spark, str(tmp_path / "c")).orderBy("at").collect()] == [(1, 2, 3), (4, 5, 6)]
 
 
+def test_lines_of_files_in_many_splits(spark, tmp_path):
+    """Numbers count on over the splits of a file, whatever the ends of lines, and start anew with each file."""
+    rng = random.Random(5)
+    lines = {f"{k}.log": ["é" * rng.randrange(90) if rng.random() < 0.8 else "" for _ in range(400)] for k in range(3)}
+    lines["one.log"], lines["none.log"] = ["x" * 3000], []
+    for k, (name, own) in enumerate(lines.items()):
+        (tmp_path / name).write_bytes(("\r\n" if k == 1 else "\n").join(own).encode() + b"\n" * bool(own and k != 2))
+    if not lines["2.log"][-1]:
+        lines["2.log"].pop()  # an empty line without an end is none
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+        found = readers.log_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    got: dict[str, list] = {name: [] for name in lines}
+    for r in sorted(found, key=lambda r: r["line_no"]):
+        got[r["file"].rsplit("/", 1)[1]].append((r["line_no"], r["value"]))
+    assert got == {name: list(enumerate(own, 1)) for name, own in lines.items()}
+
+
 def test_settings_must_be_an_object(spark):
     assert readers.settings(spark.createDataFrame([('{"config": {"n": 4}}',)], "value string"), "n int").first()["n"] == 4
     with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
