@@ -25,6 +25,8 @@ from geoledger.scratch import written
 
 #: Trees at least; vectors a leaf has at about which splitting stops; vectors of a block; rows that splits are fitted on at most.
 TREES, LEAF, BLOCK, SAMPLE = 6, 1000, 3000, 20_000
+#: Levels of a tree at least, so that a small table has smaller leaves and not another way.
+LEVELS = 3
 #: Vectors so near to a split (times 1 / sqrt of the dimension) go to both sides.
 SPILL = 0.16
 #: Of the pairs near the bound so many stay together at a level, and so many may be missed by all trees.
@@ -33,12 +35,12 @@ _PAIRS = 1 << 18
 
 
 def depth_for(n: int) -> int:
-    return max(1, int(np.ceil(np.log2(n / LEAF)))) if n > LEAF else 0
+    return max(LEVELS, int(np.ceil(np.log2(n / LEAF))))
 
 
 def trees_for(depth: int) -> int:
     """Trees by depth, as a pair that is parted at any level is lost in that tree."""
-    return max(TREES, int(np.ceil(np.log(MISSED) / np.log(1 - TOGETHER**depth)))) if depth else 1
+    return max(TREES, int(np.ceil(np.log(MISSED) / np.log(1 - TOGETHER**depth))))
 
 
 class Forest:
@@ -156,7 +158,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """(id_col, n_links, component_id, kept): one row per row of ``vectors``.
 
     Vectors that are null, empty, zero, or hold a null or a non-finite component link with nothing. Vectors of different
-    lengths don't link; each length has its own forest, and one of few vectors is compared in full. Repeated rows are other
+    lengths don't link; each length has its own forest, of at least three levels. The splits of lengths of at most ``LEAF``
+    vectors are fitted on one sample of them all, or go through the origin where it holds none. Repeated rows are other
     vectors. Null ids are passed over in ``component_id``. An empty table gives an empty result; other columns don't matter.
     """
     # Single precision, if the table has it, takes half of the place on the way.
@@ -167,13 +170,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = rows.select("id", "v", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("k"))
     classes = written(rows.where("v is not null").groupBy("k").agg(F.first("v").alias("v"), F.count("*").alias("w"), F.min("id").alias("first")), "vectors")
     sizes = {r["d"]: r["n"] for r in classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
+    taken = lambda part, few: [r["v"] for r in part.orderBy(F.xxhash64("k"), "k").limit(few).select("v").collect()]
+    fitted = {dim: taken(classes.where(F.size("v") == dim), max(LEAF, SAMPLE * n // sum(sizes.values()))) for dim, n in sizes.items() if n > LEAF}
+    if len(fitted) < len(sizes):
+        for v in taken(classes.where(~F.size("v").isin(list(fitted))), SAMPLE):
+            fitted.setdefault(len(v), []).append(v)
     forests = {}
     for dim, n in sizes.items():
-        if n > LEAF:
-            few = max(LEAF, SAMPLE * n // sum(sizes.values()))
-            sample = classes.where(F.size("v") == dim).orderBy(F.xxhash64("k"), "k").limit(few).select("v").collect()
-            depth = depth_for(n)
-            forests[dim] = Forest(_unit(pa.array([r["v"] for r in sample], pa.list_(pa.float64())), dim), depth, trees_for(depth))
+        sample = _unit(pa.array(fitted.get(dim, []), pa.list_(pa.float64())), dim)
+        forests[dim] = Forest(sample, depth_for(n), trees_for(depth_for(n)))
     small = max((len(f.directions) << f.depth for f in forests.values()), default=0) < 1 << 31
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +186,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             length = np.diff(b.column(1).offsets.to_numpy())
             for dim in np.unique(length).tolist():
                 part = b.filter(pa.array(length == dim))
-                cells = forests[dim].cells(_unit(part.column(1), dim)) if dim in forests else [[0]] * part.num_rows
-                cells = pa.array(cells, pa.list_(pa.int32() if small else pa.int64()))
+                cells = pa.array(forests[dim].cells(_unit(part.column(1), dim)), pa.list_(pa.int32() if small else pa.int64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, cells, pa.array([dim] * part.num_rows, pa.int32())], names=["k", "v", "w", "cells", "dim"])
 
     placed = classes.select("k", "v", "w").mapInArrow(place, f"k long, v array<{kind}>, w long, cells array<{'int' if small else 'long'}>, dim int")
@@ -200,8 +204,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         # Padding must not match: it differs between the two sides.
         a, b = np.flatnonzero(own == p), np.flatnonzero(own == q)
         padded = np.where(table < 0, -2, table)
-        trees = len(forests[dim].directions) if dim in forests else 1
-        links, root = compare(x[a], x[b], table[a], padded[b], w[a], w[b], p == q, cell, least, trees)
+        links, root = compare(x[a], x[b], table[a], padded[b], w[a], w[b], p == q, cell, least, len(forests[dim].directions))
         key = k[a] if p == q else np.concatenate((k[a], k[b]))
         hit = links > 0
         return pa.table({"k": key[hit], "links": links[hit], "root": key[root[hit]]})

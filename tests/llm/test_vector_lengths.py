@@ -34,6 +34,22 @@ def test_bound_is_taken_in_double_precision(spark):
     assert found == {0: 1, 1: 1, 2: 0}
 
 
+def test_small_tables_are_split_too(spark):
+    assert [embeddings.depth_for(n) for n in (1, 500, 8000, 8001, 1 << 20)] == [3, 3, 3, 4, 11]
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((300, 64))
+    x = np.concatenate((x, x[:150] + 0.25 * rng.standard_normal((150, 64)), x[1] + 0.2 * rng.standard_normal((50, 64))))
+    few = rng.standard_normal((3, 2))
+    rows = [(i, v.tolist()) for i, v in enumerate([*x, *few])]
+    found = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want, got = (unit @ unit.T >= 0.95).sum(1) - 1, np.array([found[i] for i in range(len(x))])
+    assert (got <= want).all() and got.sum() >= 0.99 * want.sum() and want.sum() > 1000
+    # The leaves of the splits are smaller than the table.
+    forest = embeddings.Forest(unit, embeddings.depth_for(len(x)), embeddings.TREES)
+    assert max(np.bincount(np.concatenate(forest.cells(unit)))) < len(x) / 2
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_forest_of_several_levels_against_brute_force(spark, monkeypatch, kind):
     monkeypatch.setattr(embeddings, "LEAF", 40)
