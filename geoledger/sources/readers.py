@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from geoledger.functions.geometry import from_wkt
 from geoledger.functions.text import stem
 from geoledger.scratch import written
+from geoledger.sources.elements import json_elements
 
 
 def scene_catalog(spark: SparkSession, folder: str, glob: str = "*.{tif,tiff,img,IMG}") -> DataFrame:
@@ -43,8 +44,8 @@ def vector_layer(features: DataFrame, geometry: str, crs: str = "crs") -> DataFr
 
 def boundaries(spark: SparkSession, file: str) -> DataFrame:
     """(ord, name, gb, rings) of a GeoJSON file's polygons with a name and a code, in source order; none is an error."""
-    kind = "features array<struct<properties:struct<name:string,gb:string>,geometry:struct<type:string,coordinates:string>>>"
-    raw = spark.read.option("multiLine", True).schema(kind).json(file).select(F.posexplode("features").alias("ord", "f"))
+    kind = "properties struct<name:string,gb:string>, geometry struct<type:string,coordinates:string>"
+    raw = json_elements(spark, file, ["features"]).select(F.col("ord").cast("int").alias("ord"), F.from_json("value", kind).alias("f"))
     named = raw.where("coalesce(f.properties.name, '') != '' and coalesce(f.properties.gb, '') != '' and upper(f.geometry.type) like '%POLYGON%'")
     depth = F.when(F.upper("f.geometry.type") == "MULTIPOLYGON", F.flatten(F.from_json("f.geometry.coordinates", "array<array<array<array<double>>>>")))
     rings = F.coalesce(depth, F.from_json("f.geometry.coordinates", "array<array<array<double>>>"))
@@ -126,18 +127,24 @@ def colour_table(spark: SparkSession, file: str) -> DataFrame:
     return log_lines(spark, file).where("trim(value) != ''").select((F.col("line_no") - 1).alias("at"), *[F.trim(parts[i]).cast("int").alias(n) for i, n in enumerate(("red", "green", "blue"))])
 
 
-_COCO = """images array<struct<id:bigint,file_name:string,height:int,width:int,neg_category_ids:array<int>,not_exhaustive_category_ids:array<int>>>,
- annotations array<struct<id:bigint,image_id:bigint,category_id:int,bbox:array<double>,iscrowd:int,segmentation:array<array<double>>,keypoints:array<double>>>, categories array<struct<id:int,name:string>>"""
+_IMAGES = "id bigint, file_name string, height int, width int, neg_category_ids array<int>, not_exhaustive_category_ids array<int>"
+_ANNOTATIONS = "id bigint, image_id bigint, category_id int, bbox array<double>, iscrowd int, segmentation array<array<double>>, keypoints array<double>"
+
+
+def _parsed(elements: DataFrame, field: str, kind: str) -> DataFrame:
+    return elements.where(F.col("field") == field).select(F.from_json("value", kind).alias("e")).select("e.*")
 
 
 def coco(spark: SparkSession, file: str, shift: int | None = None) -> DataFrame:
     """One record per image with its annotations nested, category ids from 0 on.
 
     Polygons of fewer than six numbers go, and annotations that had polygons and keep none. Keypoints move by half a pixel.
-    Annotation ids that repeat are an error. ``shift`` subtracts a number from the ids in place of ranking them.
+    Annotation ids that repeat are an error. ``shift`` subtracts a number from the ids in place of ranking them. Files are
+    read in splits, element by element; one may hold several objects, and there may be several files. Only the ids of the
+    categories come to the driver.
     """
-    raw = spark.read.option("multiLine", True).schema(_COCO).json(file)
-    anns = raw.select(F.explode("annotations").alias("a")).select("a.*")
+    raw = written(json_elements(spark, file, ["images", "annotations", "categories"]), "elements")
+    anns = _parsed(raw, "annotations", _ANNOTATIONS)
     ids = anns.agg(F.count("id").alias("n"), F.count_distinct("id").alias("d")).first()
     if ids["n"] != ids["d"]:
         raise ValueError("annotation ids repeat")
@@ -146,12 +153,12 @@ def coco(spark: SparkSession, file: str, shift: int | None = None) -> DataFrame:
     anns = anns.withColumn("_had", had).withColumn("segmentation", kept).where("not _had or size(segmentation) > 0").drop("_had")
     anns = anns.withColumn("keypoints", F.transform("keypoints", lambda v, i: F.when(i % 3 != 2, v + 0.5).otherwise(v)))
     if shift is None:
-        order = raw.select(F.array_sort(F.transform("categories", lambda c: c["id"])).alias("ids")).first()["ids"] or []
-        known = F.array(*[F.lit(i) for i in order]).cast("array<int>")
+        order = _parsed(raw, "categories", "id int").where("id is not null").distinct().orderBy("id").collect()
+        known = F.array(*[F.lit(r["id"]) for r in order]).cast("array<int>")
         anns = anns.withColumn("category_id", F.array_position(known, F.col("category_id")).cast("int") - 1)
     else:
         anns = anns.withColumn("category_id", F.col("category_id") - shift)
-    images = raw.select(F.explode("images").alias("i")).select("i.*")
+    images = _parsed(raw, "images", _IMAGES)
     held = anns.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("id", "category_id", "bbox", "iscrowd", "segmentation", "keypoints"))).alias("annotations"))
     return images.join(held, images["id"] == held["image_id"], "left").drop("image_id").withColumnRenamed("id", "image_id")
 
@@ -173,8 +180,8 @@ def pascal_voc(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
 
 def panoptic(spark: SparkSession, file: str, things: dict[int, int], stuff: dict[int, int]) -> DataFrame:
     """(image_id, segment_id, category_id, isthing): segments under their contiguous ids; unknown categories are an error downstream (null)."""
-    kind = "annotations array<struct<image_id:bigint,file_name:string,segments_info:array<struct<id:bigint,category_id:int>>>>"
-    each = spark.read.option("multiLine", True).schema(kind).json(file).select(F.explode("annotations").alias("a")).select("a.image_id", F.explode("a.segments_info").alias("s"))
+    kind = "image_id bigint, segments_info array<struct<id:bigint,category_id:int>>"
+    each = _parsed(json_elements(spark, file, ["annotations"]), "annotations", kind).select("image_id", F.explode("segments_info").alias("s"))
     look = lambda m: F.try_element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("s.category_id")) if m else F.lit(None).cast("int")
     return each.select("image_id", F.col("s.id").alias("segment_id"), F.coalesce(look(things), look(stuff)).alias("category_id"), look(things).isNotNull().alias("isthing"))
 
