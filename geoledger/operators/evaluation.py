@@ -362,6 +362,28 @@ def best_proposals(boxes: DataFrame, image: str, level: str, id_: str, before: i
     return suppressed(some, [image, level], id_, threshold).withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= after).drop("_k")
 
 
+def federated_precision(dets: DataFrame, truths: DataFrame, pairs: DataFrame, negatives: DataFrame, partial: DataFrame, image: str, category: str, det: str, truth: str, thresholds: list[float], most: int = 300) -> DataFrame:
+    """(category, ap): mean precision over the thresholds where an image is judged for some categories only.
+
+    An image is judged for the categories of its truths and those that ``negatives`` (image, category) lists as not there; detections of
+    others don't count. Of an image's detections, whatever their category, the ``most`` best count. Where ``partial`` (image, category) says
+    that not all truths are marked, a detection that takes none doesn't count. ``dets`` has (image, category, det, score), ``truths``
+    (image, category, truth), ``pairs`` (det, truth, iou) of each pair of an image and category that overlaps. Rows with a null image or
+    category don't count; repeated rows of the last three tables count once.
+    """
+    place = F.row_number().over(Window.partitionBy(image).orderBy(F.desc("score"), det))
+    best = dets.select(image, category, det, "score").withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
+    key = [image, category]
+    judged = best.join(truths.select(*key).union(negatives.select(*key)).distinct(), key, "left_semi")
+    met = judged.join(pairs.select(det, truth, "iou").distinct(), det, "left")
+    found = greedy_matches(met, key, det, truth, thresholds)
+    open_ = partial.select(*key).distinct().withColumn("_open", F.lit(True))
+    counted = found.join(open_, key, "left").where("tp = 1 or _open is null").drop("_open")
+    counts = truths.where(F.col(category).isNotNull() & F.col(image).isNotNull()).groupBy(category).agg(F.count_distinct(truth).alias("truths")).withColumn("area", F.lit("all"))
+    scores = coco_precision(counted, counts, category, det, thresholds, {"all": [most]})
+    return scores.groupBy(category).agg(F.avg("ap").alias("ap"))
+
+
 def by_frequency(scores: DataFrame, images: DataFrame, category: str, rare: int = 10, common: int = 100) -> DataFrame:
     """(frequency, ap): mean of the categories' scores by how many images have them: r, c or f; and of all."""
     kind = F.when(F.col("images") <= rare, "r").when(F.col("images") <= common, "c").otherwise("f")

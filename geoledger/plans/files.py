@@ -32,6 +32,86 @@ def vector_layer(polygons: DataFrame) -> DataFrame:
     return readers.vector_layer(shaped, "rings").select("fid", geometry.polygon_area(F.col("rings")).alias("area"))
 
 
+@query("a1_scene_catalog", "orders", sql="select substr(o_orderpriority, 1, 1) as folder, cast(sum(length(cast(o_orderkey as varchar)) + 1) as bigint) as bytes, true as named from orders group by all")
+def scene_catalog(orders: DataFrame) -> DataFrame:
+    """Files of keys by priority, listed with their sizes."""
+    path = _path(orders, "scenes")
+    orders.select(F.substring("o_orderpriority", 1, 1).alias("p"), F.col("o_orderkey").cast("string").alias("value")).write.partitionBy("p").text(path)
+    listed = readers.scene_catalog(orders.sparkSession, path, glob="*.txt")
+    return listed.groupBy(F.regexp_extract("path", "/p=(.)/", 1).alias("folder")).agg(F.sum("size").alias("bytes"), F.every(F.col("stem").startswith("part-")).alias("named"))
+
+
+@query("a2_scene_list", "orders", sql="select cast(sum(length(cast(o_orderkey as varchar)) + 1) as bigint) as bytes from orders where o_custkey % 2 = 0")
+def scene_list(orders: DataFrame) -> DataFrame:
+    """Two folders of files, of which a list names those of the first."""
+    spark, path = orders.sparkSession, _path(orders, "scenes")
+    keys = lambda k: orders.where(f"o_custkey % 2 = {k}").select(F.col("o_orderkey").cast("string").alias("value"))
+    for k, name in enumerate(("first", "second")):
+        keys(k).write.text(f"{path}/all/{name}")
+    readers.scene_catalog(spark, f"{path}/all/first", glob="*.txt").select(F.concat(F.lit(" old/"), F.element_at(F.split("path", "/"), -1))).write.text(f"{path}/list")
+    return readers.scene_list(spark, f"{path}/list", readers.scene_catalog(spark, f"{path}/all", glob="*.txt")).agg(F.sum("size").alias("bytes"))
+
+
+@query("a5_boundaries", "v_polygons", sql="""with n as (select *, row_number() over (partition by scene_id order by fid) - 1 as ord from v_polygons)
+select cast(ord as int) as ord, concat('P', cast(fid as varchar)) as name, cast(fid as varchar) as gb, cast((x1 - x0) * (y1 - y0) as double) as area from n where fid % 10 <> 0""")
+def boundaries(polygons: DataFrame) -> DataFrame:
+    """A collection of features for each scene, written as JSON; every tenth has no code."""
+    corners = [("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")]
+    ring = F.array(F.array(*[F.array(F.col(x), F.col(y)) for x, y in corners]))
+    code = F.when(F.col("fid") % 10 != 0, F.col("fid").cast("string"))
+    feature = F.struct(F.struct(F.concat(F.lit("P"), F.col("fid").cast("string")).alias("name"), code.alias("gb")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), ring.alias("coordinates")).alias("geometry"))
+    listed = polygons.groupBy("scene_id").agg(F.sort_array(F.collect_list(F.struct("fid", feature.alias("feature")))).alias("f"))
+    path = _path(polygons, "boundaries")
+    listed.select(F.to_json(F.struct(F.col("f.feature").alias("features"))).alias("value")).write.text(path)
+    return readers.boundaries(polygons.sparkSession, path).select("ord", "name", "gb", geometry.polygon_area(F.col("rings")).alias("area"))
+
+
+@query("a14_lvis_records", "v_anns", sql="select image_id, count(*) as n, cast(sum(category_id) as bigint) as categories, cast(image_id % 80 as int) as absent from v_anns group by image_id")
+def lvis_records(anns: DataFrame) -> DataFrame:
+    """Written as JSON, and read back in splits; each image has a category that isn't there."""
+    ann = F.struct("image_id", (F.col("category_id") + 1).alias("category_id"), "iscrowd")
+    image = F.struct(F.col("image_id").alias("id"), F.array((F.col("image_id") % 80).cast("int")).alias("neg_category_ids"))
+    path = _path(anns, "lvis")
+    # Line numbers repeat within an order; an id is an image's and the place in its list.
+    numbered = F.transform(F.collect_list(ann), lambda a, i: a.withField("id", a["image_id"] * 1000 + i))
+    anns.groupBy("image_id").agg(numbered.alias("annotations")).select(F.to_json(F.struct(F.array(image).alias("images"), "annotations")).alias("value")).write.text(path)
+    total = F.aggregate("annotations", F.lit(0).cast("long"), lambda s, a: s + a["category_id"])
+    read = readers.lvis(anns.sparkSession, path)
+    return read.select("image_id", F.size("annotations").cast("long").alias("n"), total.alias("categories"), F.col("neg_category_ids")[0].alias("absent"))
+
+
+@query("a15_voc_objects", "v_boxes", sql="select concat(cast(image_id as varchar), '.jpg') as file_name, 300 as width, 200 as height, cast(category_id as int) as category_id, x0, y0, x1, y1, case when box_id % 7 = 0 then 1 else 0 end as difficult from v_boxes where is_gt = 1")
+def voc_objects(boxes: DataFrame) -> DataFrame:
+    """Truths as an XML document for each image."""
+    tag = lambda name, value: F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
+    corner = lambda name, value: tag(name, value.cast("string"))
+    box = F.concat(corner("xmin", F.col("x0") + 1), corner("ymin", F.col("y0") + 1), corner("xmax", F.col("x1")), corner("ymax", F.col("y1")))
+    each = tag("object", F.concat(tag("name", F.concat(F.lit("n"), F.col("category_id").cast("string"))), tag("difficult", (F.col("box_id") % 7 == 0).cast("int").cast("string")), tag("bndbox", box)))
+    docs = boxes.where("is_gt = 1").groupBy("image_id").agg(F.array_join(F.collect_list(each), "").alias("objects"))
+    size = F.lit("<size><width>300</width><height>200</height></size>")
+    path = _path(boxes, "voc")
+    docs.select(tag("annotation", F.concat(tag("filename", F.concat(F.col("image_id").cast("string"), F.lit(".jpg"))), size, F.col("objects")))).write.text(path)
+    return readers.pascal_voc(boxes.sparkSession, path, [f"n{k}" for k in range(5)], lines=True)
+
+
+@query("a16_panoptic_segments", "v_anns", sql="""select image_id, cast(ann_no as bigint) as segment_id, case when category_id = 79 then null when category_id % 2 = 0 then category_id // 2 else 40 + category_id // 2 end as category_id, category_id % 2 = 0 as isthing from v_anns""")
+def panoptic_segments(anns: DataFrame) -> DataFrame:
+    """Even categories are things, odd ones stuff; the last is not known."""
+    segments = F.collect_list(F.struct(F.col("ann_no").alias("id"), "category_id")).alias("segments_info")
+    path = _path(anns, "panoptic")
+    anns.groupBy("image_id").agg(segments).select(F.to_json(F.struct(F.array(F.struct("image_id", "segments_info")).alias("annotations"))).alias("value")).write.text(path)
+    return readers.panoptic(anns.sparkSession, path, {k: k // 2 for k in range(0, 80, 2)}, {k: 40 + k // 2 for k in range(1, 79, 2)})
+
+
+@query("b2_final_layer", "v_polygons", sql="select fid as uid, cast(x0 as int) as pre_code, concat('p', cast(x0 as varchar)) as pre_name, cast(y0 as int) as curr_code, 'c' as curr_name, cast(null as varchar) as province, concat('g', cast(fid as varchar)) as geometry from v_polygons")
+def final_layer(polygons: DataFrame) -> DataFrame:
+    """Written with its seven columns, and read back; other columns aren't written."""
+    path = _path(polygons, "final")
+    named = polygons.select(F.col("fid").alias("uid"), F.col("x0").cast("int").alias("pre_code"), F.concat(F.lit("p"), F.col("x0").cast("string")).alias("pre_name"), F.col("y0").cast("int").alias("curr_code"), F.lit("c").alias("curr_name"), F.lit(None).cast("string").alias("province"), F.concat(F.lit("g"), F.col("fid").cast("string")).alias("geometry"), "scene_id")
+    writers.final_layer(named, path)
+    return polygons.sparkSession.read.parquet(path)
+
+
 @query("a7_decoded_names", "customer", sql="select c_custkey, concat(c_name, case when c_custkey % 2 = 0 then ' café' else ' 省份' end) as name from customer")
 def decoded_names(customer: DataFrame) -> DataFrame:
     """Names as bytes of UTF-8 and of GBK."""

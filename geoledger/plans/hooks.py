@@ -42,3 +42,12 @@ def road_graph(cells: DataFrame) -> DataFrame:
     found = vertices.groupBy("scene_id").agg(F.count("*").alias("vertices"), F.sum("degree").cast("long").alias("degrees"))
     joined = found.join(edges.groupBy("scene_id").agg(F.count("*").alias("edges"), F.sum("cells").alias("cells")), "scene_id", "full").join(drawn, "scene_id", "left")
     return joined.select("scene_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("vertices", "degrees", "edges", "cells", "points")])
+
+
+@query("u5_loaded_labels", "v_cells", sql="""select concat(cast(scene_id as varchar), '/', cast(r as varchar)) as path, cast(0 as bigint) as r, row_number() over (partition by scene_id, r order by c) - 1 as c, cast(post_class as bigint) as v from v_cells""")
+def loaded_labels(cells: DataFrame) -> DataFrame:
+    """A row of a scene as a file of numbers with commas, decoded by a function of the user's."""
+    row = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c", "post_class"))), lambda x: x["post_class"].cast("string")), ",")
+    path = F.concat(F.col("scene_id").cast("string"), F.lit("/"), F.col("r").cast("string"))
+    files = cells.groupBy("scene_id", "r").agg(F.encode(row, "UTF-8").alias("content")).select(path.alias("path"), "content")
+    return hooks.loaded_labels(files, lambda content: [[int(x) for x in line.split(",")] for line in content.decode().splitlines()])

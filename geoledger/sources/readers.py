@@ -168,10 +168,13 @@ def lvis(spark: SparkSession, file: str) -> DataFrame:
     return coco(spark, file, shift=1)
 
 
-def pascal_voc(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
-    """(file_name, width, height, category_id, x0, y0, x1, y1, difficult): one row per object; the first pixel is 0."""
+def pascal_voc(spark: SparkSession, folder: str, names: list[str], lines: bool = False) -> DataFrame:
+    """(file_name, width, height, category_id, x0, y0, x1, y1, difficult): one row per object; the first pixel is 0.
+
+    A file is one document, or with ``lines`` each of its lines is one, so that files are read in splits.
+    """
     kind = "filename string, size struct<width:int,height:int>, object array<struct<name:string,difficult:int,bndbox:struct<xmin:double,ymin:double,xmax:double,ymax:double>>>"
-    raw = spark.read.format("xml").option("rowTag", "annotation").schema(kind).load(folder)
+    raw = spark.read.format("xml").option("rowTag", "annotation").option("multiLine", not lines).schema(kind).load(folder)
     each = raw.select(F.col("filename").alias("file_name"), "size.width", "size.height", F.explode("object").alias("o"))
     known = F.array(*[F.lit(n) for n in names])
     box = F.col("o.bndbox")
