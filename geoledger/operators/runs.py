@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from geoledger.functions.text import log_header, log_time
@@ -103,9 +109,32 @@ def latest_attempts(attempts: DataFrame) -> DataFrame:
 
 
 def fingerprint(files: DataFrame, keys: list[str]) -> DataFrame:
-    """A SHA-256 of each key's sorted files (path, size, mtime)."""
+    """A SHA-256 of each key's sorted files (path, size, mtime); keys of NaN are one, as in a grouping.
+
+    Files are dealt by key and sorted, and hashed as they pass: a task holds one batch, however many files a key has.
+    """
     own = F.concat_ws("|", "path", F.col("size").cast("string"), F.col("mtime").cast("string"))
-    return files.groupBy(*keys).agg(F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(own))), 256).alias("fingerprint"))
+    schema = StructType([*[files.schema[k] for k in keys], StructField("fingerprint", StringType())])
+    kinds = to_arrow_schema(schema)
+
+    def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: tuple = ()
+        digest = None
+        for part in parts:
+            done = []
+            for *key, line in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                if digest is not None and all(x == y or x != x and y != y for x, y in zip(key, now, strict=True)):
+                    digest.update(b"\n" + line.encode())
+                    continue
+                if digest is not None:
+                    done.append((*now, digest.hexdigest()))
+                now, digest = tuple(key), hashlib.sha256(line.encode())
+            yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, row, strict=True)) for row in done], schema=kinds)
+        if digest is not None:
+            yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, (*now, digest.hexdigest()), strict=True))], schema=kinds)
+
+    listed = files.select(*keys, own.alias("_line"))
+    return listed.repartition(*keys).sortWithinPartitions(*keys, "_line").mapInArrow(each, schema)
 
 
 def complete(expected: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -28,6 +28,22 @@ def two_model_change(events: DataFrame) -> DataFrame:
     return events.select("event_id", scoring.changed((F.col("value") - 20) / 10, (F.col("user_id") % 50 - 25) * 1.0).alias("change"))
 
 
+def _wave(step: float, shift: float):  # noqa: ANN202
+    """A stand-in for a user's network of one score."""
+    weights = np.cos(np.arange(64) * step + shift)
+    return lambda: lambda x: (np.asarray(x, np.float64).reshape(-1, 64) @ weights)[:, None].astype(np.float32)
+
+
+@query("u2_model_changes", "embeddings", sql="""with s as (select vec_id, list_sum(list_transform(embedding, lambda x, i: x::double * cos((i - 1) * 1.0e0))) as a, list_sum(list_transform(embedding, lambda x, i: x::double * cos((i - 1) * 0.5e0 + 1.0e0))) as b from embeddings)
+select vec_id, case when a > 0 then 1 else 0 end as one, case when a > 0 or b > 0 then 1 else 0 end as change from s""")
+def model_changes(embeddings: DataFrame) -> DataFrame:
+    """Two models score each vector; either of them may see change."""
+    both = scoring.scored(embeddings.select("vec_id", "embedding"), "embedding", _wave(1.0, 0.0), [64], batch=32, out="a")
+    both = scoring.scored(both, "embedding", _wave(0.5, 1.0), [64], batch=16, out="b")
+    a, b = F.col("a")[0], F.col("b")[0]
+    return both.select("vec_id", scoring.changed(a).alias("one"), scoring.changed(a, b).alias("change"))
+
+
 @query("h23_low_frequency_transfer", "v_cells")
 def low_frequency_transfer(cells: DataFrame) -> DataFrame:
     bands = cells.select("scene_id", "r", "c", (F.col("pre_class") * 18).alias("pre"), (F.col("post_class") * 18).alias("post"))
@@ -40,14 +56,19 @@ def adaptive_equalisation(cells: DataFrame) -> DataFrame:
     return scoring.by_tile(band, 64, ["b"], lambda x: scoring.equalised(np.clip(x, 0, 255))).groupBy("scene_id").agg(F.sum("v").alias("total"), F.max("v").alias("top"))
 
 
-@query("h46_turned_averages", "embeddings", sql="select vec_id, round(list_sum(list_transform(embedding, lambda x: x::double)) / 64, 5) as mean from embeddings")
+@query("h46_turned_averages", "embeddings", sql="""select vec_id, round(list_sum(list_transform(embedding, lambda x, i: x::double * i * 0.875e0
+ * (pow((i - 1) // 8, 2) + pow(7 - (i - 1) // 8, 2) + pow((i - 1) % 8, 2) + pow(7 - (i - 1) % 8, 2)))) / 4096, 5) as moment from embeddings""")
 def turned_averages(embeddings: DataFrame) -> DataFrame:
-    """The mean over a grid stays what it is under turns, mirrors and averages of a model that looks at single cells."""
+    """A model that weighs a cell by the square of its row times its column: its mean over the eight forms is a sum of squares.
+
+    The moment counts each cell by its place, so that a form turned back wrongly would be seen.
+    """
     row = lambda k: F.slice("embedding", 8 * k + 1, 8).cast("array<double>")
     grids = embeddings.select("vec_id", F.array(*[row(k) for k in range(8)]).alias("grid"))
-    out = scoring.averaged(grids, "grid", lambda x: x, "mean_grid")
-    total = F.aggregate(F.flatten("mean_grid"), F.lit(0.0), lambda s, v: s + v)
-    return out.select("vec_id", F.round(total / 64, 5).alias("mean"))
+    weights = np.outer(np.arange(8.0) ** 2, np.arange(8.0))
+    out = scoring.averaged(grids, "grid", lambda x: x * weights, "mean_grid")
+    placed = F.transform(F.flatten("mean_grid"), lambda v, i: v * (i + 1))
+    return out.select("vec_id", F.round(F.aggregate(placed, F.lit(0.0), lambda s, v: s + v) / 4096, 5).alias("moment"))
 
 
 _TURNED = """select image_id, category_id, box_id, is_gt, case when box_id % 2 = 1 then (x0 + x1 - y1 + y0) / 2 else x0 end as x0, case when box_id % 2 = 1 then (y0 + y1 - x1 + x0) / 2 else y0 end as y0,
