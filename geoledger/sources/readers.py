@@ -45,12 +45,13 @@ def vector_layer(features: DataFrame, geometry: str, crs: str = "crs") -> DataFr
 def boundaries(spark: SparkSession, file: str) -> DataFrame:
     """(ord, name, gb, rings) of a GeoJSON file's polygons with a name and a code, in source order; none is an error."""
     kind = "properties struct<name:string,gb:string>, geometry struct<type:string,coordinates:string>"
-    raw = json_elements(spark, file, ["features"]).select(F.col("ord").cast("int").alias("ord"), F.from_json("value", kind).alias("f"))
+    raw = json_elements(spark, file, ["features"]).select("file", F.col("ord").cast("int").alias("ord"), F.from_json("value", kind).alias("f"))
     named = raw.where("coalesce(f.properties.name, '') != '' and coalesce(f.properties.gb, '') != '' and upper(f.geometry.type) like '%POLYGON%'")
     depth = F.when(F.upper("f.geometry.type") == "MULTIPOLYGON", F.flatten(F.from_json("f.geometry.coordinates", "array<array<array<array<double>>>>")))
     rings = F.coalesce(depth, F.from_json("f.geometry.coordinates", "array<array<array<double>>>"))
     points = F.transform(rings, lambda ring: F.transform(ring, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))))
-    out = named.select("ord", F.col("f.properties.name").alias("name"), F.col("f.properties.gb").alias("gb"), points.alias("rings"))
+    # Elements come from a grouping, in no order.
+    out = named.orderBy("file", "ord").select("ord", F.col("f.properties.name").alias("name"), F.col("f.properties.gb").alias("gb"), points.alias("rings"))
     if out.isEmpty():
         raise ValueError(f"no named polygons in {file}")
     return out
