@@ -64,3 +64,26 @@ def test_strangers_get_the_first_truth_of_their_image(spark):
     truths = spark.createDataFrame([(1, 20), (1, 19)], "image long, truth long")
     found = sorted(tuple(r) for r in overlay.with_strangers(pairs, dets, truths, ["image"], "det", "truth").collect())
     assert found == [(1, 10, 20, 0.5), (1, 11, 19, 0.0)]
+
+
+@pytest.mark.parametrize("crowd", [0, 140, 1000])
+def test_keys_alone_or_grids_give_the_same(spark, monkeypatch, crowd):
+    """Whether all, some or no keys are crowded; rows without a pair come once, those without a key or a finite box too."""
+    monkeypatch.setattr(overlay, "CROWD", crowd)
+    rng = random.Random(4)
+    a, b = [(k, *r[1:]) for k, r in enumerate(boxes(rng, 90))] + [(500, None, 0.0, 0.0, 1.0, 1.0), (501, 7, 0.0, 0.0, 1.0, 1.0)], boxes(rng, 60) + [(900 + k, 0, 0.0, 0.0, 1.0, 1.0) for k in range(60)]
+    left, right = spark.createDataFrame(a, BOX), spark.createDataFrame(b, BOX)
+    pairs = [w[:2] for w in plain([r for r in a if r[1] is not None], b, ["g"])]
+    assert sorted((r["i"], r["j"]) for r in overlay.overlapping(left, right, ["g"]).selectExpr("a.k as i", "b.k as j").collect()) == pairs
+    found = overlay.pairwise_or_alone(left, right, ["g"], "k").selectExpr("a.k as i", "b.k as j", "iou").collect()
+    assert sorted((r["i"], r["j"]) for r in found if r["j"] is not None) == pairs
+    assert sorted(r["i"] for r in found if r["j"] is None) == sorted({r[0] for r in a} - {p[0] for p in pairs})
+    assert all((r["j"] is None) == (r["iou"] is None) for r in found)
+
+
+def test_small_keys_take_one_row_a_box(spark):
+    """Boxes of keys that few share aren't copied for cells and levels before they are dealt."""
+    rng = random.Random(2)
+    left, right = spark.createDataFrame(boxes(rng, 40), BOX), spark.createDataFrame(boxes(rng, 40), BOX)
+    plan = overlay.overlapping(left, right, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Union" not in plan
