@@ -146,36 +146,76 @@ def greedy_matches(pairs: DataFrame, keys: list[str], det: str, truth: str, thre
     With a column ``crowd`` truths for which it is true stand for many: their ``iou`` is taken to be the share of the detection
     that they cover, any number of detections may take them, after all others, and those that do don't count.
     """
+    ranges = areas or {"all": (0.0, 0.0)}
+    levels = [(area, float(least)) for area in ranges for least in thresholds]
+    kind = pairs.schema[det].dataType.simpleString()
+    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{det} {kind}", "score double", "area string", "threshold double", "place int", "tp int"])
+
+    def each(*columns: list) -> list[tuple]:
+        key = [c[0] for c in columns[: len(keys)]]
+        return [
+            (*key, d, score, *level, place, hits >> i & 1)
+            for d, score, place, counts, hits in _taken(columns[len(keys) :], thresholds, list(ranges.values()))
+            for i, level in enumerate(levels)
+            if counts >> i & 1
+        ]
+
+    return _by_image(_to_match(pairs, keys, det, truth, areas), keys, each, schema)
+
+
+def _to_match(pairs: DataFrame, keys: list[str], det: str, truth: str, areas: dict[str, tuple[float, float]] | None) -> DataFrame:
     sizes = [F.col(c) if areas else F.lit(0.0).alias(c) for c in ("det_size", "truth_size")]
     crowds = F.coalesce(F.col("crowd"), F.lit(False)) if "crowd" in pairs.columns else F.lit(False)
+    return pairs.select(*keys, det, "score", sizes[0], truth, sizes[1], "iou", crowds.alias("crowd"))
+
+
+def _taken(columns: list[list], thresholds: list[float], ranges: list[tuple[float, float]]) -> list[tuple]:
+    """(det, score, place, counts, hits) of one key's detections by falling score: a bit for each range and, within it, each threshold."""
+    found: dict = {}
+    dets = {}
+    for d, score, size, t, t_size, q, crowd in zip(*columns, strict=True):
+        dets[d] = (score, size)
+        if t is not None and q is not None and q >= min(thresholds):
+            found.setdefault(d, []).append((q, t, t_size, crowd))
+    order = sorted(dets.items(), key=lambda x: (-x[1][0], x[0]))
+    counts, hits = dict.fromkeys(dets, 0), dict.fromkeys(dets, 0)
+    for i, (low, high) in enumerate(ranges):
+        first = i * len(thresholds)
+        all_ = ((1 << len(thresholds)) - 1) << first
+        for d, (_, size) in order:
+            if low <= size <= high:
+                counts[d] |= all_
+        inside = lambda size: low <= size <= high  # noqa: B023, E731
+        best = [(d, sorted(found[d], key=lambda x: (x[3] or not inside(x[2]), -x[0], x[1]))) for d, _ in order if d in found]
+        for j, least in enumerate(thresholds):
+            bit = 1 << first + j
+            used: set = set()
+            for d, of in best:
+                hit = next(((t, inside(s) and not crowd) for q, t, s, crowd in of if q >= least and (crowd or t not in used)), None)
+                if hit is not None:
+                    used.add(hit[0])
+                    counts[d] = counts[d] | bit if hit[1] else counts[d] & ~bit
+                    hits[d] |= bit if hit[1] else 0
+    return [(d, float(score), place, counts[d], hits[d]) for place, (d, (score, _)) in enumerate(order, 1)]
+
+
+def greedy_levels(pairs: DataFrame, keys: list[str], det: str, truth: str, thresholds: list[float], areas: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """(keys, det, score, place, counts, hits): the matches of :func:`greedy_matches` as one row a detection.
+
+    ``counts`` has a bit for each range of areas and, within it, each threshold, in their order, set where the detection counts; ``hits``
+    those at which it takes a truth. There are 63 at most.
+    """
     ranges = areas or {"all": (0.0, 0.0)}
+    if len(ranges) * len(thresholds) > 63:
+        raise ValueError("there are 63 ranges and thresholds at most; greedy_matches takes any number")
     kind = pairs.schema[det].dataType.simpleString()
-    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{det} {kind}", "score double", "area string", "threshold double", "place int", "tp int"])
+    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), f"{det} {kind}", "score double", "place int", "counts long", "hits long"])
 
     def each(*columns: list) -> list[tuple]:
         key = [c[0] for c in columns[: len(keys)]]
-        found: dict = {}
-        dets = {}
-        for d, score, size, t, t_size, q, crowd in zip(*columns[len(keys) :], strict=True):
-            dets[d] = (score, size)
-            if t is not None and q is not None:
-                found.setdefault(d, []).append((q, t, t_size, crowd))
-        order = sorted(dets.items(), key=lambda x: (-x[1][0], x[0]))
-        rows = []
-        for area, (low, high) in ranges.items():
-            inside = lambda size: low <= size <= high  # noqa: B023, E731
-            best = {d: sorted(of, key=lambda x: (x[3] or not inside(x[2]), -x[0], x[1])) for d, of in found.items()}
-            for least in thresholds:
-                used: set = set()
-                for place, (d, (score, size)) in enumerate(order, 1):
-                    hit = next(((t, inside(s) and not crowd) for q, t, s, crowd in best.get(d, ()) if q >= least and (crowd or t not in used)), None)
-                    if hit is not None:
-                        used.add(hit[0])
-                    if hit[1] if hit is not None else inside(size):
-                        rows.append((*key, d, float(score), area, float(least), place, int(hit is not None)))
-        return rows
+        return [(*key, *row) for row in _taken(columns[len(keys) :], thresholds, list(ranges.values()))]
 
-    return _by_image(pairs.select(*keys, det, "score", sizes[0], truth, sizes[1], "iou", crowds.alias("crowd")), keys, each, schema)
+    return _by_image(_to_match(pairs, keys, det, truth, areas), keys, each, schema)
 
 
 def mask_overlaps(dets: DataFrame, truths: DataFrame, keys: list[str], det: str, truth: str, crowd: str | None = None, tile: int = 64) -> DataFrame:
@@ -247,6 +287,82 @@ def coco_precision(matches: DataFrame, truths: DataFrame, category: str, det: st
     return wanted.join(scores, keys, "left").na.fill(0.0, ["ap", "ar"]).select(*keys, "ap", "ar")
 
 
+def coco_precision_of_levels(matches: DataFrame, truths: DataFrame, category: str, det: str, thresholds: list[float], limits: dict[str, list[int]]) -> DataFrame:
+    """The same from (category, det, score, place, counts, hits) of :func:`greedy_levels`, whose ranges of areas are those of ``limits``.
+
+    A detection stays one row, whatever the numbers of thresholds, ranges and limits. Counts of the slices of scores above go ahead of
+    a slice's rows; its task adds to them row by row and sends on the best precision at each of 101 recalls.
+    """
+    keys = [(area, i * len(thresholds) + j, k, float(t)) for i, area in enumerate(limits) for j, t in enumerate(thresholds) for k in limits[area]]
+    bits, mosts = np.array([x[1] for x in keys]), np.array([x[2] for x in keys])
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(x[1]).alias("bit"), F.lit(x[2]).alias("most"), F.lit(x[0]).alias("area"), F.lit(x[3]).alias("threshold")) for n, x in enumerate(keys)]))
+    part = [category, "slice"]
+    rows = written(matches.select(category, F.floor(F.col("score") * SLICES).alias("slice"), "score", det, "place", "counts", "hits").where("slice is not null"), "levels")
+    # Few states within a slice, as few truths are met and places count by the limits they pass only.
+    passed = sum((F.col("place") > k).cast("int") for k in sorted(set(mosts.tolist())))
+    states = rows.groupBy(*part, "counts", "hits", passed.alias("passed")).agg(F.count("*").alias("n"), F.min("place").alias("place"))
+    states = states.withColumn("k", each).where(F.col("place") <= F.col("k.most"))
+    of = lambda c: F.sum(F.col("n") * F.expr(f"shiftright({c}, k.bit) & 1"))
+    sums = states.groupBy(*part, F.col("k.n").alias("key")).agg(of("hits").alias("tps"), of("counts").alias("seen"))
+    # A slice without a row at one of the limits has the counts above all the same.
+    every = rows.select(*part).distinct().withColumn("k", each).select(*part, F.col("k.n").alias("key"), F.col("k.area").alias("area"))
+    above = Window.partitionBy(category, "key").orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    before = every.join(sums, [*part, "key"], "left").na.fill(0, ["tps", "seen"]).withColumns({c: F.coalesce(F.sum(c).over(above), F.lit(0)) for c in ("tps", "seen")})
+    before = before.join(truths.select(category, "area", "truths"), [category, "area"], "left")
+    heads = before.groupBy(*part).agg(F.sort_array(F.collect_list(F.struct("key", "tps", "seen", F.coalesce("truths", F.lit(0)).cast("long").alias("truths")))).alias("h"))
+    heads = heads.select(*part, *[F.col(f"h.{c}").cast("array<long>").alias(f"{c}_above") for c in ("tps", "seen", "truths")])
+    both = rows.unionByName(heads, allowMissingColumns=True).withColumn("is_row", F.col("counts").isNotNull())
+    ordered = both.repartition(*part).sortWithinPartitions(*part, "is_row", F.desc("score"), det)
+    kind = matches.schema[category].dataType
+    schema = StructType().add(category, kind).add("key", "integer").add("step", "integer").add("precision", "double").add("recall", "double")
+    kinds = to_arrow_schema(schema)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tps = seen = total = np.zeros(len(keys), np.int64)
+        best: dict = {}
+
+        def out() -> pa.RecordBatch:
+            done = [(c, n, step, p, r) for (c, n, step), (p, r) in best.items()]
+            best.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k.type) for c, k in zip(zip(*done, strict=True) if done else [()] * len(kinds), kinds, strict=True)], schema=kinds)
+
+        for batch in parts:
+            cut = np.flatnonzero(~batch.column("is_row").to_numpy(zero_copy_only=False))
+            ends = sorted({0, *cut.tolist(), batch.num_rows})
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                head = a in cut
+                if head:
+                    tps, seen, total = (np.array(batch.column(f"{c}_above")[a].as_py(), np.int64) for c in ("tps", "seen", "truths"))
+                lines = batch.slice(a + head, b - a - head)
+                if not lines.num_rows:
+                    continue
+                number = lambda c: lines.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[:, None]  # noqa: B023, E731
+                within = number("place") <= mosts
+                hit = ((number("hits") >> bits) & 1) * within
+                hits, counts = tps + np.cumsum(hit, 0), seen + np.cumsum(((number("counts") >> bits) & 1) * within, 0)
+                tps, seen = hits[-1], counts[-1]
+                # Precision falls between true positives, so that the best at a recall is at one of them.
+                at, n = np.nonzero(hit * (total > 0))
+                precision, recall = hits[at, n] / counts[at, n], hits[at, n] / total[n]
+                name = lines.column(category)[0].as_py()
+                for k, step, p, r in zip(n.tolist(), np.floor(recall * 100 + 1e-9).astype(int).tolist(), precision.tolist(), recall.tolist(), strict=True):
+                    old = best.get((name, k, step), (0.0, 0.0))
+                    best[name, k, step] = (max(old[0], p), max(old[1], r))
+                if len(best) > ROWS:
+                    yield out()
+        yield out()
+
+    at = [category, "key", "step"]
+    best = ordered.mapInArrow(run, schema).groupBy(*at).agg(F.max("precision").alias("precision"), F.max("recall").alias("recall"))
+    curve = Window.partitionBy(category, "key").orderBy("step")
+    envelope = F.max("precision").over(curve.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    # A step stands for the recalls between the step before and itself; the first one for 0 too.
+    reached = F.col("step") - F.coalesce(F.lag("step").over(curve), F.lit(-1))
+    scores = best.withColumn("part", reached * envelope).groupBy(category, "key").agg((F.sum("part") / 101).alias("ap"), F.max("recall").alias("ar"))
+    wanted = truths.select(category, "area").withColumn("k", each).where("area = k.area").select(category, "area", "k.most", "k.threshold", F.col("k.n").alias("key"))
+    return wanted.join(scores, [category, "key"], "left").na.fill(0.0, ["ap", "ar"]).select(category, "area", "most", "threshold", "ap", "ar")
+
+
 def panoptic_quality(pairs: DataFrame) -> DataFrame:
     """From (segment_category, isthing, pixel counts) PQ, SQ and RQ for all, things and stuff: a pair counts above IoU 0.5.
 
@@ -376,11 +492,11 @@ def federated_precision(dets: DataFrame, truths: DataFrame, pairs: DataFrame, ne
     key = [image, category]
     judged = best.join(truths.select(*key).union(negatives.select(*key)).distinct(), key, "left_semi")
     met = judged.join(pairs.select(det, truth, "iou").distinct(), det, "left")
-    found = greedy_matches(met, key, det, truth, thresholds)
+    found = greedy_levels(met, key, det, truth, thresholds)
     open_ = partial.select(*key).distinct().withColumn("_open", F.lit(True))
-    counted = found.join(open_, key, "left").where("tp = 1 or _open is null").drop("_open")
+    counted = found.join(open_, key, "left").withColumn("counts", F.when(F.col("_open"), F.col("hits")).otherwise(F.col("counts"))).drop("_open")
     counts = truths.where(F.col(category).isNotNull() & F.col(image).isNotNull()).groupBy(category).agg(F.count_distinct(truth).alias("truths")).withColumn("area", F.lit("all"))
-    scores = coco_precision(counted, counts, category, det, thresholds, {"all": [most]})
+    scores = coco_precision_of_levels(counted, counts, category, det, thresholds, {"all": [most]})
     return scores.groupBy(category).agg(F.avg("ap").alias("ap"))
 
 
