@@ -114,6 +114,8 @@ def stretch_table(cells: DataFrame, keys: list[str], value: str, left: float = 0
     """
     whole = Window.partitionBy(*keys)
     upto = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Sums of fractions depend on the order of their terms, and are rounded to whole cells: it is that of the values.
+    ordered = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     every = cells.select(*keys).distinct().withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     counts = histogram(cells, keys, value, bins).withColumnRenamed(value, "v")
     dense = every.join(counts, [*keys, "v"], "left").na.fill(0, ["n"]).withColumn("q", F.sum("n").over(upto) / (F.sum("n").over(whole) + 1e-5))
@@ -127,7 +129,7 @@ def stretch_table(cells: DataFrame, keys: list[str], value: str, left: float = 0
         t = t.withColumn("base", F.coalesce(before(a), F.lit(1.0))).withColumn("to", F.when(here, spread.cast("double")).otherwise(F.col("to")))
 
     top = (F.col("v") >= F.col("clip1")) & (F.col("v") < F.col("high"))
-    over = lambda c: F.sum(F.when(F.col("top"), c)).over(whole)
+    over = lambda c: F.sum(F.when(F.col("top"), c)).over(ordered)
     t = t.withColumns({"base": F.coalesce(before("clip1"), F.lit(1.0)), "top": top, "h": F.col("n").cast("double")})
     t = t.withColumn("most", over(F.col("h")) * limit)
     t = t.withColumns({"excess": over(F.greatest(F.col("h") - F.col("most"), F.lit(0.0))), "h": F.least("h", "most")})
@@ -140,7 +142,7 @@ def stretch_table(cells: DataFrame, keys: list[str], value: str, left: float = 0
     t = t.withColumns({"m": F.sum(under.cast("int")).over(whole), "j": F.sum(under.cast("int")).over(upto), "left_over": F.greatest(F.ceil("excess"), F.lit(0))})
     step = F.floor(F.col("j") * F.col("left_over") / F.col("m")) - F.floor((F.col("j") - 1) * F.col("left_over") / F.col("m"))
     t = t.withColumn("h", F.when(under, F.col("h") + step).when(F.col("top"), F.col("h")).otherwise(0.0))
-    share = F.sum("h").over(upto) / (F.sum("h").over(whole) + 0.01)
+    share = F.sum("h").over(upto) / (F.sum("h").over(ordered) + 0.01)
     t = t.withColumn("to", F.when(F.col("top"), F.floor((256 - F.col("base")) * share + F.col("base")).cast("double")).otherwise(F.col("to")))
     t = t.withColumn("to", F.floor(F.least(F.greatest("to", F.lit(1.0)), F.lit(255.0))).cast("double"))
     if gamma is not None:
