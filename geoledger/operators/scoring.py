@@ -177,6 +177,39 @@ def assigned(cost: np.ndarray) -> list[tuple[int, int]]:
     return sorted((b, a) if flip else (a, b) for a, b in pairs)
 
 
+def assigned_above(gain: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs (row, column) of at least ``least`` gain: as many as can be, and of those the ones of most gain in all.
+
+    Rows and columns that no such pair links don't matter to each other, so that each linked group is assigned by itself.
+    """
+    rows, columns = (x.tolist() for x in np.nonzero(gain >= least))
+    of_row: dict[int, list[int]] = {}
+    of_column: dict[int, list[int]] = {}
+    for i, j in zip(rows, columns, strict=True):
+        of_row.setdefault(i, []).append(j)
+        of_column.setdefault(j, []).append(i)
+    pairs, seen = [], set()
+    for first in of_row:
+        if first in seen:
+            continue
+        group, other, todo = {first}, set(), [first]
+        while todo:
+            for j in of_row[todo.pop()]:
+                if j not in other:
+                    other.add(j)
+                    new = [i for i in of_column[j] if i not in group]
+                    group.update(new)
+                    todo += new
+        seen |= group
+        if len(group) == 1 or len(other) == 1:
+            pairs.append(min(((i, j) for i in sorted(group) for j in sorted(other)), key=lambda p: -gain[p]))
+            continue
+        at, to = sorted(group), sorted(other)
+        part = gain[np.ix_(at, to)]
+        pairs += [(at[i], to[j]) for i, j in assigned(np.where(part >= least, -part, 1e5)) if part[i, j] >= least]
+    return sorted(pairs)
+
+
 def _iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     w = np.clip(np.minimum(a[:, None, 2], b[None, :, 2]) - np.maximum(a[:, None, 0], b[None, :, 0]), 0, None)
     h = np.clip(np.minimum(a[:, None, 3], b[None, :, 3]) - np.maximum(a[:, None, 1], b[None, :, 1]), 0, None)
@@ -194,7 +227,7 @@ def follow(live: list, fresh: int, now: np.ndarray, least: float, lost_frames: i
     if method == "iou":
         pairs = list(zip(*np.nonzero(iou >= least), strict=True))
     else:
-        pairs = [(i, j) for i, j in (assigned(np.where(iou >= least, -iou, 1e5)) if iou.size else []) if iou[i, j] >= least]
+        pairs = assigned_above(iou, least) if iou.size else []
     got, used = {}, set()
     for i, j in pairs:
         if i not in got and j not in used:
