@@ -461,10 +461,16 @@ def proposal_recall(pairs: DataFrame, truths: DataFrame, keys: list[str], det: s
     covered = _by_image(ranked.where("iou > 0").select(*keys, det, truth, "truth_size", "iou", "_k"), keys, each, schema).select("area", "most", truth, "iou")
     ranges = F.array(*[F.struct(F.lit(n).alias("area"), F.lit(float(a)).alias("low"), F.lit(float(b)).alias("high")) for n, (a, b) in areas.items()])
     sized = truths.withColumn("_a", F.explode(ranges)).where(F.col("truth_size").between(F.col("_a.low"), F.col("_a.high")))
-    sized = sized.select(truth, F.col("_a.area").alias("area"), F.explode(F.array(*[F.lit(n) for n in limits])).alias("most"))
-    both = sized.join(covered, ["area", "most", truth], "left").withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
-    hit = (F.coalesce("iou", F.lit(0.0)) >= F.col("threshold")).cast("double")
-    return both.groupingSets([["area", "most", "threshold"], ["area", "most"]], "area", "most", "threshold").agg(F.avg(hit).alias("recall")).select("area", "most", "threshold", "recall")
+    total = sized.groupBy(F.col("_a.area").alias("area")).agg(F.count("*").alias("truths"))
+    # A truth has a row for each pair of area and number that covers it; the others are counted only.
+    met = covered.join(truths.select(truth, "truth_size"), truth).withColumn("_a", F.explode(ranges))
+    met = met.where("area = _a.area").where(F.col("truth_size").between(F.col("_a.low"), F.col("_a.high")))
+    hit = met.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds]))).where("iou >= threshold")
+    hits = hit.groupBy("area", "most", "threshold").agg(F.count("*").alias("hits"))
+    every = total.withColumn("most", F.explode(F.array(*[F.lit(n) for n in limits]))).withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
+    both = every.join(hits, ["area", "most", "threshold"], "left").na.fill(0, ["hits"])
+    recall = (F.sum("hits") / F.sum("truths")).alias("recall")
+    return both.groupingSets([["area", "most", "threshold"], ["area", "most"]], "area", "most", "threshold").agg(recall).select("area", "most", "threshold", "recall")
 
 
 def best_proposals(boxes: DataFrame, image: str, level: str, id_: str, before: int, threshold: float, after: int, least_side: float) -> DataFrame:
