@@ -86,10 +86,11 @@ def logistic(x: Column) -> Column:
 
 def softmax(scores: Column) -> Column:
     """Probabilities of an array of scores; the largest is taken off first, so that nothing overflows."""
-    top = F.array_max(scores)
-    exps = F.transform(scores, lambda x: F.exp(x - top))
-    total = F.aggregate(exps, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(exps, lambda x: x / total)
+    # An expression within a lambda is worked out for each element again; an array of one makes it the lambda's variable.
+    once = lambda value, use: F.transform(F.array(value), use)[0]
+    exps = once(F.array_max(scores), lambda top: F.transform(scores, lambda x: F.exp(x - top)))
+    shares = lambda e: once(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(e, lambda x: x / total))
+    return once(exps, shares)
 
 
 def binary_mask(x: Column) -> Column:
