@@ -206,10 +206,13 @@ def padded(cells: DataFrame, scene: str, value: str, height: int, width: int) ->
 
 def mirrored(cells: DataFrame, scene: str, value: str, height: int, width: int, to_height: int, to_width: int) -> DataFrame:
     """The edge's neighbours mirrored beyond it, the edge itself not repeated."""
-    back = lambda c, n: F.when(F.col(c) >= n, 2 * (n - 1) - F.col(c)).otherwise(F.col(c))
-    wanted = grid(cells, scene, to_height, to_width).withColumns({"fr": back("r", height), "fc": back("c", width)})
-    source = cells.select(scene, F.col("r").cast("long").alias("fr"), F.col("c").cast("long").alias("fc"), value)
-    return wanted.join(source, [scene, "fr", "fc"]).select(scene, "r", "c", value)
+    # A cell is sent to its own place and to those that it is the mirror image of: no grid is made, and nothing joined.
+    def places(c: str, n: int, to: int) -> Column:
+        own, beyond = F.col(c).cast("long"), 2 * (n - 1) - F.col(c).cast("long")
+        return F.explode(F.array_compact(F.array(F.when((own >= 0) & (own < min(n, to)), own), F.when((beyond >= n) & (beyond < to), beyond))))
+
+    sent = cells.withColumn("_r", places("r", height, to_height)).withColumn("_c", places("c", width, to_width))
+    return sent.select(scene, F.col("_r").alias("r"), F.col("_c").alias("c"), value)
 
 
 def tile_index(scenes: DataFrame, keys: list[str], size: int, overlap: int) -> DataFrame:
