@@ -6,6 +6,7 @@ A tile, a tile pair or an image is a row or a small group, so that work is sprea
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -99,26 +100,32 @@ def by_tile(cells: DataFrame, size: int, bands: list[str], change: Callable[...,
     return dealt.groupBy("scene_id", "_y", "_x").applyInPandas(each, "scene_id long, r long, c long, v int")
 
 
-def corners(cx: float, cy: float, w: float, h: float, degrees: float) -> np.ndarray:
-    """The four corners of a rotated box, in turn."""
+@lru_cache(4096)
+def _axis(degrees: float) -> tuple[float, float]:
     # Rounded, so that right angles are exact.
     cos, sin = np.round((np.cos(np.radians(degrees)), np.sin(np.radians(degrees))), 15)
-    axis = np.array([[cos, -sin], [sin, cos]])
-    return np.array([[-w, -h], [w, -h], [w, h], [-w, h]]) / 2 @ axis + (cx, cy)
+    return float(cos), float(sin)
 
 
-def _turn(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> float:
+def corners(cx: float, cy: float, w: float, h: float, degrees: float) -> list[tuple[float, float]]:
+    """The four corners of a rotated box, in turn. Plain numbers, as arrays of two cost more than the work on them."""
+    cos, sin = _axis(degrees)
+    w, h = w / 2, h / 2
+    return [(x * cos + y * sin + cx, y * cos - x * sin + cy) for x, y in ((-w, -h), (w, -h), (w, h), (-w, h))]
+
+
+def _turn(a: tuple[float, float], b: tuple[float, float], c: tuple[float, float]) -> float:
     """Above 0 where the way from a over b to c turns left."""
-    return float((b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0]))
+    return (b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0])
 
 
 def rotated_iou(a: tuple, b: tuple) -> float:
     """IoU of two rotated boxes (centre, size, degrees), by cutting one with the other."""
-    from geoledger.operators.layers import _cut, _twice_area
+    from geoledger.operators.layers import _cut_points
 
     p, q = corners(*a), corners(*b)
-    cut = _cut(np.concatenate((p, p[:1])), [tuple(v) for v in (q if _turn(q[0], q[1], q[2]) > 0 else q[::-1])])
-    both = _twice_area(cut) / 2
+    cut = _cut_points(p, q if _turn(q[0], q[1], q[2]) > 0 else q[::-1])
+    both = abs(sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(cut, cut[1:] + cut[:1], strict=True))) / 2 if len(cut) >= 3 else 0.0
     return both / (a[2] * a[3] + b[2] * b[3] - both) if both > 0 else 0.0
 
 
@@ -129,7 +136,8 @@ def with_rotated_iou(pairs: DataFrame, a: list[str], b: list[str]) -> DataFrame:
     def iou(boxes: pd.DataFrame) -> pd.Series:
         return pd.Series([rotated_iou(r[:5], r[5:]) for r in boxes.itertuples(index=False, name=None)])
 
-    return pairs.withColumn("iou", iou(F.struct(*[F.col(c).alias(f"_{k}") for k, c in enumerate([*a, *b])])))
+    # Deterministic functions run again in each filter and column that uses them.
+    return pairs.withColumn("iou", iou.asNondeterministic()(F.struct(*[F.col(c).alias(f"_{k}") for k, c in enumerate([*a, *b])])))
 
 
 def rotated_pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
