@@ -1,91 +1,164 @@
 """The elements of large JSON files' arrays, read in Spark's own splits.
 
-A file is one object whose arrays hold objects, however long its lines are. It is cut after each ``}``; a piece then knows by sums
-over the pieces before it (within its split, and of the splits before) whether it begins inside a string and how deep, so that
-no file is one row and no task reads more than its split.
+A file is one object whose arrays hold objects, however long its lines are. It is cut after each ``}``, and the pieces of a split
+that follow each other are kept together as chunks. A chunk knows by sums over the chunks before it (within its split, and of the
+splits before) whether it begins inside a string and how deep; it then gives its whole elements by itself. Only what crosses a
+chunk's edge is put together by a shuffle, so that no file is one row, no task reads more than its split, and the text isn't dealt.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from geoledger.scratch import written
+from geoledger.scratch import drop_written, written
 
-_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"?|[\[\]{}]', re.DOTALL)
+_STRING = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+_TOKEN = re.compile(rf'"{_STRING}"?|[\[\]{{}}]', re.DOTALL)
+_REST_OF_STRING = re.compile(rf'{_STRING}"?', re.DOTALL)
 
 
-def _head(text: str, inside: bool, depth: int) -> tuple[str | None, int]:
-    """(array that begins in a piece, or '' for an object in its place; where an element begins, or -1), for a piece outside elements."""
-    shift = int(inside)
-    section, start, key = None, -1, ""
-    for token in _TOKEN.finditer('"' * shift + text):
-        t = token.group()
+def _nested(levels: int) -> str:
+    flat = rf'[^"\[\]{{}}]*+(?:"{_STRING}"[^"\[\]{{}}]*+)*+'
+    return rf"{flat}(?:[\[{{]{_nested(levels - 1)}[\]}}]{flat})*+" if levels else flat
+
+
+#: An object at once, if nothing in it lies deeper than this.
+_OBJECT = re.compile(rf"\{{{_nested(4)}\}}", re.DOTALL)
+_CHUNK = 1 << 16
+_PLACE = ["file", "split", "at"]
+_CHUNKS = "file string, split long, at long, quotes long, outside long, inside long, value string"
+_PARTS = "file string, split long, at long, kind string, field string, ord long, value string, elements long, before long, open long"
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring pieces of a split as one text, with its quotes, and how deep it leads if it begins outside or inside a string.
+
+    A split is read in order, by one task.
+    """
+    at = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        file, split, value = (batch.column(k) for k in range(3))
+        sizes = pc.cumulative_sum(pc.add(pc.cast(pc.binary_length(value), pa.int64()), 1))
+        ends = [pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)) for c in (file, split, pc.divide(sizes, _CHUNK))]
+        last = pc.indices_nonzero(pc.or_(pc.or_(ends[0], ends[1]), ends[2])).to_pylist()
+        edges = [0, *[k + 1 for k in last], batch.num_rows]
+        rows = []
+        for a, b in zip(edges, edges[1:], strict=False):
+            text = "}".join(value.slice(a, b - a).to_pylist()) + "}"
+            turns = (re.sub(r"\\.", "", text, flags=re.DOTALL) if "\\" in text else text).split('"')
+            deeper = ["".join(turns[k::2]) for k in (0, 1)]
+            rows.append((file[a].as_py(), split[a].as_py(), at, len(turns) - 1, *[t.count("{") + t.count("[") - t.count("}") - t.count("]") for t in deeper], text))
+            at += 1
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), *[pa.int64()] * 5, pa.string()], strict=True)], names=["file", "split", "at", "quotes", "outside", "inside", "value"])
+
+
+def _walk(text: str, inside: bool, depth: int) -> Iterator[tuple]:
+    """(kind, array, place, text, 0, 0, 0) of each element that is whole, begins (``tail``) or goes on (``head``) in a chunk, and a ``sum``.
+
+    The array is null, and the place counts from the chunk's begin, before an array begins here. The sum has the last array that
+    begins here, '' for an object in its place, the number of elements that begin here, of those before that array, and of tails.
+    """
+    # The end of a string that begins before isn't the name of an array.
+    at = _REST_OF_STRING.match(text).end() if inside else 0
+    section, key, elements, before = None, "", 0, 0
+    start, own, place = 0, False, None
+    while token := _TOKEN.search(text, at):
+        t, at = token.group(), token.end()
         if t[0] == '"':
             key = t[1:-1] if depth == 1 else key
         elif t in "[{":
             if depth == 1:
-                section = key if t == "[" else ""
-            elif depth == 2 and t == "{" and start < 0:
-                start = token.start() - shift
+                section, before = key if t == "[" else "", elements
+            elif depth == 2:
+                start, own, place = token.start(), True, elements - before if t == "{" else None
+                elements += t == "{"
+                whole = _OBJECT.match(text, start) if t == "{" else None
+                if whole:
+                    at = whole.end()
+                    yield "whole", section, place, whole.group(), 0, 0, 0
+                    continue
             depth += 1
         else:
             depth -= 1
-    return section, start
+            if depth == 2 and not own:
+                yield "head", None, None, text[:at], 0, 0, 0
+            elif depth == 2 and place is not None:
+                yield "whole", section, place, text[start:at], 0, 0, 0
+    if depth > 2:
+        yield ("tail", section, place, text[start:], 0, 0, 0) if own else ("head", None, None, text, 0, 0, 0)
+    yield "sum", section, None, None, elements, before, int(depth > 2 and own)
+
+
+def _parts(fields: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+    names = [c.split()[0] for c in _PARTS.split(", ")]
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *places, values, insides, depths = (batch.column(k) for k in range(6))
+            for k in range(batch.num_rows):
+                place = [p[k].as_py() for p in places]
+                rows = [r for r in _walk(values[k].as_py(), insides[k].as_py(), depths[k].as_py()) if r[0] != "whole" or r[1] is None or r[1] in fields]
+                columns = [[p] * len(rows) for p in place] + [list(c) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-@F.pandas_udf(StructType().add("section", "string").add("start", "integer"))
-def _heads(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    for texts, insides, depths in parts:
-        rows = [(None, -1) if t is None else _head(t, bool(i), int(d)) for t, i, d in zip(texts, insides, depths, strict=True)]
-        yield pd.DataFrame(rows, columns=["section", "start"])
+    return each
 
 
-def _with_sums(pieces: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    """Each of ``sums`` over the pieces of the same file that come before."""
+def _with_sums(chunks: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Each of ``sums`` over the chunks of the same file that come before."""
     before = Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    totals = pieces.groupBy("file", "split").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    totals = chunks.groupBy("file", "split").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
     offsets = totals.select("file", "split", *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
-    inner = pieces.withColumns({n: F.coalesce(F.sum(c).over(before), F.lit(0)) for n, c in sums.items()})
+    inner = chunks.withColumns({n: F.coalesce(F.sum(c).over(before), F.lit(0)) for n, c in sums.items()})
     return inner.join(offsets, ["file", "split"]).withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums}).drop(*[f"_{n}" for n in sums])
 
 
+def _with_last(chunks: DataFrame, name: str, value: Column) -> DataFrame:
+    """The last ``value`` that isn't null of the chunks of the same file that come before."""
+    before = Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    totals = chunks.groupBy("file", "split").agg(F.max_by(value, F.when(value.isNotNull(), F.col("at"))).alias("_last"))
+    offsets = totals.select("file", "split", F.last("_last", ignorenulls=True).over(earlier).alias("_last"))
+    inner = chunks.withColumn(name, F.last(value, ignorenulls=True).over(before))
+    return inner.join(offsets, ["file", "split"]).withColumn(name, F.coalesce(name, "_last")).drop("_last")
+
+
 def json_elements(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
     """(file, field, ord, value): the JSON text of each object in the arrays ``fields`` of each file's object, counted from 0.
 
     Elements that are no objects are passed over; an array that isn't there, or a file that holds no object, gives no row. Of two
-    arrays of one name both are read. The text is written twice: as it is cut, and with its depths.
+    arrays of one name both are read. The text is written twice: as chunks, and as elements. Sums have a row a chunk, and are
+    written too, so that Spark sends them to the chunks while they are small.
     """
     name, start = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")
-    cut = spark.read.option("lineSep", "}").text(path).select(name, start, F.monotonically_increasing_id().alias("at"), F.concat("value", F.lit("}")).alias("value"))
-    # A split is read in order, by one task; other plans may number the pieces otherwise, so that they are written once.
-    bare = F.regexp_replace("value", r"(?s)\\.", "")
-    count = lambda text, chars: F.length(text) - F.length(F.translate(text, chars, ""))
-    pieces = _with_sums(written(cut, "pieces"), {"quotes": count(bare, '"')})
-    inside = F.col("quotes") % 2 == 1
-    marks = F.regexp_replace(F.concat(F.when(inside, '"').otherwise(""), bare), r'"[^"]*("|$)', "")
-    pieces = _with_sums(pieces.withColumns({"inside": inside, "marks": marks}), {"depth": count("marks", "[{") - count("marks", "]}")})
-    pieces = pieces.withColumn("closed", count("marks", "]")).drop("marks", "quotes")
-    plain = ~F.col("inside") & (F.col("depth") == 2) & F.col("value").rlike(r"^\s*,\s*\{")
-    pieces = pieces.withColumn("plain", plain)
-    # An array within an array is closed without a piece's end, so that a piece may begin deep and come out.
-    asked = F.when(~F.col("plain") & (F.col("depth") - F.col("closed") <= 2), F.col("value"))
-    pieces = pieces.withColumn("head", _heads(asked, "inside", "depth"))
-    begins = F.when(F.col("plain"), F.instr("value", "{") - 1).otherwise(F.col("head.start"))
-    pieces = written(pieces.select("file", "split", "at", "value", "depth", begins.alias("begins"), F.col("head.section").alias("section")), "depths")
-    first, turn = (F.col("begins") >= 0).cast("long"), F.col("section").isNotNull().cast("long")
-    # A piece that begins no element and isn't within one begins a group of its own, which goes.
-    group = ((F.col("begins") >= 0) | (F.col("depth") <= 2)).cast("long")
-    numbered = _with_sums(pieces, {"elements": first, "turns": turn, "groups": group}).withColumns({"turn": F.col("turns") + turn, "group": F.col("groups") + group})
-    sections = numbered.where("section is not null").select("file", "turn", F.col("section").alias("field"), F.col("elements").alias("base")).where(F.col("field").isin(fields))
-    text = F.when(F.col("begins") >= 0, F.col("value").substr(F.col("begins") + 1, F.length("value"))).otherwise(F.col("value"))
-    part = F.struct("split", "at", F.when(F.col("begins") >= 0, F.col("elements") - F.col("base")).alias("ord"), text.alias("text"))
-    held = numbered.join(sections, ["file", "turn"]).select("file", "field", "turn", "group", part.alias("part"))
-    whole = held.groupBy("file", "field", "turn", "group").agg(F.sort_array(F.collect_list("part")).alias("parts"))
-    return whole.select("file", "field", F.col("parts")[0]["ord"].alias("ord"), F.array_join("parts.text", "").alias("value")).where("ord is not null")
+    # Other plans may split the files otherwise, so that the chunks are written once.
+    chunks = written(spark.read.option("lineSep", "}").text(path).select(name, start, "value").mapInArrow(_chunks, _CHUNKS), "chunks")
+    sums = _with_sums(chunks.drop("value"), {"marks": F.col("quotes")}).withColumn("within", F.col("marks") % 2 == 1)
+    states = written(_with_sums(sums, {"depth": F.when(F.col("within"), F.col("inside")).otherwise(F.col("outside"))}).select(*_PLACE, "within", "depth"), "states")
+    parts = written(chunks.join(states, _PLACE).select(*_PLACE, "value", "within", "depth").mapInArrow(_parts(fields), _PARTS), "parts")
+    drop_written(chunks)
+    drop_written(states)
+    ends = _with_sums(parts.where("kind = 'sum'").select(*_PLACE, "field", "elements", "before", "open"), {"earlier": F.col("elements"), "groups": F.col("open")})
+    turn = F.when(F.col("field").isNotNull(), F.struct("field", (F.col("earlier") + F.col("before")).alias("base")))
+    bases = written(_with_last(ends, "turn", turn).select(*_PLACE, "earlier", "groups", F.col("turn.field").alias("section"), F.col("turn.base").alias("base")), "bases")
+    here = parts.where("kind = 'whole' and field is not null").select("file", "field", "ord", "value")
+    # Elements before the first array that begins in their chunk are in the last one of the chunks before.
+    local, base = F.col("field").isNull(), F.col("earlier") - F.col("base")
+    placed = lambda df: df.join(bases, _PLACE).withColumns({"ord": F.when(local, F.col("ord") + base).otherwise(F.col("ord")), "field": F.coalesce("field", "section")})
+    columns = [*_PLACE, "kind", "field", "ord", "value"]
+    first = placed(parts.where("kind = 'whole' and field is null").select(*columns)).select("file", "field", "ord", "value")
+    cut = placed(parts.where("kind in ('head', 'tail')").select(*columns)).withColumn("group", F.col("groups") + (F.col("kind") == "tail").cast("long"))
+    held = cut.groupBy("file", "group").agg(F.sort_array(F.collect_list(F.struct("split", "at", "kind", "field", "ord", "value"))).alias("parts"))
+    begin = F.col("parts")[0]
+    joined = held.where(begin["kind"] == "tail").select("file", begin["field"].alias("field"), begin["ord"].alias("ord"), F.array_join("parts.value", "").alias("value"))
+    return here.unionByName(first.unionByName(joined).where(F.col("field").isin(fields) & F.col("ord").isNotNull()))

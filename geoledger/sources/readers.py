@@ -144,8 +144,12 @@ def coco(spark: SparkSession, file: str, shift: int | None = None) -> DataFrame:
     read in splits, element by element; one may hold several objects, and there may be several files. Only the ids of the
     categories come to the driver.
     """
-    raw = written(json_elements(spark, file, ["images", "annotations", "categories"]), "elements")
-    anns = _parsed(raw, "annotations", _ANNOTATIONS)
+    # Each element is parsed once; what follows reads columns.
+    kinds = {"images": _IMAGES, "annotations": _ANNOTATIONS, "categories": "id int"}
+    text = json_elements(spark, file, list(kinds))
+    raw = written(text.select("field", *[F.from_json(F.when(F.col("field") == k, F.col("value")), s).alias(f"_{k}") for k, s in kinds.items()]), "elements")
+    of = lambda k: raw.where(F.col("field") == k).select(f"_{k}.*")
+    anns = of("annotations")
     ids = anns.agg(F.count("id").alias("n"), F.count_distinct("id").alias("d")).first()
     if ids["n"] != ids["d"]:
         raise ValueError("annotation ids repeat")
@@ -154,12 +158,12 @@ def coco(spark: SparkSession, file: str, shift: int | None = None) -> DataFrame:
     anns = anns.withColumn("_had", had).withColumn("segmentation", kept).where("not _had or size(segmentation) > 0").drop("_had")
     anns = anns.withColumn("keypoints", F.transform("keypoints", lambda v, i: F.when(i % 3 != 2, v + 0.5).otherwise(v)))
     if shift is None:
-        order = _parsed(raw, "categories", "id int").where("id is not null").distinct().orderBy("id").collect()
+        order = of("categories").where("id is not null").distinct().orderBy("id").collect()
         known = F.array(*[F.lit(r["id"]) for r in order]).cast("array<int>")
         anns = anns.withColumn("category_id", F.array_position(known, F.col("category_id")).cast("int") - 1)
     else:
         anns = anns.withColumn("category_id", F.col("category_id") - shift)
-    images = _parsed(raw, "images", _IMAGES)
+    images = of("images")
     held = anns.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("id", "category_id", "bbox", "iscrowd", "segmentation", "keypoints"))).alias("annotations"))
     return images.join(held, images["id"] == held["image_id"], "left").drop("image_id").withColumnRenamed("id", "image_id")
 
