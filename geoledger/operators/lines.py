@@ -5,10 +5,14 @@ Tables of cells have scene_id, r, c; r and c are below 2^20. Repeated cells coun
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from geoledger.operators.graph import connected_components
 from geoledger.operators.layers import _douglas_peucker
@@ -29,32 +33,59 @@ def with_neighbours(cells: DataFrame) -> DataFrame:
     return at.agg(F.bit_or("d.bit").alias("around"), F.bool_or(F.col("d.bit") == 0).alias("here")).where("here").drop("here")
 
 
-def _goes(around: Column, turn: int) -> Column:
-    """Whether a cell goes in the first or second turn of a round of Guo and Hall's thinning (1989)."""
-    n, ne, e, se, s, sw, w, nw = (around.bitwiseAND(1 << k) != 0 for k in range(8))
-    total = lambda *xs: sum((x.cast("int") for x in xs), F.lit(0))
-    parts = total(~n & (ne | e), ~e & (se | s), ~s & (sw | w), ~w & (nw | n))
-    sides = F.least(total(nw | n, ne | e, se | s, sw | w), total(n | ne, e | se, s | sw, w | nw))
-    held = (s | sw | ~nw) & w if turn == 0 else (n | ne | ~se) & e
-    return (parts == 1) & sides.between(2, 3) & ~held
+def _goes(near: dict[str, Column], turn: int) -> Column:
+    """The bits of cells that go in the first or second turn of a round of Guo and Hall's thinning (1989); a bit is a cell."""
+    n, ne, e, se, s, sw, w, nw = (near[k] for k in ("n", "ne", "e", "se", "s", "sw", "w", "nw"))
+    not_, either, both = F.bitwise_not, (lambda x, y: x.bitwiseOR(y)), (lambda x, y: x.bitwiseAND(y))
+    two = lambda a, b, c, d: either(either(both(a, b), both(c, d)), both(either(a, b), either(c, d)))
+    four = lambda a, b, c, d: both(both(a, b), both(c, d))
+    parts = [both(not_(n), either(ne, e)), both(not_(e), either(se, s)), both(not_(s), either(sw, w)), both(not_(w), either(nw, n))]
+    odd = parts[0].bitwiseXOR(parts[1]).bitwiseXOR(parts[2]).bitwiseXOR(parts[3])
+    one = both(odd, not_(two(*parts)))
+    first, second = [either(nw, n), either(ne, e), either(se, s), either(sw, w)], [either(n, ne), either(e, se), either(s, sw), either(w, nw)]
+    # The smaller of the two numbers is 2 or 3.
+    sides = both(both(two(*first), two(*second)), not_(both(four(*first), four(*second))))
+    held = both(either(either(s, sw), not_(nw)), w) if turn == 0 else both(either(either(n, ne), not_(se)), e)
+    return both(both(one, sides), not_(held))
+
+
+def _turned(words: DataFrame, turn: int) -> DataFrame:
+    """Words of cells (scene_id, r, w, bits) after a turn. One shuffle: each word is sent to the places around, those beside it get its edge."""
+    top = -(1 << 63)
+    edge = {0: F.col("bits"), 1: F.shiftrightunsigned("bits", 63), -1: F.shiftleft("bits", 63)}
+    sent = F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dw).alias("dw"), edge[dw].alias("x")) for dr in (-1, 0, 1) for dw in (-1, 0, 1)])
+    sent = words.select("scene_id", "r", "w", F.explode(F.filter(sent, lambda d: d["x"] != 0)).alias("d"))
+    at = sent.groupBy("scene_id", (F.col("r") + F.col("d.dr")).alias("r"), (F.col("w") + F.col("d.dw")).alias("w"))
+    rows = {"north": 1, "own": 0, "south": -1}
+    of = lambda dr, beside: F.coalesce(F.bit_or(F.when((F.col("d.dr") == dr) & ((F.col("d.dw") != 0) == F.lit(beside)), F.col("d.x"))), F.lit(0).cast("long"))
+    met = at.agg(*[of(dr, beside).alias(f"{name}{int(beside)}") for name, dr in rows.items() for beside in (False, True)]).where("own0 != 0")
+    near = {}
+    for name, (west, middle, east) in {"north": ("nw", "n", "ne"), "own": ("w", "", "e"), "south": ("sw", "s", "se")}.items():
+        row, beside = F.col(f"{name}0"), F.col(f"{name}1")
+        near[west], near[middle], near[east] = F.shiftleft(row, 1).bitwiseOR(beside.bitwiseAND(F.lit(1).cast("long"))), row, F.shiftrightunsigned(row, 1).bitwiseOR(beside.bitwiseAND(F.lit(top)))
+    return met.select("scene_id", "r", "w", near[""].bitwiseAND(F.bitwise_not(_goes(near, turn))).alias("bits")).where("bits != 0")
 
 
 def thinned(cells: DataFrame) -> DataFrame:
     """The centre lines, one cell wide, of all regions; what hangs together still does.
 
-    Rounds of two shuffles each, as many as half of the widest region's width, with the cells left written between them.
+    64 cells of a row are the bits of a word, so that a row is a word of cells at most. Rounds of two shuffles each, as many as
+    half of the widest region's width, with the words left written between them.
     """
-    now = written(cells.select("scene_id", "r", "c").dropna().distinct(), "thin")
+    words = cells.select("scene_id", "r", "c").dropna().groupBy("scene_id", "r", F.shiftright("c", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(c & 63 as int)))").alias("bits"))
+    total = lambda df: df.agg(F.sum(F.bit_count("bits"))).first()[0] or 0
+    now = written(words, "thin")
+    n = total(now)
     while True:
-        left = now
-        for turn in (0, 1):
-            left = with_neighbours(left).where(~_goes(F.col("around"), turn)).select("scene_id", "r", "c")
-        left = written(left, "thin")
-        done = left.count() == now.count()
+        left = written(_turned(_turned(now, 0), 1), "thin")
+        was, n = n, total(left)
         drop_written(now)
         now = left
-        if done:
-            return now
+        if was == n:
+            break
+    kind = cells.schema["c"].dataType
+    bit = F.explode(F.expr("filter(sequence(0, 63), k -> shiftrightunsigned(bits, k) & 1 = 1)"))
+    return now.select("scene_id", "r", "w", bit.alias("k")).select("scene_id", F.col("r").cast(cells.schema["r"].dataType).alias("r"), (F.col("w") * 64 + F.col("k")).cast(kind).alias("c"))
 
 
 def line_graph(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -83,14 +114,12 @@ def line_graph(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def lines_of(edges: DataFrame, members: DataFrame, tolerance: float) -> DataFrame:
     """(scene_id, edge, points): each chain's centres in order from the end ``a``, with its vertices, simplified; a ring ends where it begins.
 
-    A chain is a group: it has no more cells than its scene's grid lets a line have. Edges without cells aren't drawn.
+    A chain is a row: it has no more cells than its scene's grid lets a line have. Edges without cells aren't drawn.
     """
+    place = lambda v: None if v is None else (v % _SCENE // _ROW, v % _ROW)
 
-    def each(df: pd.DataFrame) -> pd.DataFrame:
-        first = df.iloc[0]
-        place = lambda v: None if pd.isna(v) else (int(v) % _SCENE // _ROW, int(v) % _ROW)
-        a, b = place(first["a"]), place(first["b"])
-        left = set(zip(df["r"].astype(int), df["c"].astype(int), strict=True))
+    def drawn(a: tuple[int, int] | None, b: tuple[int, int] | None, cells: list[dict]) -> list[dict]:
+        left = {(p["r"], p["c"]) for p in cells}
         at = min(p for p in left if a is None or max(abs(p[0] - a[0]), abs(p[1] - a[1])) == 1)
         path = [at]
         left.discard(at)
@@ -100,7 +129,17 @@ def lines_of(edges: DataFrame, members: DataFrame, tolerance: float) -> DataFram
             left.discard(at)
         path = [*path, path[0]] if a is None else [a, *path, b]
         points = _douglas_peucker(np.array([(c + 0.5, r + 0.5) for r, c in path]), tolerance)
-        return pd.DataFrame({"scene_id": [first["scene_id"]], "edge": [first["edge"]], "points": [[{"x": float(x), "y": float(y)} for x, y in points]]})
+        return [{"x": x, "y": y} for x, y in points.tolist()]
+
+    schema = "scene_id long, edge long, points array<struct<x:double,y:double>>"
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            scene, edge, a, b, cells = (part.column(k) for k in range(5))
+            points = [drawn(place(x), place(y), p) for x, y, p in zip(a.to_pylist(), b.to_pylist(), cells.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([scene, edge, pa.array(points, kinds.field("points").type)], schema=kinds)
 
-    known = edges.where("edge is not null").select("scene_id", "edge", F.col("a").cast("string"), F.col("b").cast("string"))
-    return known.join(members, "edge").groupBy("edge").applyInPandas(each, "scene_id long, edge long, points array<struct<x:double,y:double>>")
+    known = edges.where("edge is not null").select(F.col("scene_id").cast("long").alias("scene_id"), "edge", F.col("a").cast("long"), F.col("b").cast("long"))
+    held = members.groupBy("edge").agg(F.collect_list(F.struct("r", "c")).alias("cells"))
+    return known.join(held, "edge").select("scene_id", "edge", "a", "b", "cells").mapInArrow(each, schema)
