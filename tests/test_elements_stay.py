@@ -46,3 +46,12 @@ def test_walk_of_parts():
     assert walk('}images": [{"a":1}], "other": {"x":{}}, "images": [{}', True, 1) == [("whole", "", 0, '{"a":1}'), ("whole", "", 0, "{}"), ("whole", "images", 0, "{}")]
     deep = '{"v":[[[[[[{"x":"]"}]]]]]]}'
     assert walk(f"{deep},{deep}", False, 2) == [("whole", None, k, deep) for k in (0, 1)]
+
+
+def test_records_are_parsed_once(spark, tmp_path):
+    """The text was parsed again for the check of ids, the categories and the records."""
+    docs = [{"images": [{"id": k, "neg_category_ids": [k]}], "annotations": [{"id": 10 * k + a, "image_id": k, "category_id": a + 1} for a in range(3)]} for k in range(20)]
+    (tmp_path / "l.json").write_text("\n".join(map(json.dumps, docs)))
+    found = readers.lvis(spark, str(tmp_path))
+    assert "from_json" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["image_id"], r["neg_category_ids"], [(a["id"], a["category_id"]) for a in r["annotations"]]) for r in found.collect()) == [(k, [k], [(10 * k + a, a) for a in range(3)]) for k in range(20)]
