@@ -69,11 +69,11 @@ def boundaries(polygons: DataFrame) -> DataFrame:
 @query("a14_lvis_records", "v_anns", sql="select image_id, count(*) as n, cast(sum(category_id) as bigint) as categories, cast(image_id % 80 as int) as absent from v_anns group by image_id")
 def lvis_records(anns: DataFrame) -> DataFrame:
     """Written as JSON, and read back in splits; each image has a category that isn't there."""
-    ann = F.struct("image_id", (F.col("category_id") + 1).alias("category_id"), "iscrowd")
+    ann = F.struct((F.col("category_id") + 1).alias("category_id"), "iscrowd")
     image = F.struct(F.col("image_id").alias("id"), F.array((F.col("image_id") % 80).cast("int")).alias("neg_category_ids"))
     path = _path(anns, "lvis")
     # Line numbers repeat within an order; an id is an image's and the place in its list.
-    numbered = F.transform(F.collect_list(ann), lambda a, i: a.withField("id", a["image_id"] * 1000 + i))
+    numbered = F.transform(F.collect_list(ann), lambda a, i: F.struct(F.col("image_id"), a["category_id"].alias("category_id"), a["iscrowd"].alias("iscrowd"), (F.col("image_id") * 1000 + i).alias("id")))
     anns.groupBy("image_id").agg(numbered.alias("annotations")).select(F.to_json(F.struct(F.array(image).alias("images"), "annotations")).alias("value")).write.text(path)
     total = F.aggregate("annotations", F.lit(0).cast("long"), lambda s, a: s + a["category_id"])
     read = readers.lvis(anns.sparkSession, path)

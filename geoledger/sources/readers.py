@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from geoledger.functions.geometry import from_wkt
 from geoledger.functions.text import stem
 from geoledger.scratch import written
-from geoledger.sources.elements import json_elements
+from geoledger.sources.elements import json_elements, json_records
 
 
 def scene_catalog(spark: SparkSession, folder: str, glob: str = "*.{tif,tiff,img,IMG}") -> DataFrame:
@@ -132,10 +132,6 @@ _IMAGES = "id bigint, file_name string, height int, width int, neg_category_ids
 _ANNOTATIONS = "id bigint, image_id bigint, category_id int, bbox array<double>, iscrowd int, segmentation array<array<double>>, keypoints array<double>"
 
 
-def _parsed(elements: DataFrame, field: str, kind: str) -> DataFrame:
-    return elements.where(F.col("field") == field).select(F.from_json("value", kind).alias("e")).select("e.*")
-
-
 def coco(spark: SparkSession, file: str, shift: int | None = None) -> DataFrame:
     """One record per image with its annotations nested, category ids from 0 on.
 
@@ -146,9 +142,8 @@ def coco(spark: SparkSession, file: str, shift: int | None = None) -> DataFrame:
     """
     # Each element is parsed once; what follows reads columns.
     kinds = {"images": _IMAGES, "annotations": _ANNOTATIONS, "categories": "id int"}
-    text = json_elements(spark, file, list(kinds))
-    raw = written(text.select("field", *[F.from_json(F.when(F.col("field") == k, F.col("value")), s).alias(f"_{k}") for k, s in kinds.items()]), "elements")
-    of = lambda k: raw.where(F.col("field") == k).select(f"_{k}.*")
+    raw = written(json_records(spark, file, kinds).select("field", *kinds), "elements")
+    of = lambda k: raw.where(F.col("field") == k).select(f"{k}.*")
     anns = of("annotations")
     ids = anns.agg(F.count("id").alias("n"), F.count_distinct("id").alias("d")).first()
     if ids["n"] != ids["d"]:
@@ -189,7 +184,7 @@ def pascal_voc(spark: SparkSession, folder: str, names: list[str], lines: bool =
 def panoptic(spark: SparkSession, file: str, things: dict[int, int], stuff: dict[int, int]) -> DataFrame:
     """(image_id, segment_id, category_id, isthing): segments under their contiguous ids; unknown categories are an error downstream (null)."""
     kind = "image_id bigint, segments_info array<struct<id:bigint,category_id:int>>"
-    each = _parsed(json_elements(spark, file, ["annotations"]), "annotations", kind).select("image_id", F.explode("segments_info").alias("s"))
+    each = json_records(spark, file, {"annotations": kind}).select("annotations.image_id", F.explode("annotations.segments_info").alias("s"))
     look = lambda m: F.try_element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("s.category_id")) if m else F.lit(None).cast("int")
     return each.select("image_id", F.col("s.id").alias("segment_id"), F.coalesce(look(things), look(stuff)).alias("category_id"), look(things).isNotNull().alias("isthing"))
 
