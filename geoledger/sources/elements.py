@@ -158,10 +158,10 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _parsed(texts: pa.Array, kind: pa.Schema) -> pa.Array | None:
     """Records of objects in plain JSON; null if Arrow's reader doesn't take one of them as it stands, whatever the reason."""
-    lines = b"\n".join(texts.to_pylist())
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), b"\n")[0].as_buffer()
     how = json.ParseOptions(explicit_schema=kind, newlines_in_values=True, unexpected_field_behavior="ignore")
     try:
-        read = json.read_json(pa.BufferReader(lines), read_options=json.ReadOptions(use_threads=False, block_size=len(lines) + 1), parse_options=how)
+        read = json.read_json(pa.BufferReader(lines), read_options=json.ReadOptions(use_threads=False, block_size=lines.size + 1), parse_options=how)
     except pa.ArrowInvalid:
         return None
     return read.combine_chunks().to_struct_array().combine_chunks() if len(read) == len(texts) else None
